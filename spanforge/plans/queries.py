@@ -1,9 +1,13 @@
 """All registered queries of the core."""
 
+from __future__ import annotations
+
+from spanforge.plans import problems
+
 
 def queries() -> dict:
-    return {}
+    return problems.queries()
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return problems.oracle_sql()
