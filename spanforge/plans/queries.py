@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from spanforge.plans import problems
+from spanforge.plans import problems, reference
 
 
 def queries() -> dict:
-    return problems.queries()
+    return problems.queries() | reference.QUERIES
 
 
 def oracle_sql() -> dict[str, str]:
-    return problems.oracle_sql()
+    return problems.oracle_sql() | reference.SQL
