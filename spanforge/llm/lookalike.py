@@ -158,7 +158,9 @@ def look_classes(df: DataFrame, doc: str = "doc_id", text: str = "text") -> Data
     accents.  The document with the least id is the canonical member; it is
     joined back to all members.  class_id is its id.  Before that, a hash of
     the accent-free part alone leaves out texts whose look no other text
-    shares: of those nothing but the hash is moved.  The collation also ignores
+    shares: of those nothing but the hash is moved.  The other texts are written
+    to the checkpoint folder with their mapped forms, so that no filter on a
+    form is inferred and run over the whole corpus.  The collation also ignores
     control characters, which are no such difference: an exact comparison of
     composed forms within each class splits those off.
 
@@ -170,7 +172,7 @@ def look_classes(df: DataFrame, doc: str = "doc_id", text: str = "text") -> Data
     some = base.withColumn("__md5", F.md5("__text")).join(_shared_texts(base), "__md5", "left_semi")
     composed = F.pandas_udf(lambda s: s.map(lambda t: unicodedata.normalize("NFC", t)), T.StringType())
     some = some.select("__doc", "__md5", look_mapped(F.col("__text")).alias("__look"))
-    some = some.select("__doc", "__md5", F.collate("__look", "UNICODE").alias("__look"), F.md5(composed("__look")).alias("__exact"))
+    some = cut(some.select("__doc", "__md5", F.collate("__look", "UNICODE").alias("__look"), F.md5(composed("__look")).alias("__exact")))
     members = some.groupBy("__look", "__exact").agg(
         F.min("__doc").alias("class_id"), F.min_by("__md5", F.struct("__doc", "__md5")).alias("canonical_md5"),
         F.min("__md5").alias("__least"), F.max("__md5").alias("__most"),
