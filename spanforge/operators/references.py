@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
+from spanforge.checkpoints import cut
+
 #: Parts into which the references of one key and day of change are split.
 SALTS = 8
 
@@ -98,9 +100,11 @@ def orphan_references(
     with a null name refer to nothing; one without a time is an orphan, missing
     or deleted; a record without `added` never exists but makes its name known.
     Repeated references and records are all judged; empty tables are fine.
-    ledger: a ledger that already covers both tables, if one is kept.
+    ledger: a ledger that already covers both tables, if one is kept.  The days
+    that may have orphans are written to the checkpoint folder, as they are
+    used twice.
     """
-    states = day_states(reference_ledger(refs, records, name, at, added, deleted) if ledger is None else ledger)
+    states = cut(day_states(reference_ledger(refs, records, name, at, added, deleted) if ledger is None else ledger))
     s = states.select(*[F.col(c).alias(f"__{c}") for c in states.columns])
     r = refs.withColumn("__at_day", _day(F.col(at)))
     held = r.join(s, (F.col(name) == F.col("__name")) & (F.col("__at_day") == F.col("__day")))
