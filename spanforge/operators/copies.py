@@ -74,7 +74,8 @@ def differences(
     Both sides are cogrouped by a hash bucket of the key; the number of buckets
     follows the number of rows, so that a bucket's Arrow tables stay small.
     """
-    sides = [newest(df, key, values, version or []) for df in (left, right)]
+    # New names for the columns: cogroup mixes them up where one side derives from the other.
+    sides = [newest(df, key, values, version or []).select(*[F.col(f"`{c}`").alias(c) for c in [*key, *values]]) for df in (left, right)]
     if buckets is None:
         buckets = max(1, -(-(left.count() + right.count()) // ROWS_PER_BUCKET))
     grouped = [s.withColumn("__bucket", F.pmod(F.xxhash64(*key), F.lit(buckets)).cast("int")).groupBy("__bucket") for s in sides]

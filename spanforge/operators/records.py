@@ -21,9 +21,9 @@ INDEX_COLUMNS = (
 #: Lines that are first parsed together, and few enough to be looked at one by one.
 BLOCK_LINES, FEW_LINES = 512, 4
 _GREATEST = str(2**63 - 1)
-# One field: quoted, or not beginning with a quote.
-_FIELD = r'(?:"(?:[^"]|"")*"|[^"\t][^\t]*)?'
-_WELL_QUOTED = rf"^{_FIELD}(?:\t{_FIELD})*$"
+# One field: quoted, or not beginning with a quote and without a line break.
+_FIELD = r'(?:"(?:[^"]|"")*"|[^"\t\n][^\t\n]*)?'
+_WELL_QUOTED = rf"\A{_FIELD}(?:\t{_FIELD})*\z"
 
 
 def _count_like(column: pa.Array) -> pa.Array:
@@ -47,14 +47,15 @@ INDEX_RULES: dict[str, Callable[[pa.Array], pa.Array]] = {"insert_size": _count_
 def parse_block(lines: list[str], columns: list[str], rules: dict) -> pa.Table | None:
     """All lines at once by a columnar CSV parser; None if any of them is not a sound record.
 
-    The parser is lenient about text after a closing quote and takes a carriage
-    return for a line's end; blocks with either are left to the closer look.
+    The parser is lenient about text after a closing quote and takes carriage
+    returns and unquoted line breaks for a line's end; blocks with any of them
+    are left to the closer look.
     """
     array = pa.array(lines, pa.string())
     if pc.any(pc.match_substring(array, "\r")).as_py():
         return None
-    quoted = array.filter(pc.match_substring(array, '"'))
-    if len(quoted) and not pc.all(pc.match_substring_regex(quoted, _WELL_QUOTED)).as_py():
+    doubtful = array.filter(pc.or_(pc.match_substring(array, '"'), pc.match_substring(array, "\n")))
+    if len(doubtful) and not pc.all(pc.match_substring_regex(doubtful, _WELL_QUOTED)).as_py():
         return None
     data = "\n".join(lines).encode()
     try:

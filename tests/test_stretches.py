@@ -1,0 +1,57 @@
+import random
+
+from spanforge.operators import stretches as st
+
+
+def brute(rows):
+    gaps, spans = [], []
+    by = {}
+    for k, s, e in rows:
+        if None not in (k, s, e) and s < e:
+            by.setdefault(k, []).append((s, e))
+    for k, v in by.items():
+        v.sort()
+        low, high = v[0]
+        for s, e in v[1:]:
+            if s > high:
+                gaps.append((k, high, s))
+                spans.append((k, low, high))
+                low = s
+            high = max(high, e)
+        spans.append((k, low, high))
+    return sorted(gaps, key=repr), sorted(spans, key=repr)
+
+
+def check(spark, rows, data):
+    df = spark.createDataFrame(data, "k string, s long, e long")
+    gaps, spans = brute(data)
+    assert rows(st.gaps(df, ["k"], "s", "e")) == gaps
+    assert rows(st.stretches(df, ["k"], "s", "e")) == spans
+
+
+def test_against_brute_force(spark, rows, monkeypatch):
+    draw = random.Random(3)
+    data = []
+    for i in range(900):
+        s = draw.choice([None, *[draw.randrange(-500, 4000)] * 30])
+        e = draw.choice([None, *[(s or 0) + draw.randrange(-2, 12)] * 30])
+        data.append((draw.choice([None, "hot", "hot", "hot", "a", "b"]), s, e))
+    data += data[:50]
+    check(spark, rows, data)
+    monkeypatch.setattr(st, "BLOCK_POSITIONS", 7)
+    check(spark, rows, data)
+
+
+def test_touching_nested_and_repeated(spark, rows):
+    check(spark, rows, [("a", 0, 10), ("a", 10, 20), ("a", 2, 5), ("a", 2, 5), ("a", 25, 30), ("a", 21, 30), ("b", 5, 5), ("b", 9, 3), ("c", 1, 2)])
+    check(spark, rows, [])
+
+
+def test_extra_columns_with_clashing_names(spark, rows):
+    df = spark.createDataFrame([("a", 0, 1, 5, 6), ("a", 3, 4, 7, 8)], "k string, s long, e long, gap_start long, first_rank long")
+    assert rows(st.gaps(df, ["k"], "s", "e")) == [("a", 1, 3)]
+
+
+def test_chromosome_spellings(spark, rows):
+    df = spark.createDataFrame([("chr1",), (" CHR1 ",), ("1",), ("Chr1",), (None,)], "c string")
+    assert rows(df.select(st.bare_chrom(df.c).alias("c")).distinct()) == [("chr1",), (None,)]
