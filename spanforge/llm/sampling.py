@@ -15,6 +15,8 @@ SALTS = 16
 FLOOR, TARGET, FRACTION, BEYOND, UNTARGETED = -1000, -100, -50, 1, 20
 # Costs of one row that is wanted and not had: kept out by the other dimension; not there at all.
 CONFLICT, SCARCE = 1, 1000
+# What a wanted row is worth: more than any slack costs, so that all demand is answered.
+WANTED = -100_000
 
 
 class Flow:
@@ -58,8 +60,11 @@ class Flow:
                     heapq.heappush(heap, (e, v))
         return far
 
-    def send(self, source, sink, most: int) -> int:
-        """Sends up to `most` units at least cost; the network must have no negative cycle. Returns how many went."""
+    def send(self, source, sink, most: int, gainful: bool = False) -> int:
+        """Sends up to `most` units at least cost, or as long as that lowers the cost; returns how many went.
+
+        The network must have no negative cycle.
+        """
         s, t, sent = self.node(source), self.node(sink), 0
         potential: list[float] = [0] * len(self.out)
         for _ in range(len(self.out)):  # first potentials: costs may be negative
@@ -75,6 +80,8 @@ class Flow:
             if far[t] == float("inf"):
                 break
             potential = [p + min(d, far[t]) for p, d in zip(potential, far)]
+            if gainful and potential[t] - potential[s] >= 0:
+                break
             while sent < most and (gone := self._augment(s, t, most - sent, potential)):
                 sent += gone
         return sent
@@ -107,7 +114,7 @@ def shortfalls(margins: list[dict], cells: dict[tuple, int]) -> list[dict]:
     """Adds `scarce` and `conflict` to each margin: wanted rows that do not exist, and those the other dimension keeps out.
 
     Every margin demands its wanted rows.  They come through its availability
-    arc and a cell, or through slack arcs: a cheap one behind the availability
+    arc and a cell, which answers a margin of each dimension, or through slack arcs: a cheap one behind the availability
     arc, a dear one beside it.  The dear one carries flow exactly where more is
     wanted than there is.
     """
@@ -117,7 +124,7 @@ def shortfalls(margins: list[dict], cells: dict[tuple, int]) -> list[dict]:
         ends = (("source", (key, "want")), ((key, "want"), (key, "have")), ((key, "have"), "sink"), ((key, "want"), "sink"))
         if not first:
             ends = tuple((b.replace("sink", "source") if isinstance(b, str) else b, "sink" if a == "source" else a) for a, b in ends)
-        flow.arc(*ends[0], m["wanted"])
+        flow.arc(*ends[0], m["wanted"], WANTED)
         flow.arc(*ends[1], m["available"])
         arcs.append((flow.arc(*ends[3], m["wanted"], SCARCE), flow.arc(*ends[2], m["wanted"], CONFLICT)))
     dims = {m["first"]: m["dim"] for m in margins}
@@ -125,13 +132,13 @@ def shortfalls(margins: list[dict], cells: dict[tuple, int]) -> list[dict]:
         ka, kb = ((dims.get(True), a), "have"), ((dims.get(False), b), "have")
         if ka in flow.ids and kb in flow.ids:
             flow.arc(ka, kb, n)
-    flow.send("source", "sink", 2 * sum(m["wanted"] for m in margins))
+    flow.send("source", "sink", sum(m["wanted"] for m in margins), gainful=True)
     return [m | {"scarce": flow.used(s), "conflict": flow.used(c)} for m, (s, c) in zip(margins, arcs)]
 
 
 def cell_quotas(margins: list[dict], cells: dict[tuple, int], sample_size: int) -> dict[tuple, int]:
     """Rows to draw from each cell: floors before targets before fractions of a row before rows beyond the targets."""
-    flow, of = Flow(), {(m["first"], m["category"]): m for m in margins}
+    flow, of = Flow(), {(m["first"], m["category"]): m for m in margins if m["category"] is not None}
     for first, names in ((True, {a for a, _ in cells}), (False, {b for _, b in cells})):
         for name in sorted(names, key=lambda x: (x is not None, x)):
             ends = ("source", (first, name)) if first else ((first, name), "sink")
@@ -160,7 +167,7 @@ def _prepared(candidates: DataFrame, targets: DataFrame, dims: tuple[str, str])
     )
     wanted = targets.where(F.col("dim").isin(*dims)).select(
         "release_tag", "dim", "category", bare_category(F.col("category")).alias("__cat"), "share_bp", "min_rows", "sample_size"
-    )
+    ).distinct()
     has = (
         rows.select("release_tag", "candidate_id", F.explode(F.array(*[F.struct(F.lit(d).alias("dim"), F.col(f"__{i}").alias("__cat")) for i, d in enumerate(dims)])).alias("x"))
         .select("release_tag", "candidate_id", "x.dim", "x.__cat").where("__cat is not null")
@@ -187,7 +194,8 @@ def _solved(margins: DataFrame, cells: DataFrame, dims: tuple[str, str], schema:
         stock = {(r["__0"], r["__1"]): r["__n"] for r in right.to_pylist()}
         return make(rows, stock)
 
-    return margins.groupBy("release_tag").cogroup(cells.groupBy("release_tag")).applyInArrow(run, schema)
+    sides = [df.select(*[F.col(c).alias(c) for c in df.columns]).groupBy("release_tag") for df in (margins, cells)]
+    return sides[0].cogroup(sides[1]).applyInArrow(run, schema)
 
 
 def target_report(candidates: DataFrame, targets: DataFrame, dims: tuple[str, str] = ("population", "centre_name")) -> DataFrame:
@@ -198,7 +206,8 @@ def target_report(candidates: DataFrame, targets: DataFrame, dims: tuple[str, st
     surrounding blanks.  scarce: wanted rows that do not exist.  conflict:
     wanted rows that exist and cannot all be had together with what the other
     dimension wants.  Null, blank and NA categories are none; candidates
-    without an id cannot be counted; repeated candidates count once.  Groups are
+    without an id cannot be counted; repeated candidates and repeated targets
+    count once.  Groups are
     one release's cross-classified counts, never its candidates.
     """
     margins, _, cells = _prepared(candidates, targets, dims)
