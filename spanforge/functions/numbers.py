@@ -13,9 +13,9 @@ from pyspark.sql import types as T
 def _each(spell):
     @F.pandas_udf(T.StringType())
     def spelled(values: pd.Series) -> pd.Series:
-        return values.map(lambda v: None if v is None else spell(v))
+        return values.map(spell)
 
-    return spelled
+    return lambda x: F.when(x.isNotNull(), spelled(x))  # pandas shows a null number as NaN
 
 
 def awk_text(v: float, precision: int = 6) -> str:

@@ -125,4 +125,4 @@ def in_total_order(df: DataFrame, chrom: str = "chrom", start: str = "start", li
 
 def text_number(x: Column) -> Column:
     """A decimal number in a text, 0 for text that is none, for sorting by value."""
-    return F.coalesce(F.expr("try_cast(x as decimal(38,18))") if isinstance(x, str) else x.try_cast("decimal(38,18)"), F.lit(0).cast("decimal(38,18)"))
+    return F.coalesce(x.try_cast("decimal(38,18)"), F.lit(0).cast("decimal(38,18)"))
