@@ -11,6 +11,7 @@ import math
 from functools import lru_cache
 from statistics import NormalDist
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -112,11 +113,40 @@ def normal_of(phrase: bytes, mean: float, sd: float) -> float:
     return sd * normal(Uniform(seeds_of(phrase))) + mean
 
 
+def first_normals(phrases: np.ndarray) -> np.ndarray:
+    """First standard normal deviate of each row of 32 ASCII characters.
+
+    Most deviates are settled by the first uniform one; those are computed for
+    all rows together, the others one by one.
+    """
+    start, test, ratio, _ = map(np.array, _tables())
+    used = phrases[:, :31].astype(np.int64)
+    weights = np.array([[PHRASE_MULTIPLIERS[i % 8], PHRASE_MULTIPLIERS[7 - i % 8]] for i in range(31)], dtype=np.int64)
+    seeds = (used @ weights + np.array(FIRST_SEEDS)) % SEED_MODULUS
+    z = seeds[:, 0] * MULTIPLIERS[0] % MODULI[0] - seeds[:, 1] * MULTIPLIERS[1] % MODULI[1]
+    u = np.where(z >= 1, z, z + MODULI[0] - 1) * SCALE
+    negative = u > 0.5
+    u = 32 * (2 * u - negative)
+    cell = np.minimum(u.astype(np.int64), 31)
+    i = np.maximum(cell - 1, 0)
+    over = u - cell - test[i]
+    size = start[i] + over * ratio[i]
+    out = np.where(negative, -size, size)
+    for k in np.flatnonzero((cell == 0) | (over <= 0)):
+        out[k] = normal(Uniform((int(seeds[k, 0]), int(seeds[k, 1]))))
+    return out
+
+
 def half_draw(text: Column, mean: Column, sd: Column) -> Column:
-    """Half a normal draw seeded by the MD5 of the text, rounded half to even and never below 0."""
+    """Half a normal draw seeded by the MD5 of the text, rounded half to even and never below 0; null for a null text."""
 
     @F.pandas_udf(T.LongType())
     def drawn(phrases: pd.Series, means: pd.Series, sds: pd.Series) -> pd.Series:
-        return pd.Series([max(0, round(normal_of(p.encode(), m, s) / 2)) for p, m, s in zip(phrases, means, sds)], dtype="int64")
-
-    return drawn(F.md5(text), mean.cast("double"), sd.cast("double"))
+        if (sds < 0).any():
+            raise ValueError("a standard deviation cannot be negative")
+        digits = np.frombuffer("".join(phrases).encode(), dtype=np.uint8).reshape(-1, 32)
+        draws = sds.to_numpy() * first_normals(digits) + means.to_numpy()
+        return pd.Series(np.maximum(0, np.rint(draws / 2)).astype("int64"))
+
+    known = F.coalesce(F.md5(text), F.lit("0" * 32))
+    return F.when(text.isNotNull(), drawn(known, F.coalesce(mean, F.lit(0)).cast("double"), F.coalesce(sd, F.lit(0)).cast("double")))

@@ -53,6 +53,14 @@ def test_normal_deviates_are_normal():
         seeded.normal_of(b"x", 0, -1)
 
 
+def test_draws_together_are_those_one_by_one():
+    import hashlib
+
+    phrases = [hashlib.md5(str(i).encode()).hexdigest().encode() for i in range(5000)]
+    together = seeded.first_normals(np.frombuffer(b"".join(phrases), dtype=np.uint8).reshape(-1, 32))
+    assert together.tolist() == [seeded.normal_of(p, 0, 1) for p in phrases]
+
+
 def test_half_draw_follows_the_text(spark):
     df = spark.createDataFrame([("a",), ("b",), ("a",)], "t string")
     got = [r[0] for r in df.select(seeded.half_draw(df.t, F.lit(300), F.lit(40))).collect()]
