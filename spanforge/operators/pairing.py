@@ -70,26 +70,17 @@ def block_ordered(pairs: DataFrame) -> DataFrame:
     )
 
 
-def _numbered(df: DataFrame, ord: str) -> DataFrame:
-    order = W.partitionBy("name").orderBy(pair_rank(F.col("flags")), ord)
-    return pairable(df).withColumn("__rn", F.row_number().over(order))
-
-
-def _records() -> Column:
-    return F.struct("name", "flags", "chrom", "start", "end", "mapq")
-
-
 def _coupled(df: DataFrame, ord: str) -> DataFrame:
     """name, couple (0, 1, ...), one, two (null for the record left over).
 
-    Records of one name travel together; a name's records are numbered in a
-    window, not gathered.
+    One window over the records of a name: each odd record looks one ahead.
     """
-    numbered = _numbered(df, ord).withColumn("__couple", F.expr("(__rn - 1) div 2"))
-    odd = F.col("__rn") % 2 == 1
-    return numbered.groupBy("name", "__couple").agg(
-        F.max(F.when(odd, _records())).alias("one"), F.max(F.when(~odd, _records())).alias("two")
-    )
+    mates = W.partitionBy("name").orderBy(pair_rank(F.col("flags")), ord)
+    record = F.struct("name", "flags", "chrom", "start", "end", "mapq")
+    numbered = pairable(df).select(
+        "name", F.row_number().over(mates).alias("__rn"), record.alias("one"), F.lead(record).over(mates).alias("two")
+    )
+    return numbered.where("__rn % 2 = 1").withColumn("couple", F.expr("(__rn - 1) div 2")).drop("__rn")
 
 
 def mate_pairs(df: DataFrame, ord: str = "ord", after_leftover: bool = True, prefix: int = 6) -> DataFrame:
@@ -108,17 +99,22 @@ def mate_pairs(df: DataFrame, ord: str = "ord", after_leftover: bool = True, pre
     flagged = has(F.col("one.flags"), PAIRED) & has(F.col("two.flags"), PAIRED)
     if not after_leftover:
         return block_ordered(full.where(flagged))
-    sizes = pairable(df).groupBy("name").agg((F.count("*") % 2 == 1).alias("__odd"))
-    sizes = sizes.withColumn("__key", natural_key(F.col("name"))).withColumn("__prefix", F.substring("__key", 1, prefix))
+    names = pairable(df).groupBy("name").agg((F.count("*") % 2 == 1).alias("odd"))
+    names = names.withColumn("__key", natural_key(F.col("name"))).withColumn("__prefix", F.substring("__key", 1, prefix))
     within = W.partitionBy("__prefix").orderBy("__key", "name")
-    lasts = sizes.groupBy("__prefix").agg(F.max_by("__odd", F.struct("__key", "name")).alias("__last"))
+    lasts = names.groupBy("__prefix").agg(F.max_by("odd", F.struct("__key", "name")).alias("__last"))
     lasts = lasts.select("__prefix", F.lag("__last").over(W.orderBy("__prefix")).alias("__last"))
-    known = sizes.withColumn("__before", F.lag("__odd").over(within)).join(lasts, "__prefix")
-    after = known.select("name", F.coalesce("__before", "__last", F.lit(False)).alias("__after_odd"))
-    first = full.where((F.col("__couple") == 0) & ~flagged).join(after.where("__after_odd").select("name"), "name")
+    known = names.withColumn("__before", F.lag("odd").over(within)).join(lasts, "__prefix")
+    after = known.where(F.coalesce("__before", "__last", F.lit(False))).select("name")
+    first = full.where((F.col("couple") == 0) & ~flagged).join(after, "name")
     return block_ordered(full.where(flagged).select("one", "two").unionByName(first.select("one", "two")))
 
 
+def any_unflagged(df: DataFrame) -> bool:
+    """Whether a record that can be paired is not flagged as paired; a scan of the flags."""
+    return not pairable(df).where(~has(F.col("flags"), PAIRED)).isEmpty()
+
+
 def mate_orphans(df: DataFrame, ord: str = "ord") -> DataFrame:
     """One row, `orphans`: records flagged as paired that are left over by their name, the last record of all not counted."""
     left = _coupled(df, ord).where("two is null").select("name", has(F.col("one.flags"), PAIRED).alias("paired"))

@@ -5,17 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from spanforge.checkpoints import cut
 from spanforge.operators import fragments as fr
 from spanforge.operators import intervals as iv
 from spanforge.operators.gc import corrected_depth
-from spanforge.operators.pairing import mate_pairs, single_intervals
+from spanforge.operators.pairing import any_unflagged, mate_pairs, single_intervals
 
 
 def fragment_intervals(alignments: DataFrame, paired: bool = True, check: bool = False) -> DataFrame:
-    """BED6 of what each read or pair covers. check: fail at once where no pair is proper."""
+    """BED6 of what each read or pair covers. check: fail at once where no pair is proper.
+
+    Pairs are written to the checkpoint folder, as they are read twice: for the
+    distribution of their distances, and for the fragments.
+    """
     if not paired:
         return single_intervals(alignments)
-    pairs = mate_pairs(alignments)
+    pairs = cut(mate_pairs(alignments, after_leftover=any_unflagged(alignments)))
     stats = fr.fragment_stats(pairs)
     return fr.fragments(pairs, fr.require_pairs(stats) if check else stats)
 

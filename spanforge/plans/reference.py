@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from spanforge.checkpoints import cut
 from spanforge.functions import names as nm
 from spanforge.functions.numbers import as_awk
 from spanforge.functions.rounding import round_r
@@ -147,13 +148,13 @@ def fragment_stats(spark: SparkSession, d: str) -> DataFrame:
   union all select chrom1, greatest(start1, 0), end1, name, score, strand1 from y where not ok and chrom1 <> '.'
   union all select chrom2, greatest(start2, 0), end2, name, score, strand2 from y where not ok and chrom2 <> '.'""")
 def fragment_emit_noext(spark: SparkSession, d: str) -> DataFrame:
-    pairs = pr.mate_pairs(alignments(spark, d))
+    pairs = cut(pr.mate_pairs(alignments(spark, d)))
     return fr.fragments(pairs, fr.fragment_stats(pairs), draw=False).withColumnsRenamed({"start": "first", "end": "last"})
 
 
 @query()
 def fragment_extension(spark: SparkSession, d: str) -> DataFrame:
-    pairs = pr.mate_pairs(alignments(spark, d))
+    pairs = cut(pr.mate_pairs(alignments(spark, d)))
     return fr.fragments(pairs, fr.fragment_stats(pairs)).withColumnsRenamed({"start": "first", "end": "last"})
 
 

@@ -36,10 +36,7 @@ _FLAGS = (
     " + case when l_linenumber % 2 = 0 then 16 else 0 end + case when l_linenumber % 2 = 1 then 64 else 128 end"
     " + case when l_quantity = 1 then 256 else 0 end + case when l_quantity = 2 then 2048 else 0 end as int)"
 )
-_ORDER = (
-    "row_number() over (partition by l_orderkey order by l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax,"
-    " l_returnflag, l_linestatus, l_shipdate)"
-)
+_ORDER = "((l_linenumber * cast(10000000 as bigint) + l_partkey) * 100000 + l_suppkey) * 100 + cast(l_quantity as bigint)"
 _PLACE = "(l_orderkey {div} 24) * 1000 + l_partkey % 400"
 
 
