@@ -19,7 +19,7 @@ INDEX_COLUMNS = (
     "paired_fastq withdrawn withdrawn_date comment read_count base_count analysis_group"
 ).split()
 #: Lines that are first parsed together, and few enough to be looked at one by one.
-BLOCK_LINES, FEW_LINES = 512, 4
+BLOCK_LINES, FEW_LINES = 512, 32
 _GREATEST = str(2**63 - 1)
 # One field: quoted, or not beginning with a quote and without a line break.
 _FIELD = r'(?:"(?:[^"]|"")*"|[^"\t\n][^\t\n]*)?'
@@ -40,8 +40,21 @@ def _flag_like(column: pa.Array) -> pa.Array:
     return pc.is_in(pc.utf8_trim(column, " "), pa.array(["", "NA", "0", "1"]))
 
 
-#: Columns with a rule, in the order in which their failures are named.
-INDEX_RULES: dict[str, Callable[[pa.Array], pa.Array]] = {"insert_size": _count_like, "read_count": _count_like, "withdrawn": _flag_like}
+def _is_count(text: str) -> bool:
+    bare = text.strip(" ")
+    digits = bare.lstrip("0")
+    number = bare.isascii() and bare.isdigit() and (len(digits) < 19 or len(digits) == 19 and digits <= _GREATEST)
+    return number or bare in ("", "NA")
+
+
+def _is_flag(text: str) -> bool:
+    return text.strip(" ") in ("", "NA", "0", "1")
+
+
+#: Columns with a rule for all values and for one, in the order in which their failures are named.
+INDEX_RULES: dict[str, tuple[Callable[[pa.Array], pa.Array], Callable[[str], bool]]] = {
+    "insert_size": (_count_like, _is_count), "read_count": (_count_like, _is_count), "withdrawn": (_flag_like, _is_flag),
+}
 
 
 def parse_block(lines: list[str], columns: list[str], rules: dict) -> pa.Table | None:
@@ -67,7 +80,7 @@ def parse_block(lines: list[str], columns: list[str], rules: dict) -> pa.Table |
         )
     except pa.ArrowInvalid:
         return None
-    if len(table) != len(lines) or not all(pc.all(rule(table.column(c))).as_py() for c, rule in rules.items()):
+    if len(table) != len(lines) or not all(pc.all(sound(table.column(c))).as_py() for c, (sound, _) in rules.items()):
         return None
     return table
 
@@ -102,8 +115,8 @@ def diagnose(line: str, columns: list[str], rules: dict) -> tuple[str | None, li
         return "quoting", None
     if len(fields) != len(columns):
         return "columns", None
-    for c, rule in rules.items():
-        if not rule(pa.array([fields[columns.index(c)]], pa.string()))[0].as_py():
+    for c, (_, sound) in rules.items():
+        if not sound(fields[columns.index(c)]):
             return c, None
     return None, fields
 
