@@ -75,25 +75,33 @@ def look_mapped(text: Column) -> Column:
     return mapped(text)
 
 
-# What the plain key keeps of a codepoint; smaller values are the ASCII character it keeps.
-_DROPPED, _MARK, _UNSEEN = 253, 254, 255
+# What the plain key makes of a codepoint that it does not keep.
+_DROPPED, _MARK, _UNSEEN = -1, -2, -3
 
 
 @lru_cache(maxsize=1)
 def _plain_table() -> tuple[np.ndarray, np.ndarray]:
-    """What each codepoint becomes in the plain key, and whether it shows."""
-    becomes = np.full(0x110000, _DROPPED, dtype=np.uint8)
+    """What each codepoint becomes in the plain key, and whether it shows.
+
+    Kept are characters that no accent is part of, as what they are mapped to.
+    Those built with accents are dropped, and so are Hangul syllables and their
+    letters, which compose without a mark.
+    """
+    becomes = np.arange(0x110000, dtype=np.int32)
     shows = np.ones(0x110000, dtype=bool)
+    one, more = _mapping()
     for c in range(0x110000):
-        kind = unicodedata.category(chr(c))
-        if kind[0] == "M":
-            becomes[c] = _MARK
+        char = chr(c)
+        kind = unicodedata.category(char)
         if kind in ("Cc", "Cf", "Zs", "Zl", "Zp"):
             shows[c] = False
-    becomes[:0x80] = np.arange(0x80)
-    for char, to in _mapping()[0].items():
-        if to.isascii():
-            becomes[ord(char)] = ord(to)
+        if kind[0] == "M":
+            becomes[c] = _MARK
+        elif char in more or 0x1100 <= c < 0x1200 or 0xAC00 <= c < 0xD7A4:
+            becomes[c] = _DROPPED
+        elif c >= 0x80:
+            apart = unicodedata.normalize("NFD", one.get(char, char))
+            becomes[c] = ord(apart) if len(apart) == 1 else _DROPPED
     for char in _no_width():
         becomes[ord(char)], shows[ord(char)] = _UNSEEN, False
     return becomes, shows
@@ -102,9 +110,9 @@ def _plain_table() -> tuple[np.ndarray, np.ndarray]:
 def plain_keys(texts: pa.Array) -> pa.Array:
     """A hash of what no accent touches: equal for texts that look the same, whatever their composition.
 
-    Look-alikes count as one letter; letters followed by combining marks and all
-    other characters outside ASCII are left out, so composed and combined
-    accents leave the same rest.  Null for a null text and one that shows nothing.
+    Look-alikes count as one letter; letters followed by combining marks and
+    those composed with accents are left out, so both leave the same rest.
+    Null for a null text and one that shows nothing.
     """
     data, offsets = utf8(texts)
     if not len(data):
@@ -116,16 +124,16 @@ def plain_keys(texts: pa.Array) -> pa.Array:
     becomes, shows = _plain_table()
     doc = np.searchsorted(block.pos, offsets)
     shown = np.concatenate([[0], np.cumsum(shows[code])])
+    visible = shown[doc[1:]] > shown[doc[:-1]]
     value = becomes[code]
     seen = value != _UNSEEN
     first = np.concatenate([[0], np.cumsum(seen)])[doc]
     value = value[seen]
     marked = np.concatenate([value[1:] == _MARK, [False]])
     marked[first[(first > 0)] - 1] = False
-    keep = (value < 0x80) & ~marked
-    bounds = np.concatenate([[0], np.cumsum(keep)])[first]
-    rest = value[keep].tobytes()
-    visible = shown[doc[1:]] > shown[doc[:-1]]
+    keep = (value >= 0) & ~marked
+    bounds = 2 * np.concatenate([[0], np.cumsum(keep)])[first]
+    rest = value[keep].astype(np.uint16).tobytes()  # the low bits are enough for a hash
     return pa.array(
         [xxhash.xxh3_64_intdigest(rest[a:b]) - (1 << 63) if v else None for a, b, v in zip(bounds[:-1], bounds[1:], visible)], pa.int64()
     )
@@ -157,8 +165,8 @@ def look_classes(df: DataFrame, doc: str = "doc_id", text: str = "text") -> Data
     accent-sensitive collation UNICODE, which equates composed and combined
     accents.  The document with the least id is the canonical member; it is
     joined back to all members.  class_id is its id.  Before that, a hash of
-    the accent-free part alone leaves out texts whose look no other text
-    shares: of those nothing but the hash is moved.  The other texts are written
+    the accent-free part alone leaves out texts that no other text can look
+    like: of those nothing but the hash is moved.  The other texts are written
     to the checkpoint folder with their mapped forms, so that no filter on a
     form is inferred and run over the whole corpus.  The collation also ignores
     control characters, which are no such difference: an exact comparison of

@@ -51,6 +51,20 @@ def test_against_brute_force(spark, rows):
     assert rows(look_alike_pairs(df)) == sorted(expected, key=repr)
 
 
+def test_key_of_equivalent_characters():
+    """Composition never changes the key, for any character that has a canonical form of its own."""
+    import pyarrow as pa
+
+    from spanforge.llm.lookalike import plain_keys
+
+    chars = [chr(c) for c in range(0x80, 0x30000) if unicodedata.decomposition(chr(c)) and "<" not in unicodedata.decomposition(chr(c))]
+    chars += ["각", "ẹ́", "が", "Ή"]
+    forms = [[f"x{unicodedata.normalize(f, c)}y" for c in chars] for f in ("NFC", "NFD")] + [[f"x{c}y" for c in chars]]
+    keys = [plain_keys(pa.array(f)).to_pylist() for f in forms]
+    assert keys[0] == keys[1] == keys[2]
+    assert len(set(plain_keys(pa.array(["日本", "本日", "мир", "日本語", None, "​"])).to_pylist())) == 5
+
+
 def test_letters_that_must_stay_apart(spark):
     texts = ["I1", "l1", "11", "O0", "00", "resume", "résumé", "n", "ñ", "и", "й", "cat", "Cat"]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
