@@ -24,7 +24,7 @@ def sam_alignments(spark: SparkSession, path: str) -> DataFrame:
     record without a reference or position fails the job.
     """
     lines = numbered_lines(spark, path).where(~F.col("value").startswith("@"))
-    v = F.col("value")
+    v = F.when(~F.col("value").startswith("@"), F.col("value"))  # filters may be evaluated in any order
     spans = F.regexp_extract_all(field(v, 5), F.lit("([0-9]+)[MDN=X]"), F.lit(1))
     span = F.aggregate(spans, F.lit(0).cast("long"), lambda total, x: total + x.cast("long"))
     flags = field(v, 1).cast("int")
