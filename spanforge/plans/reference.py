@@ -164,6 +164,13 @@ def paired_coverage(spark: SparkSession, d: str) -> DataFrame:
     return pipeline.coverage(alignments(spark, d), domains(spark, d))
 
 
+@query(f"""with {ALIGNMENTS}, {DOMAINS}, r as (select chrom, s, e from alignments where flags & 4 = 0), {_SUMS.replace('reads r', 'r')}
+  select name, overlap_sum / cast(e - s + 1 as double) as depth from sums""")
+def single_end_coverage(spark: SparkSession, d: str) -> DataFrame:
+    """The chain for unpaired reads."""
+    return pipeline.coverage(alignments(spark, d), domains(spark, d), paired=False)
+
+
 # Composition and correction.
 
 _S = "coalesce(text, '')"
@@ -209,6 +216,23 @@ def gc_bin_mean_log(spark: SparkSession, d: str) -> DataFrame:
     return gco.fit_bins(rows, []).select("percent_gc", F.round("mean_log", 9).alias("mean_log"), "n")
 
 
+@query(f"""with p as (select percent_gc x, coverage, trim(split_part(domain, '::', 1), ' ') dom {_FINITE.format(c='percent_gc')} and coverage is not null
+    and not isnan(coverage) and not isinf(coverage) and trim(split_part(domain, '::', 1), ' ') <> ''), b as (select dom, coverage, {_R2} as percent_gc from p),
+  m as (select percent_gc, avg(ln(coverage)) mean_log from b where regexp_matches(dom, '^(baseline|uc)') and coverage > 0.05 and percent_gc >= 0.2 and percent_gc < 0.73 group by 1),
+  f as (select percent_gc, (select avg(mean_log) from m) / mean_log factor from m)
+  select b.percent_gc, round(case when b.percent_gc < 0.2 then (select arg_min(factor, percent_gc) from f) when b.percent_gc >= 0.73 then (select arg_max(factor, percent_gc) from f)
+    else coalesce(f.factor, 1) end, 9) factor, count(*) n from b left join f on cast(round(b.percent_gc * 100) as int) = cast(round(f.percent_gc * 100) as int) group by 1, 2""")
+def gc_model_lookup(spark: SparkSession, d: str) -> DataFrame:
+    """Factors looked up by composition, flat beyond the window; the curve is left unsmoothed so that SQL can follow."""
+    rows = _composed(spark, d).withColumn("percent_gc", round_r(F.col("percent_gc"), 2))
+    bins = gco.fit_bins(rows, [])
+    mean = bins.agg(F.avg("mean_log").alias("mean"))
+    factors = bins.crossJoin(F.broadcast(mean)).select(F.round(F.col("percent_gc") * 100).cast("int").alias("bin"), (F.col("mean") / F.col("mean_log")).alias("factor"))
+    ends = factors.agg(F.min_by("factor", "bin").alias("first"), F.max_by("factor", "bin").alias("last"))
+    keyed = rows.withColumn("bin", F.round(F.col("percent_gc") * 100).cast("int")).join(factors, "bin", "left").crossJoin(F.broadcast(ends))
+    return keyed.groupBy("percent_gc", F.round(gco.factor_for(F.col("percent_gc")), 9).alias("factor")).agg(F.count("*").alias("n"))
+
+
 def _composed(spark: SparkSession, d: str) -> DataFrame:
     finite = " and ".join(f"{c} is not null and not isnan({c}) and abs({c}) < double('infinity')" for c in ("percent_gc", "coverage"))
     return table(spark, d, "corrected").where(finite).select(bare_name(F.col("domain")).alias("domain"), "coverage", "percent_gc").where("domain <> ''")
