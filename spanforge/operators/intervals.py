@@ -86,8 +86,10 @@ def merge_sum(df: DataFrame, key: str = "key", start: str = "start", end: str =
     """key, start, end, value: intervals of a key that overlap or touch become one, their values summed.
 
     Equal intervals are summed first, in part before the shuffle; a key whose
-    rows all share one interval then has a single row to look at.  Rows with
-    null bounds are left out; null values count as none.
+    rows all share one interval then has a single row to look at.  A window goes
+    through the rest of a key's rows in one task; for keys that hold a large
+    share of all rows see stretches.stretch_sums.  Rows with null bounds are
+    left out; null values count as none.
     """
     sums = (
         df.where(F.col(start).isNotNull() & F.col(end).isNotNull()).groupBy(key, start, end).agg(F.coalesce(F.sum(value), F.lit(0)).alias("__value"))

@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
+from spanforge.checkpoints import cut
+
 #: Positions that are ranked together; a window holds at most one row for each.
 BLOCK_POSITIONS = 1 << 16
 
@@ -32,24 +34,30 @@ def bare_chrom(c: Column) -> Column:
     return F.concat(F.lit("chr"), F.regexp_replace(F.trim(c), "^(?i)chr", ""))
 
 
-def _ranked(df: DataFrame, entity: list[str], position: str) -> DataFrame:
-    """entity, position, first_rank, last_rank: ranks of the rows at each position of an entity, from 1."""
+def _running(df: DataFrame, entity: list[str], position: str, amount: Column) -> DataFrame:
+    """entity, position, before, upto: sums of an amount over the rows of an entity before each position, and with it."""
     block = F.floor(F.col(position) / BLOCK_POSITIONS).cast("long")
-    counted = df.groupBy(*entity, F.col(position).alias("__at")).agg(F.count("*").alias("__n")).withColumn(
+    counted = df.groupBy(*entity, F.col(position).alias("__at")).agg(F.sum(amount).alias("__n")).withColumn(
         "__block", F.floor(F.col("__at") / BLOCK_POSITIONS).cast("long")
     )
-    blocks = df.groupBy(*entity, block.alias("__block")).agg(F.count("*").alias("__m"))
+    blocks = df.groupBy(*entity, block.alias("__block")).agg(F.sum(amount).alias("__m"))
     before = blocks.select(
         *entity, "__block",
         F.coalesce(F.sum("__m").over(W.partitionBy(*entity).orderBy("__block").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("__before"),
     )
     within = F.sum("__n").over(W.partitionBy(*entity, "__block").orderBy("__at").rowsBetween(W.unboundedPreceding, 0))
     return counted.withColumn("__sum", within).join(before, [*entity, "__block"]).select(
-        *entity, F.col("__at").alias(position), (F.col("__before") + F.col("__sum") - F.col("__n") + 1).alias("first_rank"),
-        (F.col("__before") + F.col("__sum")).alias("last_rank"),
+        *entity, F.col("__at").alias(position), (F.col("__before") + F.col("__sum") - F.col("__n")).alias("before"),
+        (F.col("__before") + F.col("__sum")).alias("upto"),
     )
 
 
+def _ranked(df: DataFrame, entity: list[str], position: str) -> DataFrame:
+    """entity, position, first_rank, last_rank: ranks of the rows at each position of an entity, from 1."""
+    counts = _running(df, entity, position, F.lit(1).cast("long"))
+    return counts.select(*entity, position, (F.col("before") + 1).alias("first_rank"), F.col("upto").alias("last_rank"))
+
+
 def gaps(df: DataFrame, entity: list[str], start: str, end: str) -> DataFrame:
     """entity, gap_start, gap_end: the gaps between neighbouring stretches of each entity.
 
@@ -63,18 +71,40 @@ def gaps(df: DataFrame, entity: list[str], start: str, end: str) -> DataFrame:
     return starts.join(ends, [*entity, "__rank"]).where("gap_end > gap_start").select(*entity, "gap_start", "gap_end")
 
 
+def _paired_bounds(df: DataFrame, entity: list[str], start: str, end: str) -> DataFrame:
+    """entity, place (from 1), stretch_start, stretch_end. The gaps, used twice, are written to the checkpoint folder."""
+    between = cut(gaps(df, entity, start, end))
+    outer = usable_intervals(df, entity, start, end).groupBy(*entity).agg(F.min(start).alias("__first"), F.max(end).alias("__last"))
+    opens = between.select(*entity, F.col("gap_end").alias("stretch_start")).unionByName(outer.select(*entity, F.col("__first").alias("stretch_start")))
+    closes = between.select(*entity, F.col("gap_start").alias("stretch_end")).unionByName(outer.select(*entity, F.col("__last").alias("stretch_end")))
+    bounds = [_ranked(b, entity, c).select(*entity, F.col("first_rank").alias("place"), c) for b, c in ((opens, "stretch_start"), (closes, "stretch_end"))]
+    return bounds[0].join(bounds[1], [*entity, "place"])
+
+
 def stretches(df: DataFrame, entity: list[str], start: str, end: str) -> DataFrame:
     """entity, stretch_start, stretch_end: the continuous covered stretches of each entity.
 
     Boundaries are the gaps' ends and the outermost positions; the i-th opening
     boundary is paired with the i-th closing one, both ranked like above.
     """
-    between = gaps(df, entity, start, end)
-    outer = usable_intervals(df, entity, start, end).groupBy(*entity).agg(F.min(start).alias("__first"), F.max(end).alias("__last"))
-    opens = between.select(*entity, F.col("gap_end").alias("stretch_start")).unionByName(outer.select(*entity, F.col("__first").alias("stretch_start")))
-    closes = between.select(*entity, F.col("gap_start").alias("stretch_end")).unionByName(outer.select(*entity, F.col("__last").alias("stretch_end")))
-    return (
-        _ranked(opens, entity, "stretch_start").drop("last_rank")
-        .join(_ranked(closes, entity, "stretch_end").drop("last_rank"), [*entity, "first_rank"])
-        .select(*entity, "stretch_start", "stretch_end")
-    )
+    return _paired_bounds(df, entity, start, end).drop("place")
+
+
+def stretch_sums(df: DataFrame, entity: list[str], start: str, end: str, value: str) -> DataFrame:
+    """entity, stretch_start, stretch_end, value: the stretches, with the values of their intervals summed.
+
+    Gives what operators.intervals.merge_sum gives for intervals that are not
+    empty, for keys that may hold a large share of all rows.  Running sums of
+    the values are built like the ranks; a stretch holds what was added between
+    its start and the next one's.  Null values count as none.
+    """
+    rows = usable_intervals(df, entity, start, end)
+    bounds = _paired_bounds(df, entity, start, end)
+    amount = F.coalesce(F.col(value), F.lit(0))
+    sums = _running(rows, entity, start, amount).select(*entity, F.col(start).alias("stretch_start"), F.col("before").alias("__low"))
+    opened = bounds.join(sums, [*entity, "stretch_start"])
+    following = opened.select(*entity, (F.col("place") - 1).alias("place"), F.col("__low").alias("__high"))
+    whole = rows.groupBy(*entity).agg(F.sum(amount).alias("__all"))
+    return opened.join(following, [*entity, "place"], "left").join(whole, entity).select(
+        *entity, "stretch_start", "stretch_end", (F.coalesce("__high", "__all") - F.col("__low")).alias(value)
+    )

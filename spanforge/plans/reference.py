@@ -18,7 +18,7 @@ from spanforge.operators import selection as sel
 from spanforge.operators import trimming as tr
 from spanforge.operators.copies import bare_name, newest
 from spanforge.operators.records import parsed_records
-from spanforge.operators.stretches import bare_chrom
+from spanforge.operators.stretches import bare_chrom, stretch_sums
 from spanforge.plans import pipeline
 from spanforge.plans.problems import _P4, _newest_sql
 from spanforge.plans.views import (
@@ -72,12 +72,25 @@ def uncovered_domains(spark: SparkSession, d: str) -> DataFrame:
     return met.where("b_name is null").select(F.col("a_name").alias("name"))
 
 
-@query(f"""with {READS}, m as (select *, max(e) over (partition by chrom order by s, e rows between unbounded preceding and 1 preceding) w from reads),
+_MERGED = f"""with {READS}, m as (select *, max(e) over (partition by chrom order by s, e rows between unbounded preceding and 1 preceding) w from reads),
   o as (select *, sum(case when s <= w then 0 else 1 end) over (partition by chrom order by s, e rows unbounded preceding) k from m)
-  select chrom, min(s) as first, max(e) as last, cast(sum(score) as bigint) as total from o group by chrom, k""")
+  select chrom, min(s) as first, max(e) as last, cast(sum(score) as bigint) as total from o group by chrom, k"""
+
+
+def _scored(spark: SparkSession, d: str) -> DataFrame:
+    return reads(spark, d).select("chrom", F.col("start").alias("first"), F.col("end").alias("last"), F.col("score").cast("long").alias("total"))
+
+
+@query(_MERGED)
 def merge_book_ended(spark: SparkSession, d: str) -> DataFrame:
-    rows = reads(spark, d).select("chrom", F.col("start").alias("first"), F.col("end").alias("last"), F.col("score").cast("long").alias("total"))
-    return iv.merge_sum(rows, "chrom", "first", "last", "total")
+    return iv.merge_sum(_scored(spark, d), "chrom", "first", "last", "total")
+
+
+@query(_MERGED)
+def merge_by_stretches(spark: SparkSession, d: str) -> DataFrame:
+    """The same merge for keys that hold a large share of all rows."""
+    merged = stretch_sums(_scored(spark, d), ["chrom"], "first", "last", "total")
+    return merged.withColumnsRenamed({"stretch_start": "first", "stretch_end": "last"})
 
 
 @query(f"""with {READS} select chrom, s as first, e as last, name from reads

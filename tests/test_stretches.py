@@ -42,6 +42,21 @@ def test_against_brute_force(spark, rows, monkeypatch):
     check(spark, rows, data)
 
 
+def test_sums_are_those_of_the_merge(spark, rows, monkeypatch):
+    from spanforge.operators.intervals import merge_sum
+
+    monkeypatch.setattr(st, "BLOCK_POSITIONS", 50)
+    draw = random.Random(7)
+    data = []
+    for _ in range(600):
+        s = draw.randrange(-300, 3000)
+        data.append((draw.choice(["hot", "hot", "a", "b"]), s, s + draw.randrange(1, 15), draw.choice([None, 0, 1, 5, -3])))
+    df = spark.createDataFrame(data, "k string, s long, e long, v long")
+    got = st.stretch_sums(df, ["k"], "s", "e", "v")
+    assert rows(got) == rows(merge_sum(df, "k", "s", "e", "v"), "k", "s", "e", "v")
+    assert rows(st.stretch_sums(df.limit(0), ["k"], "s", "e", "v")) == []
+
+
 def test_touching_nested_and_repeated(spark, rows):
     check(spark, rows, [("a", 0, 10), ("a", 10, 20), ("a", 2, 5), ("a", 2, 5), ("a", 25, 30), ("a", 21, 30), ("b", 5, 5), ("b", 9, 3), ("c", 1, 2)])
     check(spark, rows, [])
