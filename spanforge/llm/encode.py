@@ -6,11 +6,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from spanforge.llm.pretokenize import Slices, text_blocks
+from spanforge.llm.pretokenize import Slices, long_parts, text_blocks
 from spanforge.llm.vocabulary import DEFAULT_FOLDER, BytePairs, vocabulary
 
 #: Bytes of text that a worker holds as arrays at a time; a longer text is handled by itself.
@@ -37,6 +38,21 @@ def encode_block(texts: pa.Array, bpe: BytePairs) -> tuple[pa.ListArray, pa.List
     return ids, pa.ListArray.from_arrays(pa.array(lists), pa.array(starts))
 
 
+def encode_texts(texts: pa.Array, bpe: BytePairs) -> tuple[pa.ListArray, pa.ListArray]:
+    """Like encode_block; one long text goes through it part by part."""
+    parts = long_parts(texts)
+    if len(parts) == 1:
+        return encode_block(texts, bpe)
+    done, base = [], 0
+    for part in parts:
+        ids, starts = encode_block(part, bpe)
+        done.append((ids.values, pc.add(starts.values, base)))
+        base += len(part[0].as_buffer())
+    joined = [pa.concat_arrays(x) for x in zip(*done)]
+    ends = pa.array([0, len(joined[0])], pa.int32())
+    return tuple(pa.ListArray.from_arrays(ends, x) for x in joined)
+
+
 def encode_corpus(
     df: DataFrame,
     text: str = "text",
@@ -65,7 +81,7 @@ def encode_corpus(
         bpe = vocabulary(tokenizer, folder)
         for batch in batches:
             for block in text_blocks(batch, "__text", BLOCK_BYTES):
-                found, starts = encode_block(block.column("__text"), bpe)
+                found, starts = encode_texts(block.column("__text"), bpe)
                 columns = [block.column(c) for c in keep] + [found] + ([starts] if offsets else [])
                 yield pa.RecordBatch.from_arrays(columns, names=keep + [ids] + ([offsets] if offsets else []))
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from spanforge.checkpoints import cut
-from spanforge.llm.pretokenize import Block, text_blocks, utf8
+from spanforge.llm.pretokenize import Block, long_parts, text_blocks, utf8
 
 BLOCK_BYTES = 2 << 20
 
@@ -107,16 +107,11 @@ def _plain_table() -> tuple[np.ndarray, np.ndarray]:
     return becomes, shows
 
 
-def plain_keys(texts: pa.Array) -> pa.Array:
-    """A hash of what no accent touches: equal for texts that look the same, whatever their composition.
-
-    Look-alikes count as one letter; letters followed by combining marks and
-    those composed with accents are left out, so both leave the same rest.
-    Null for a null text and one that shows nothing.
-    """
+def _plain_rests(texts: pa.Array) -> list[tuple[bool, bytes]]:
+    """Of each text, whether it shows anything and what the plain key keeps of it."""
     data, offsets = utf8(texts)
     if not len(data):
-        return pa.nulls(len(texts), pa.int64())
+        return [(False, b"")] * len(texts)
     block = Block(data, offsets)
     code = block.lead.astype(np.int32)
     wide = np.flatnonzero(block.lead >= 0xC0)
@@ -134,9 +129,20 @@ def plain_keys(texts: pa.Array) -> pa.Array:
     keep = (value >= 0) & ~marked
     bounds = 2 * np.concatenate([[0], np.cumsum(keep)])[first]
     rest = value[keep].astype(np.uint16).tobytes()  # the low bits are enough for a hash
-    return pa.array(
-        [xxhash.xxh3_64_intdigest(rest[a:b]) - (1 << 63) if v else None for a, b, v in zip(bounds[:-1], bounds[1:], visible)], pa.int64()
-    )
+    return [(bool(v), rest[a:b]) for a, b, v in zip(bounds[:-1], bounds[1:], visible)]
+
+
+def plain_keys(texts: pa.Array) -> pa.Array:
+    """A hash of what no accent touches: equal for texts that look the same, whatever their composition.
+
+    Look-alikes count as one letter; letters followed by combining marks and
+    those composed with accents are left out, so both leave the same rest.
+    Null for a null text and one that shows nothing.
+    """
+    parts = [_plain_rests(part) for part in long_parts(texts)]
+    if len(parts) > 1:
+        parts = [[(any(p[0][0] for p in parts), b"".join(p[0][1] for p in parts))]]
+    return pa.array([xxhash.xxh3_64_intdigest(rest) - (1 << 63) if v else None for v, rest in parts[0]], pa.int64())
 
 
 #: Most texts whose digests are broadcast (some 20 MB); more are joined by a shuffle.

@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window as W
 
 from spanforge.checkpoints import cut
-from spanforge.llm.pretokenize import Slices, text_blocks
+from spanforge.llm.pretokenize import Slices, long_parts, text_blocks
 from spanforge.llm.vocabulary import DEFAULT_FOLDER, vocabulary
 
 BLOCK_BYTES = 2 << 20
@@ -97,6 +97,17 @@ def best_fit_runs(capacity: int, counts: dict[int, int]) -> Iterator[tuple[int,
                 bins.add(room, first + whole, number - whole)
 
 
+def lengths(texts: pa.Array, v) -> np.ndarray:
+    """Tokens of each text by a vocabulary; one long text is counted part by part."""
+    prepared = v.prepare(texts.fill_null(""))
+    found = []
+    for part in long_parts(prepared):
+        s = Slices(part, v.splitter)
+        total = np.concatenate([[0], np.cumsum(v.counts(s.distinct)[s.index])])
+        found.append(np.diff(total[s.doc_slices]))
+    return found[0] if len(found) == 1 else np.sum(found, axis=0)
+
+
 def token_counts(
     df: DataFrame, tokenizers: list[str], text: str = "text", item: str = "doc_id", folder: str = DEFAULT_FOLDER
 ) -> DataFrame:
@@ -110,10 +121,7 @@ def token_counts(
         for batch in batches:
             for block in text_blocks(batch, "__text", BLOCK_BYTES):
                 for name in tokenizers:
-                    v = vocabulary(name, folder)
-                    s = Slices(v.prepare(block.column("__text").fill_null("")), v.splitter)
-                    total = np.concatenate([[0], np.cumsum(v.counts(s.distinct)[s.index])])
-                    counts = np.diff(total[s.doc_slices])
+                    counts = lengths(block.column("__text"), vocabulary(name, folder))
                     yield pa.RecordBatch.from_arrays(
                         [block.column("__item"), pa.array([name] * len(counts), pa.string()), pa.array(counts, pa.int64())],
                         names=[item, "tokenizer", "tokens"],

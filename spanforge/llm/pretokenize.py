@@ -155,6 +155,36 @@ class Slices:
         self.doc_offsets = offsets
 
 
+#: Bytes of one text that are held as arrays at a time.
+LONG_BYTES = 8 << 20
+
+
+def long_parts(texts: pa.Array, most: int | None = None) -> list[pa.Array]:
+    """The array itself or, for one long text, arrays of one part each that are cut where no token or letter can reach over.
+
+    Such a place is a blank or line break after a visible ASCII character.  A
+    text without any is not cut.
+    """
+    most = most or LONG_BYTES
+    if len(texts) != 1 or not texts.is_valid()[0].as_py():
+        return [texts]
+    data, _ = utf8(texts)
+    cuts = [0]
+    while len(data) - cuts[-1] > most:
+        low = cuts[-1] + most // 2
+        found = np.zeros(0, dtype=np.int64)
+        while not len(found) and low < len(data):
+            window = data[low - 1 : low + most // 2]
+            before, here = window[:-1], window[1:]
+            found = np.flatnonzero(((here == 0x20) | (here == 0x0A)) & (before > 0x20) & (before < 0x7F))
+            low += most // 2
+        if not len(found):
+            break
+        cuts.append(low - most // 2 + int(found[-1]))
+    bounds = [*cuts, len(data)]
+    return [pa.array([data[a:b].tobytes()], pa.binary()).cast(pa.string()) for a, b in zip(bounds, bounds[1:])]
+
+
 def text_blocks(batch: pa.RecordBatch, column: str, most_bytes: int):
     """Slices of a batch whose texts hold about most_bytes together (a longer text is a block by itself)."""
     texts = batch.column(column)

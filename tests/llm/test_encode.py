@@ -65,6 +65,25 @@ def test_counts_by_slices_are_those_of_whole_texts(name):
         assert got == [len(x.ids) for x in v.tokenizer.encode_batch(sample, add_special_tokens=False)]
 
 
+def test_long_texts_in_parts(monkeypatch, reference):
+    from spanforge.llm import pretokenize
+    from spanforge.llm.encode import encode_texts
+    from spanforge.llm.lookalike import plain_keys
+    from spanforge.llm.packing import lengths
+
+    for seed in range(40):
+        text = " ".join(texts(30, seed)) + "x" * (seed * 7)
+        monkeypatch.setattr(pretokenize, "LONG_BYTES", 1 << 20)
+        one = pa.array([text])
+        whole = [encode_texts(one, vocabulary("byte_bpe_50k")), plain_keys(one)]
+        counts = [lengths(one, vocabulary(n)).tolist() for n in ("byte_bpe_50k", "piece_bpe_32k", "word_bpe_49k")]
+        monkeypatch.setattr(pretokenize, "LONG_BYTES", 24)
+        assert len(pretokenize.long_parts(one)) > 1
+        assert whole == [encode_texts(one, vocabulary("byte_bpe_50k")), plain_keys(one)]
+        assert counts == [lengths(one, vocabulary(n)).tolist() for n in ("byte_bpe_50k", "piece_bpe_32k", "word_bpe_49k")]
+        assert whole[0][0].to_pylist() == [reference.encode_ordinary(text)]
+
+
 def test_operator_and_round_trip(spark, rows, reference):
     sample = [*texts(300, 4), None, "", "same", "same"]
     df = spark.createDataFrame([(i, t, "mine", 5) for i, t in enumerate(sample)], "doc_id int, text string, ids string, other int")
