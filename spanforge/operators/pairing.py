@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
+from spanforge.checkpoints import cut
 from spanforge.functions.names import natural_key, pair_rank
 
 # Bits of an alignment's flags.
@@ -100,7 +101,7 @@ def mate_pairs(df: DataFrame, ord: str = "ord", after_leftover: bool = True, pre
     if not after_leftover:
         return block_ordered(full.where(flagged))
     names = pairable(df).groupBy("name").agg((F.count("*") % 2 == 1).alias("odd"))
-    names = names.withColumn("__key", natural_key(F.col("name"))).withColumn("__prefix", F.substring("__key", 1, prefix))
+    names = cut(names.withColumn("__key", natural_key(F.col("name")))).withColumn("__prefix", F.substring("__key", 1, prefix))
     within = W.partitionBy("__prefix").orderBy("__key", "name")
     lasts = names.groupBy("__prefix").agg(F.max_by("odd", F.struct("__key", "name")).alias("__last"))
     lasts = lasts.select("__prefix", F.lag("__last").over(W.orderBy("__prefix")).alias("__last"))
