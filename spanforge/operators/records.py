@@ -169,15 +169,17 @@ def parsed_records(
             lines = batch.column("__line").to_pylist()
             reasons: list[str | None] = []
             parts: list[pa.Array] = []
+            single: list[dict | None] = []
             for _, n, reason, found in parse_lines(lines, columns, rules):
                 reasons += [reason] * n
                 if records and isinstance(found, pa.Table):
-                    parts += found.combine_chunks().to_struct_array().chunks
+                    parts += [pa.array(single, kind), *found.combine_chunks().to_struct_array().chunks]
+                    single = []
                 elif records:
-                    parts.append(pa.array([None if found is None else dict(zip(columns, found))], kind))
+                    single.append(None if found is None else dict(zip(columns, found)))
             arrays = [batch.column(c) for c in keep] + [pa.array(reasons, pa.string())]
             if records:
-                arrays.append(pa.concat_arrays([p.cast(kind) for p in parts]) if parts else pa.array([], kind))
+                arrays.append(pa.concat_arrays([p.cast(kind) for p in [*parts, pa.array(single, kind)]]))
             yield pa.RecordBatch.from_arrays(arrays, names=[*keep, "reason"] + ["record"] * records)
 
     return source.mapInArrow(run, schema)
