@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
@@ -13,6 +18,9 @@ from spanforge.functions.names import natural_key, pair_rank
 PAIRED, UNMAPPED, REVERSE, FIRST, SECOND, SECONDARY, SUPPLEMENTARY = 0x1, 0x4, 0x10, 0x40, 0x80, 0x100, 0x800
 
 
+_RANGES = pa.schema([("name", pa.string()), ("range", pa.int32()), ("last", pa.bool_())])
+
+
 def has(flags: Column, bits: int) -> Column:
     return flags.bitwiseAND(bits) != 0
 
@@ -84,6 +92,34 @@ def _coupled(df: DataFrame, ord: str) -> DataFrame:
     return numbered.where("__rn % 2 = 1").withColumn("couple", F.expr("(__rn - 1) div 2")).drop("__rn")
 
 
+def _names_after_leftover(names: DataFrame) -> DataFrame:
+    """name: those whose predecessor in natural order is odd; names: distinct `name` and `odd`.
+
+    Names are sorted in ranges, each of them about as large as the others
+    whatever the names have in common.  A range looks back within itself; of
+    its ends one row goes on, with its first name and the last one's `odd`.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first, last = None, None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            name, odd = batch.column("name"), batch.column("odd").to_numpy(zero_copy_only=False)
+            if last is None:
+                first = name[0].as_py()
+            after = name.filter(pa.array(np.concatenate([[bool(last)], odd[:-1]])))
+            last = bool(odd[-1])
+            yield pa.RecordBatch.from_arrays([after.cast(pa.string()), pa.nulls(len(after), pa.int32()), pa.nulls(len(after), pa.bool_())], schema=_RANGES)
+        if last is not None:
+            yield pa.RecordBatch.from_pydict({"name": [first], "range": [TaskContext.get().partitionId()], "last": [last]}, schema=_RANGES)
+
+    ranged = names.select("name", "odd", natural_key(F.col("name")).alias("__key")).repartitionByRange("__key", "name").sortWithinPartitions("__key", "name")
+    found = cut(ranged.select("name", "odd").mapInArrow(run, "name string, range int, last boolean"))
+    ends = found.where("range is not null").select("name", F.lag("last").over(W.orderBy("range")).alias("before"))
+    return found.where("range is null").select("name").unionByName(ends.where("before").select("name"))
+
+
 def mate_pairs(df: DataFrame, ord: str = "ord", after_leftover: bool = True, prefix: int = 6) -> DataFrame:
     """BEDPE of the mates in a name-sorted stream read two at a time.
 
@@ -92,8 +128,8 @@ def mate_pairs(df: DataFrame, ord: str = "ord", after_leftover: bool = True, pre
     also the first pair of a name whose predecessor in name order left a record
     over, as a reader that skips forward to the next equal names gives it
     without looking at the flags.  Only names with such a pair need to know
-    their predecessor; it is found among names that share `prefix` characters
-    of the natural key, else as the last of the prefix before.
+    their predecessor.  `prefix` has no effect any more: names are sorted in
+    ranges, not by a common prefix.
     """
     couples = _coupled(df, ord)
     full = couples.where("two is not null")
@@ -101,13 +137,7 @@ def mate_pairs(df: DataFrame, ord: str = "ord", after_leftover: bool = True, pre
     if not after_leftover:
         return block_ordered(full.where(flagged))
     names = pairable(df).groupBy("name").agg((F.count("*") % 2 == 1).alias("odd"))
-    names = cut(names.withColumn("__key", natural_key(F.col("name")))).withColumn("__prefix", F.substring("__key", 1, prefix))
-    within = W.partitionBy("__prefix").orderBy("__key", "name")
-    lasts = names.groupBy("__prefix").agg(F.max_by("odd", F.struct("__key", "name")).alias("__last"))
-    lasts = lasts.select("__prefix", F.lag("__last").over(W.orderBy("__prefix")).alias("__last"))
-    known = names.withColumn("__before", F.lag("odd").over(within)).join(lasts, "__prefix")
-    after = known.where(F.coalesce("__before", "__last", F.lit(False))).select("name")
-    first = full.where((F.col("couple") == 0) & ~flagged).join(after, "name")
+    first = full.where((F.col("couple") == 0) & ~flagged).join(_names_after_leftover(names), "name")
     return block_ordered(full.where(flagged).select("one", "two").unionByName(first.select("one", "two")))
 
 

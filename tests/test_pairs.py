@@ -100,3 +100,24 @@ def test_fragments(spark, rows):
     ]
     assert rows(fr.fragments(df, stats)) == sorted(expected, key=repr)
     assert rows(fr.fragments(df, stats, draw=False).where("name = 'half'")) == [("c", 9, 59, "half", 9, "-")]
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_names_that_begin_alike_are_sorted_in_ranges(spark, rows, seed):
+    draw = random.Random(seed)
+    stream = []
+    for k in range(400):
+        for j in range(draw.choice([1, 2, 2, 3])):
+            stream.append((len(stream), f"ERR000{k:04d}", draw.choice([1, 0]), "c", k * 10 + j, k * 10 + j + 5, 7))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    kept, found = pr.cut, []
+    pr.cut = lambda df: found.append(kept(df)) or found[-1]
+    try:
+        got = rows(pr.mate_pairs(spark.createDataFrame(draw.sample(stream, len(stream)), ALN)), "name", "start1", "start2")
+        ends = found[0].where("range is not null").collect()
+    finally:
+        pr.cut = kept
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert got == sorted([(a[1], a[4], b[4]) for a, b in paired(stream)[0]], key=repr)
+    firsts = sorted(r["name"] for r in ends) + ["ERR0000400"]
+    assert len(ends) == 4 and max(int(b[6:]) - int(a[6:]) for a, b in zip(firsts, firsts[1:])) < 200
