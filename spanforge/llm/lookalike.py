@@ -196,16 +196,31 @@ def look_classes(df: DataFrame, doc: str = "doc_id", text: str = "text") -> Data
     )
 
 
+#: Documents of one text that meet a text pair in one task; the copies of a text with more are divided.
+COPIES = 10_000
+
+
 def look_alike_pairs(df: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_a, doc_b: pairs that look the same and whose texts differ; pairs of equal texts are never formed.
 
-    The members of one class meet only across different texts, because the join
-    runs from each text of the class to the texts other than it.
+    The different texts of a class are paired first; the documents of either
+    text then meet the text pair, so that copies of one text never meet each
+    other.  The text with fewer documents comes first, and the copies of a text
+    with more than COPIES are divided into parts.  The texts so divided, at
+    most one for each COPIES documents, are broadcast.
     """
-    c = cut(look_classes(df, doc, text))
-    a = c.select("class_id", F.col(doc).alias(f"{doc}_a"), F.col("text_md5").alias("__a"))
-    b = c.select("class_id", F.col(doc).alias(f"{doc}_b"), F.col("text_md5").alias("__b"))
-    return a.join(b, "class_id").where((F.col("__a") != F.col("__b")) & (F.col(f"{doc}_a") < F.col(f"{doc}_b"))).select(f"{doc}_a", f"{doc}_b")
+    c = cut(look_classes(df, doc, text).select("class_id", "text_md5", F.col(doc).alias("__doc")))
+    texts = cut(c.groupBy("class_id", "text_md5").agg(F.count("*").alias("__n")).withColumn("__parts", F.ceil(F.col("__n") / COPIES).cast("int")))
+    divided = F.broadcast(texts.where("__parts > 1").select("class_id", "text_md5", "__parts"))
+    part = F.pmod(F.xxhash64("__doc"), F.coalesce("__parts", F.lit(1))).cast("int")
+    docs = c.join(divided, ["class_id", "text_md5"], "left").select("class_id", "text_md5", part.alias("__part"), "__doc")
+    one, two = (texts.select("class_id", F.struct("__n", "text_md5", "__parts").alias(side)) for side in ("__one", "__two"))
+    met = one.join(two, "class_id").where("__one < __two")
+    for side, found in (("__one", f"{doc}_a"), ("__two", f"{doc}_b")):
+        met = met.withColumn("text_md5", F.col(f"{side}.text_md5")).withColumn("__part", F.explode(F.sequence(F.lit(0), F.col(f"{side}.__parts") - 1)))
+        met = met.join(docs, ["class_id", "text_md5", "__part"]).drop("text_md5", "__part").withColumnRenamed("__doc", found)
+    a, b = F.col(f"{doc}_a"), F.col(f"{doc}_b")
+    return met.where(a != b).select(F.least(a, b).alias(f"{doc}_a"), F.greatest(a, b).alias(f"{doc}_b"))
 
 
 def consistent_texts(df: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:

@@ -77,3 +77,32 @@ def test_copies_classes_and_forms(spark, rows):
     assert rows(look_classes(df), "doc_id", "class_id") == [(3, 3), (5, 3), (7, 3), (9, 3)]
     assert rows(consistent_texts(df)) == [(1, "other"), (2, "other"), (3, "abc"), (4, None), (5, "abc"), (7, "abc"), (9, "abc")]
     assert look_alike_pairs(df.limit(0)).count() == 0
+
+
+def test_copies_of_one_text_never_meet(spark, monkeypatch):
+    """A class of many copies and one disguised variant gives as many pairs as copies, without trying all pairs of copies."""
+    from threading import Timer
+
+    from pyspark.sql import functions as F
+
+    from spanforge.llm import lookalike
+
+    n = 300_000
+    md5 = F.when(F.col("id") == 7, "variant").otherwise("copy")
+    classes = spark.range(n).select(F.col("id").alias("doc_id"), md5.alias("text_md5"), F.lit(0).alias("class_id"), F.lit("copy").alias("canonical_md5"))
+    monkeypatch.setattr(lookalike, "look_classes", lambda *_: classes)
+    stop = Timer(90, spark.sparkContext.cancelAllJobs)
+    stop.start()
+    try:
+        got = look_alike_pairs(None).agg(F.count("*"), F.sum((F.col("doc_id_a") == 7).cast("int")), F.sum((F.col("doc_id_b") == 7).cast("int"))).first()
+    finally:
+        stop.cancel()
+    assert tuple(got) == (n - 1, n - 8, 7)
+
+
+def test_divided_copies(spark, rows, monkeypatch):
+    from spanforge.llm import lookalike
+
+    monkeypatch.setattr(lookalike, "COPIES", 3)
+    docs = [(i, ["abc", "аbc", "аbс", "ａbc", "other"][min(i % 7, 4) if i % 2 else 0]) for i in range(60)]
+    assert rows(look_alike_pairs(spark.createDataFrame(docs, "doc_id int, text string"))) == sorted(brute(docs), key=repr)
