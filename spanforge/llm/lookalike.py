@@ -30,7 +30,7 @@ ALIKE = {
 
 @lru_cache(maxsize=1)
 def _mapping() -> tuple[dict[str, str], dict[str, str]]:
-    """Characters that become one character, and several; only the Basic Multilingual Plane holds any.
+    """Characters that become one character, and several.
 
     Composed letters follow the letter they are built on.  Characters whose
     canonical form is another single character are mapped too, so that what is
@@ -39,13 +39,12 @@ def _mapping() -> tuple[dict[str, str], dict[str, str]]:
     base = {other: latin for latin, others in ALIKE.items() for other in others}
     base |= {chr(c): chr(c - 0xFEE0) for c in range(0xFF01, 0xFF5F)}
     one, more = {}, {}
-    for c in range(0x80, 0xFFFE):
+    unseen = set(_no_width())
+    for c in range(0x80, 0x110000):
         char = chr(c)
-        if 0xD800 <= c < 0xE000 or unicodedata.category(char) == "Cn":
-            continue
         if unicodedata.category(char) == "Zs":
             one[char] = " "
-        elif char not in _no_width():
+        elif char not in unseen and (char in base or unicodedata.decomposition(char)):  # others stay as they are
             apart = unicodedata.normalize("NFD", char)
             to = unicodedata.normalize("NFC", "".join(base.get(x, x) for x in apart))
             if to != unicodedata.normalize("NFC", char) or to.isascii():
@@ -55,9 +54,12 @@ def _mapping() -> tuple[dict[str, str], dict[str, str]]:
 
 @lru_cache(maxsize=1)
 def _no_width() -> str:
-    """Format characters, variation selectors and the grapheme joiner."""
-    selectors = [0x034F, *range(0x180B, 0x180E), *range(0xFE00, 0xFE10)]
-    return "".join(chr(c) for c in range(0x80, 0x10000) if unicodedata.category(chr(c)) == "Cf" or c in selectors)
+    """Format characters with the tags, variation selectors of all blocks and the grapheme joiner.
+
+    The two Kaithi number signs are format characters that show.
+    """
+    selectors = {0x034F, *range(0x180B, 0x180E), 0x180F, *range(0xFE00, 0xFE10), *range(0xE0100, 0xE01F0)}
+    return "".join(chr(c) for c in range(0x80, 0x110000) if c in selectors or unicodedata.category(chr(c)) == "Cf" and c not in (0x110BD, 0x110CD))
 
 
 def look_mapped(text: Column) -> Column:

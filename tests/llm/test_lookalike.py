@@ -106,3 +106,17 @@ def test_divided_copies(spark, rows, monkeypatch):
     monkeypatch.setattr(lookalike, "COPIES", 3)
     docs = [(i, ["abc", "аbc", "аbс", "ａbc", "other"][min(i % 7, 4) if i % 2 else 0]) for i in range(60)]
     assert rows(look_alike_pairs(spark.createDataFrame(docs, "doc_id int, text string"))) == sorted(brute(docs), key=repr)
+
+
+# From the Unicode character database, apart from the operator's own list.
+UNSEEN = [
+    0xAD, 0x34F, 0x61C, 0x180B, 0x180F, 0x200B, 0x200D, 0x2060, 0x2064, 0xFE00, 0xFE0F, 0xFEFF, 0x1BCA0, 0x1BCA3, 0x1D173, 0x1D17A,
+    0xE0001, *range(0xE0020, 0xE0080), *range(0xE0100, 0xE01F0),
+]
+
+
+def test_no_width_in_every_plane(spark, rows):
+    docs = [(0, "abc déjà 𠮷")] + [(k + 1, f"ab{chr(c)}c déjà 𠮷{chr(c)}") for k, c in enumerate(UNSEEN)]
+    docs += [(9000, "".join(map(chr, UNSEEN))), (9001, "ab\U000110bdc déjà 𠮷"), (9002, "abc déjà 𠮸")]
+    found = look_classes(spark.createDataFrame(docs, "doc_id int, text string"))
+    assert rows(found, "doc_id", "class_id") == sorted(((k, 0) for k in range(len(UNSEEN) + 1)), key=repr)
