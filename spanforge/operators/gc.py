@@ -84,16 +84,19 @@ def fit_bins(df: DataFrame, by: list[str]) -> DataFrame:
     return df.where(inside).groupBy(*by, "percent_gc").agg(F.avg(F.ln("coverage")).alias("mean_log"), F.count("*").alias("n"))
 
 
-def fit_factors(bins: DataFrame, by: str) -> DataFrame:
+def fit_factors(bins: DataFrame, by: str, strict: bool = True) -> DataFrame:
     """by, bin (percent), factor, first, last: overall mean of the bins over their smoothed value.
 
     One group is a sample's bins, at most 53 of them.  Fewer than eight are an
-    error.
+    error or, not strict, give no rows.
     """
 
     def run(table: pa.Table) -> pa.Table:
         table = table.sort_by("percent_gc")
         x, y = table.column("percent_gc").to_numpy(), table.column("mean_log").to_numpy()
+        if len(x) < LEAST_BINS and not strict:
+            none = pa.array([], pa.float64())
+            return pa.table({by: table.column(by).slice(0, 0), "bin": none.cast(pa.int32()), "factor": none, "first": none, "last": none})
         if len(x) < LEAST_BINS:
             raise ValueError(f"only {len(x)} composition bins hold conserved domains; {LEAST_BINS} are needed to fit a curve")
         factor = y.mean() / loess_fit(x, y)
@@ -119,27 +122,34 @@ def powered(coverage: Column, k: Column) -> Column:
     return F.when(coverage == 0, zero).when(coverage < 0, F.lit(float("nan"))).otherwise(F.exp(F.ln(coverage) * k))
 
 
-def corrected_depth(depth: DataFrame, gc: DataFrame, by: str = "sample", check: bool = False) -> DataFrame:
+def corrected_depth(depth: DataFrame, gc: DataFrame, by: str = "sample", check: bool = False, strict: bool = True) -> DataFrame:
     """by, domain, coverage, percent_gc, k_gc, corrected_coverage: depth corrected for composition and scaled to copies.
 
     depth: by, domain, coverage; gc: domain, percent_gc (one row for each; see
     latest_by_name).  All samples are corrected in one job, each with its own
     curve and its own unit, half the median of its conserved domains.  Names
     missing on either side are left out.  check: fail if none is left.
+
+    A sample with too few bins for a curve is an error.  Not strict: it keeps
+    its rows, with null k_gc and corrected_coverage, and a last column `reason`
+    names what a sample lacks (`bins`; `unit` without any conserved domain to
+    scale by; else null), so that no sample takes the results of others along.
     """
     joined = depth.select(by, "domain", "coverage").join(gc.select("domain", round_r(F.col("percent_gc"), 2).alias("percent_gc")), "domain")
     if check and joined.isEmpty():
         raise EmptyJoin("depth and composition have no name in common; do the names of one carry a ::chrom:start-end suffix?")
-    factors = fit_factors(fit_bins(joined, [by]), by)
+    factors = fit_factors(fit_bins(joined, [by]), by, strict)
     ends = factors.select(by, "first", "last").distinct()
     keyed = joined.withColumn("bin", F.round(F.col("percent_gc") * 100).cast("int"))
-    rows = keyed.join(factors.select(by, "bin", "factor"), [by, "bin"], "left").join(ends, by)
-    rows = rows.withColumn("k_gc", factor_for(F.col("percent_gc")))
+    rows = keyed.join(factors.select(by, "bin", "factor"), [by, "bin"], "left").join(ends, by, "inner" if strict else "left")
+    rows = rows.withColumn("k_gc", F.when(F.col("first").isNotNull(), factor_for(F.col("percent_gc"))))
     rows = rows.withColumn("__corrected", powered(F.col("coverage"), F.col("k_gc")))
     unit = haploid_unit(rows.select(by, "domain", F.col("__corrected").alias("corrected_coverage")), by)
-    return rows.join(unit, by).select(
-        by, "domain", "coverage", "percent_gc", "k_gc", F.try_divide(F.col("__corrected"), F.col("unit")).alias("corrected_coverage")
-    )
+    rows = rows.join(unit, by, "inner" if strict else "left").select(
+        by, "domain", "coverage", "percent_gc", "k_gc", F.try_divide(F.col("__corrected"), F.col("unit")).alias("corrected_coverage"),
+        F.when(F.col("first").isNull(), "bins").when(F.col("unit").isNull(), "unit").alias("reason"),
+    )
+    return rows.drop("reason") if strict else rows
 
 
 def haploid_unit(df: DataFrame, by: str) -> DataFrame:

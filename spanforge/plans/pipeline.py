@@ -57,5 +57,5 @@ def cohort_coverage(covering: DataFrame, domains: DataFrame, sample: str = "samp
 
 
 def copy_numbers(depths: DataFrame, gc: DataFrame, sample: str = "sample") -> DataFrame:
-    """Corrected depth, in copies, of every sample: see operators.gc.corrected_depth."""
-    return corrected_depth(depths.select(sample, F.col("name").alias("domain"), F.col("depth").alias("coverage")), gc, sample)
+    """Corrected depth, in copies, of every sample, or the reason why a sample has none: see operators.gc.corrected_depth."""
+    return corrected_depth(depths.select(sample, F.col("name").alias("domain"), F.col("depth").alias("coverage")), gc, sample, strict=False)

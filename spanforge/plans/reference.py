@@ -253,11 +253,14 @@ def _composed(spark: SparkSession, d: str) -> DataFrame:
 
 @query()
 def gc_correct_copy_number(spark: SparkSession, d: str) -> DataFrame:
-    """Depth of all samples taken as one, corrected by the composition that the model table gives each domain."""
+    """Depth of each sample, corrected by the composition that the model table gives each domain.
+
+    Samples with too few bins for a curve keep their rows and name the reason.
+    """
     model = table(spark, d, "gc_model").where("length > 0").select(bare_name(F.col("name")).alias("domain"), gco.gc_fraction(F.col("gc"), F.col("length")).alias("percent_gc"), "gc_id")
     gc = gco.latest_by_name(model.where("percent_gc is not null and not isnan(percent_gc)"), "domain", "percent_gc", "gc_id")
-    depth = table(spark, d, "read_depth").where("depth >= 0").select(F.lit("all").alias("sample"), bare_name(F.col("name")).alias("domain"), F.col("depth").alias("coverage"))
-    return gco.corrected_depth(depth, gc)
+    depths = table(spark, d, "read_depth").where("depth >= 0").select("sample_name", bare_name(F.col("name")).alias("name"), "depth")
+    return pipeline.copy_numbers(depths, gc, "sample_name")
 
 
 @query("""select sample_name, median(corrected_coverage) / 2 as unit from corrected where regexp_matches(domain, 'baseline|uc')

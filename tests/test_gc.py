@@ -79,3 +79,27 @@ def test_powers_of_nothing(spark):
     got = [r[0] for r in df.select(gc.powered(df.c, df.k)).collect()]
     assert got[0] == 0 and got[1] == math.inf and math.isnan(got[2]) and got[3] == pytest.approx(4) and got[4] is None and math.isnan(got[5])
     assert gc.latest_by_name(spark.createDataFrame([("a", 1.0, 1), ("a", 2.0, 2)], "n string, v double, o int"), "n", "v", "o").first().v == 2.0
+
+
+def test_samples_without_a_curve_keep_the_others(spark):
+    from spanforge.plans.pipeline import copy_numbers
+
+    names = [(f"baseline_{i}", 0.2 + 0.5 * i / 40) for i in range(40)] + [("other", 0.4)]
+    depth = [("whole", n, 20 + i % 3 + 0.0) for i, (n, _) in enumerate(names)] + [("few", "baseline_1", 9.0), ("few", "other", 8.0), ("none", "other", 7.0), (None, "other", 6.0)]
+    g = spark.createDataFrame(names, GC)
+    got = copy_numbers(spark.createDataFrame(depth, "sample string, name string, depth double"), g).collect()
+    assert sorted((r.sample or "", r.domain) for r in got) == sorted((s or "", n) for s, n, _ in depth)
+    assert {(r.sample, r.reason) for r in got} == {("whole", None), ("few", "bins"), ("none", "bins"), (None, "bins")}
+    assert all((r.corrected_coverage is None) == (r.k_gc is None) == (r.sample != "whole") for r in got)
+    alone = gc.corrected_depth(spark.createDataFrame([d for d in depth if d[0] == "whole"], DEPTH), g)
+    assert {(r.domain, r.k_gc, r.corrected_coverage) for r in got if r.sample == "whole"} == {(r.domain, r.k_gc, r.corrected_coverage) for r in alone.collect()}
+
+
+def test_registered_by_sample(spark, tmp_path):
+    from spanforge.plans import reference
+
+    names = [f"baseline_{i}" for i in range(40)]
+    spark.createDataFrame([(n, 100, 20 + i, i) for i, n in enumerate(names)], "name string, length long, gc long, gc_id long").write.parquet(str(tmp_path / "gc_model.parquet"))
+    spark.createDataFrame([(s, n, k * (10.0 + i % 3)) for s, k in (("a", 1), ("b", 5)) for i, n in enumerate(names)], "sample_name string, name string, depth double").write.parquet(str(tmp_path / "read_depth.parquet"))
+    got = reference.gc_correct_copy_number(spark, str(tmp_path))
+    assert {r["sample_name"]: r["unit"] for r in gc.haploid_unit(got, "sample_name").collect()} == {"a": pytest.approx(1), "b": pytest.approx(1)}
