@@ -33,10 +33,19 @@ def quality_end(quality: np.ndarray, cutoff: int) -> int:
 def adapter_start(seq: np.ndarray, adapter: np.ndarray, overlap: int = OVERLAP, errors: float = ERRORS) -> int:
     """Where the adapter begins: the match of most letters with at most `errors` mismatches a letter; the length if none.
 
-    Mismatches only, no insertions.
+    Mismatches only, no insertions.  Places that hold the whole adapter are
+    compared together.
     """
-    n, best, found = len(seq), 0, len(seq)
-    for at in range(n - overlap + 1):
+    n, size, best, found = len(seq), len(adapter), 0, len(seq)
+    whole = n - size + 1 if size >= overlap else 0
+    if whole > 0:
+        same = np.zeros(whole, dtype=np.int32)
+        for k in range(size):
+            same += seq[k : k + whole] == adapter[k]
+        same[size - same > int(size * errors)] = 0
+        if same.max() > 0:
+            best, found = int(same.max()), int(np.argmax(same))
+    for at in range(max(whole, 0), n - overlap + 1):
         m = min(len(adapter), n - at)
         wrong = int(np.count_nonzero(seq[at : at + m] != adapter[:m]))
         if wrong <= int(m * errors) and m - wrong > best:
@@ -55,10 +64,10 @@ def trimmed(seq: str, quality: str, adapter: str | None, cutoff: int = QUALITY)
     return seq[left:right], quality[left:right]
 
 
-def detect_adapter(reads: DataFrame, seq: str = "seq", sample: int = 1_000_000) -> str:
-    """Name of the preset whose sequence most reads hold, `illumina` if none does. A sample of at most `sample` reads is looked at."""
+def detect_adapter(reads: DataFrame, seq: str = "seq") -> str:
+    """Name of the preset whose sequence most reads hold, `illumina` if none does. All reads are looked at."""
     counts = [F.count(F.when(F.contains(F.col(seq), F.lit(a)), 1)).alias(n) for n, a in ADAPTERS.items()]
-    found = reads.select(seq).limit(sample).agg(*counts).first().asDict()
+    found = reads.select(seq).agg(*counts).first().asDict()
     best = max(found, key=found.get)
     return best if found[best] else "illumina"
 

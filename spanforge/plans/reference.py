@@ -424,7 +424,8 @@ def number_text_g6(spark: SparkSession, d: str) -> DataFrame:
 
 @query()
 def quality_trim_reads(spark: SparkSession, d: str) -> DataFrame:
-    """Texts as reads and as their own qualities; survival by language."""
+    """Texts as reads and as their own qualities, with the adapter that most of them hold cut; survival by language."""
     docs = table(spark, d, "documents")
     pairs = docs.select("lang", F.col("text").alias("seq1"), F.col("text").alias("qual1"), F.reverse("text").alias("seq2"), F.reverse("text").alias("qual2"))
-    return tr.trim_report(tr.trim_pairs(pairs), ["lang"])
+    adapter = tr.ADAPTERS[tr.detect_adapter(pairs, "seq1")]
+    return tr.trim_report(tr.trim_pairs(pairs, adapter), ["lang"])

@@ -38,3 +38,37 @@ def test_pairs(spark, rows):
     assert rows(tr.trim_report(got.selectExpr("*", "'x' k"), ["k"])) == [("x", 4, 2, "ordinary")]
     reads = spark.createDataFrame([("ACGT" + tr.ADAPTERS["nextera"],), ("ACGT",)], "seq string")
     assert tr.detect_adapter(reads) == "nextera" and tr.detect_adapter(reads.limit(0)) == "illumina"
+
+
+def test_adapter_place_by_place():
+    """All places against each one alone, the adapter's beginning at the read's end included."""
+    draw, a = random.Random(2), np.frombuffer(b"ACCAGACCATGA", np.uint8)
+    for _ in range(400):
+        seq = np.array([draw.choice(b"ACG") for _ in range(draw.randrange(0, 40))], dtype=np.uint8)
+        if len(seq) > 14 and draw.randrange(2):
+            at = draw.randrange(len(seq))
+            seq[at : at + 12] = a[: len(seq[at : at + 12])]
+        for overlap, errors in ((1, 0.1), (3, 0.3), (20, 0.1)):
+            best, found = 0, len(seq)
+            for at in range(len(seq) - overlap + 1):
+                m = min(len(a), len(seq) - at)
+                wrong = sum(x != y for x, y in zip(seq[at : at + m], a))
+                if wrong <= int(m * errors) and m - wrong > best:
+                    best, found = m - wrong, at
+            assert tr.adapter_start(seq, a, overlap, errors) == found
+
+
+def test_adapter_that_shows_late(spark):
+    from pyspark.sql import functions as F
+
+    late = F.when(F.col("id") >= 1_100_000, tr.ADAPTERS["nextera"]).otherwise("ACGT")
+    assert tr.detect_adapter(spark.range(0, 1_200_000, 1, 1).select(late.alias("seq"))) == "nextera"
+
+
+def test_registered_with_the_detected_adapter(spark, tmp_path):
+    from spanforge.plans import reference
+
+    texts = [("en", "I" * 90 + tr.ADAPTERS["bgiseq"] + "I" * 90), ("de", "I" * 20 + tr.ADAPTERS["bgiseq"] + "I" * 200)]
+    spark.createDataFrame(texts, "lang string, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = reference.quality_trim_reads(spark, str(tmp_path)).collect()
+    assert {r.lang: (r.pairs_in, r.pairs_out) for r in got} == {"en": (1, 1), "de": (1, 0)}
