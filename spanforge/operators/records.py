@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-import io
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import pyarrow.csv as pcsv
@@ -18,8 +18,8 @@ INDEX_COLUMNS = (
     "experiment_id instrument_platform instrument_model library_name run_name run_block_name insert_size library_layout "
     "paired_fastq withdrawn withdrawn_date comment read_count base_count analysis_group"
 ).split()
-#: Lines that are first parsed together, and few enough to be looked at one by one.
-BLOCK_LINES, FEW_LINES = 512, 32
+#: Lines and bytes that are first parsed together.
+BLOCK_LINES, BLOCK_BYTES = 4096, 8 << 20
 _GREATEST = str(2**63 - 1)
 # One field: quoted, or not beginning with a quote and without a line break.
 _FIELD = r'(?:"(?:[^"]|"")*"|[^"\t\n][^\t\n]*)?'
@@ -57,32 +57,21 @@ INDEX_RULES: dict[str, tuple[Callable[[pa.Array], pa.Array], Callable[[str], boo
 }
 
 
-def parse_block(lines: list[str], columns: list[str], rules: dict) -> pa.Table | None:
-    """All lines at once by a columnar CSV parser; None if any of them is not a sound record.
-
-    The parser is lenient about text after a closing quote and takes carriage
-    returns and unquoted line breaks for a line's end; blocks with any of them
-    are left to the closer look.
-    """
-    array = pa.array(lines, pa.string())
-    if pc.any(pc.match_substring(array, "\r")).as_py():
-        return None
-    doubtful = array.filter(pc.or_(pc.match_substring(array, '"'), pc.match_substring(array, "\n")))
-    if len(doubtful) and not pc.all(pc.match_substring_regex(doubtful, _WELL_QUOTED)).as_py():
-        return None
-    data = "\n".join(lines).encode()
+def parse_block(lines: pa.Array, columns: list[str], wanted: list[str]) -> pa.Table | None:
+    """The wanted columns of all lines at once by a columnar CSV parser; None if any line is no record of these columns."""
+    data = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(lines)], pa.int32()), lines), "\n")[0].as_buffer()
     try:
         table = pcsv.read_csv(
-            io.BytesIO(data),
-            read_options=pcsv.ReadOptions(column_names=columns, use_threads=False, block_size=len(data) + 1024),
+            pa.BufferReader(data),
+            read_options=pcsv.ReadOptions(column_names=columns, use_threads=False, block_size=data.size + 1024),
             parse_options=pcsv.ParseOptions(delimiter="\t", newlines_in_values=True, ignore_empty_lines=False),
-            convert_options=pcsv.ConvertOptions(column_types=dict.fromkeys(columns, pa.string()), strings_can_be_null=False, check_utf8=False),
+            convert_options=pcsv.ConvertOptions(
+                column_types=dict.fromkeys(wanted, pa.string()), include_columns=wanted, strings_can_be_null=False, check_utf8=False
+            ),
         )
     except pa.ArrowInvalid:
         return None
-    if len(table) != len(lines) or not all(pc.all(sound(table.column(c))).as_py() for c, (sound, _) in rules.items()):
-        return None
-    return table
+    return table if len(table) == len(lines) else None
 
 
 def fields_of(line: str) -> list[str] | None:
@@ -121,20 +110,69 @@ def diagnose(line: str, columns: list[str], rules: dict) -> tuple[str | None, li
     return None, fields
 
 
-def parse_lines(lines: list[str], columns: list[str], rules: dict) -> Iterator[tuple[int, int, str | None, pa.Table | list[str] | None]]:
-    """(first line, number of lines, reason, table or fields): blocks that parse as a whole, halves of those that do not."""
-    pending = [(i, min(i + BLOCK_LINES, len(lines))) for i in range(0, len(lines), BLOCK_LINES)][::-1]
+def _blocks(index: np.ndarray, sizes: np.ndarray) -> list[tuple[int, int]]:
+    """Ranges of about BLOCK_LINES lines or BLOCK_BYTES bytes."""
+    after, found, a = np.cumsum(sizes[index]), [], 0
+    while a < len(index):
+        b = int(np.searchsorted(after, (after[a - 1] if a else 0) + BLOCK_BYTES, side="right"))
+        b = min(max(b, a + 1), a + BLOCK_LINES, len(index))
+        found.append((a, b))
+        a = b
+    return found
+
+
+def _whole(column: pa.ChunkedArray) -> pa.Array:
+    return column.chunk(0) if column.num_chunks else pa.array([], column.type)
+
+
+def _mask(array: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    return array.to_numpy() if isinstance(array, pa.ChunkedArray) else array.to_numpy(zero_copy_only=False)
+
+
+def parse_lines(
+    lines: pa.Array, columns: list[str], rules: dict, wanted: list[str] | None = None
+) -> Iterator[tuple[np.ndarray, str | None, pa.Table | None, bool]]:
+    """(numbers of the lines, reason, table of the wanted columns, whether looked at strictly); every line is in one of them.
+
+    Lines without quotes and breaks that have the right number of separators
+    are parsed in whole blocks.  The others are parsed in blocks of their own,
+    and a block that fails is halved until its failing lines stand alone.  Only
+    those are looked at strictly, and lines whose values break a rule, which
+    masks over the parsed columns find.
+
+    The parser is lenient about text after a closing quote and takes carriage
+    returns and unquoted line breaks for a line's end; lines with any of them
+    count as failing whatever the parser says.
+    """
+    wanted = list(columns) if wanted is None else wanted
+    needed = list(dict.fromkeys([*wanted, *rules]))
+    returned, broken, quoted = (_mask(pc.match_substring(lines, x)) for x in ("\r", "\n", '"'))
+    marked = np.flatnonzero(returned | broken | quoted)
+    ill = returned.copy()
+    ill[marked] |= ~_mask(pc.match_substring_regex(lines.take(pa.array(marked)), _WELL_QUOTED))
+    plain = _mask(pc.equal(pc.count_substring(lines, "\t"), len(columns) - 1))
+    plain[marked] = False
+    sizes = _mask(pc.binary_length(lines)).astype(np.int64) + 1
+    pending = [part[a:b] for part in (np.flatnonzero(plain), np.flatnonzero(~plain)) for a, b in _blocks(part, sizes)]
     while pending:
-        a, b = pending.pop()
-        if (table := parse_block(lines[a:b], columns, rules)) is not None:
-            yield a, b - a, None, table
-        elif b - a > FEW_LINES:
-            middle = (a + b) // 2
-            pending += [(middle, b), (a, middle)]
-        else:
-            for i in range(a, b):
-                reason, fields = diagnose(lines[i], columns, rules)
-                yield i, 1, reason, fields
+        index = pending.pop()
+        table = None if ill[index].any() else parse_block(lines.take(pa.array(index)), columns, needed)
+        if table is None and len(index) > 1:
+            middle = len(index) // 2
+            pending += [index[middle:], index[:middle]]
+            continue
+        bad = index
+        if table is not None:
+            sound = np.ones(len(index), dtype=bool)
+            for c, (rule, _) in rules.items():
+                sound &= _mask(rule(table.column(c)))
+            if sound.any():
+                yield index[sound], None, table.select(wanted).filter(pa.array(sound)), False
+            bad = index[~sound]
+        for i in bad:
+            reason, fields = diagnose(lines[int(i)].as_py(), columns, rules)
+            found = None if fields is None else pa.table({c: pa.array([fields[columns.index(c)]], pa.string()) for c in wanted})
+            yield np.array([i]), reason, found, True
 
 
 def parsed_records(
@@ -166,20 +204,22 @@ def parsed_records(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lines = batch.column("__line").to_pylist()
-            reasons: list[str | None] = []
-            parts: list[pa.Array] = []
-            single: list[dict | None] = []
-            for _, n, reason, found in parse_lines(lines, columns, rules):
-                reasons += [reason] * n
-                if records and isinstance(found, pa.Table):
-                    parts += [pa.array(single, kind), *found.combine_chunks().to_struct_array().chunks]
-                    single = []
+            reasons = np.full(batch.num_rows, None, dtype=object)
+            order, parts = [], []
+            for index, reason, found, _ in parse_lines(batch.column("__line"), columns, rules, columns if records else []):
+                if reason is not None:
+                    reasons[index] = reason
                 elif records:
-                    single.append(None if found is None else dict(zip(columns, found)))
+                    order.append(index)
+                    parts.append(found)
             arrays = [batch.column(c) for c in keep] + [pa.array(reasons, pa.string())]
             if records:
-                arrays.append(pa.concat_arrays([p.cast(kind) for p in [*parts, pa.array(single, kind)]]))
+                place = np.full(batch.num_rows, -1)
+                if order:
+                    place[np.concatenate(order)] = np.arange(sum(map(len, order)))
+                found = pa.concat_tables([pa.table({c: pa.array([], pa.string()) for c in columns}), *parts]).combine_chunks()
+                struct = pa.StructArray.from_arrays([_whole(found.column(c)) for c in columns], fields=list(kind))
+                arrays.append(struct.take(pa.array(place, mask=place < 0)))
             yield pa.RecordBatch.from_arrays(arrays, names=[*keep, "reason"] + ["record"] * records)
 
     return source.mapInArrow(run, schema)

@@ -1,3 +1,8 @@
+import os
+
+import pyarrow as pa
+import pyarrow.parquet as pq
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -46,24 +51,45 @@ def test_each_case_alone():
         assert diagnose(line, INDEX_COLUMNS, INDEX_RULES)[0] == reason, line
 
 
+def parsed(lines, columns=INDEX_COLUMNS, rules=INDEX_RULES):
+    """Reason, record and whether looked at strictly, of each line."""
+    out = [None] * len(lines)
+    for index, reason, table, strict in parse_lines(pa.array(lines, pa.string()), columns, rules):
+        records = [None] * len(index) if table is None else table.to_pylist()
+        for i, record in zip(index, records, strict=True):
+            assert out[i] is None
+            out[i] = (reason, record, strict)
+    return out
+
+
 def test_blocks_give_what_single_lines_give():
     lines = [line for k in range(60) for line in list(CASES)[k % 7 :]] + [GOOD] * 2000
-    got: list = []
-    for at, n, reason, _ in parse_lines(lines, INDEX_COLUMNS, INDEX_RULES):
-        assert at == len(got)
-        got += [reason] * n
-    assert got == [CASES[line] for line in lines]
+    assert [r for r, _, _ in parsed(lines)] == [CASES[line] for line in lines]
+
+
+def test_sound_lines_are_parsed_in_blocks():
+    lines = [line for k in range(400) for line in [*CASES, *[GOOD] * 60]]
+    found = parsed(lines)
+    sound = [strict for reason, _, strict in found if reason is None]
+    assert [r for r, _, _ in found] == [CASES[line] for line in lines]
+    assert len(sound) > 24_000 and not any(sound)
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.01"), reason="no test tables here")
+def test_sound_lines_of_the_test_table_are_parsed_in_blocks():
+    column = pq.read_table("/root/testdata/sf0.01/index_raw.parquet").column("line").to_pylist()
+    lines = [x.removesuffix("\r") for x in column if x and x.removesuffix("\r") and not x.startswith("FASTQ_FILE\t")]
+    found = parsed(lines)
+    sound = [strict for reason, _, strict in found if reason is None]
+    assert len(sound) > 1200 and sum(sound) <= 0.01 * len(sound)
+    assert sum(strict for _, _, strict in found) <= 0.1 * len(lines)
 
 
 @settings(max_examples=150, deadline=None)
 @given(st.lists(st.text(alphabet='a"\t\n\r1', min_size=1, max_size=9), min_size=1, max_size=30))
 def test_columnar_path_agrees_with_the_strict_one(lines):
     columns = ["a", "b"]
-    got: list = []
-    for _, n, reason, found in parse_lines(lines, columns, {}):
-        values = found.to_pylist() if hasattr(found, "to_pylist") else [dict(zip(columns, found))] if found else [None]
-        got += list(zip([reason] * n, values))
-    for line, (reason, record) in zip(lines, got, strict=True):
+    for line, (reason, record, _) in zip(lines, parsed(lines, columns, {}), strict=True):
         fields = fields_of(line)
         assert reason == ("quoting" if fields is None else "columns" if len(fields) != 2 else None)
         assert record == (dict(zip(columns, fields)) if reason is None else None)
