@@ -134,15 +134,13 @@ def parse_lines(
 ) -> Iterator[tuple[np.ndarray, str | None, pa.Table | None, bool]]:
     """(numbers of the lines, reason, table of the wanted columns, whether looked at strictly); every line is in one of them.
 
-    Lines without quotes and breaks that have the right number of separators
-    are parsed in whole blocks.  The others are parsed in blocks of their own,
-    and a block that fails is halved until its failing lines stand alone.  Only
-    those are looked at strictly, and lines whose values break a rule, which
+    Masks over all lines set apart those that cannot be parsed: broken quoting,
+    which the parser is lenient about, carriage returns and unquoted line
+    breaks, which it takes for a line's end, and lines without quotes that have
+    another number of separators.  The rest is parsed in blocks, and a block
+    that fails is halved until its failing lines stand alone.  Only lines so
+    isolated are looked at strictly, and those whose values break a rule, which
     masks over the parsed columns find.
-
-    The parser is lenient about text after a closing quote and takes carriage
-    returns and unquoted line breaks for a line's end; lines with any of them
-    count as failing whatever the parser says.
     """
     wanted = list(columns) if wanted is None else wanted
     needed = list(dict.fromkeys([*wanted, *rules]))
@@ -150,10 +148,12 @@ def parse_lines(
     marked = np.flatnonzero(returned | broken | quoted)
     ill = returned.copy()
     ill[marked] |= ~_mask(pc.match_substring_regex(lines.take(pa.array(marked)), _WELL_QUOTED))
-    plain = _mask(pc.equal(pc.count_substring(lines, "\t"), len(columns) - 1))
+    plain = np.ones(len(lines), dtype=bool)
     plain[marked] = False
+    ill |= plain & ~_mask(pc.equal(pc.count_substring(lines, "\t"), len(columns) - 1))
     sizes = _mask(pc.binary_length(lines)).astype(np.int64) + 1
-    pending = [part[a:b] for part in (np.flatnonzero(plain), np.flatnonzero(~plain)) for a, b in _blocks(part, sizes)]
+    pending = [part[a:b] for part in (np.flatnonzero(plain & ~ill), np.flatnonzero(~plain & ~ill)) for a, b in _blocks(part, sizes)]
+    pending += [np.array([i]) for i in np.flatnonzero(ill)]
     while pending:
         index = pending.pop()
         table = None if ill[index].any() else parse_block(lines.take(pa.array(index)), columns, needed)
