@@ -4,8 +4,8 @@ The k-th least start of an entity and its k-th least end are found
 independently.  A gap lies behind the k-th end exactly where the start of rank
 k + 1 is greater.  Ranks are global per entity, but no task ever sorts an
 entity: starts and ends are first counted per position, ranked within blocks of
-positions, and raised by the counts of the blocks before.  Start and end of
-neighbouring ranks then meet in an equi-join on the rank.
+positions, and raised by the counts of the blocks before.  Starts and ends then
+meet in one aggregate by rank.
 """
 
 from __future__ import annotations
@@ -16,8 +16,8 @@ from pyspark.sql.window import Window as W
 
 from spanforge.checkpoints import cut
 
-#: Positions that are ranked together; a window holds at most one row for each.
-BLOCK_POSITIONS = 1 << 16
+#: Blocks over the middle 98 % of all positions, and over all of them: the width of a block follows from the data.
+BLOCKS, MOST_BLOCKS = 1 << 13, 1 << 20
 
 
 def usable_intervals(df: DataFrame, entity: list[str], start: str, end: str) -> DataFrame:
@@ -34,28 +34,48 @@ def bare_chrom(c: Column) -> Column:
     return F.concat(F.lit("chr"), F.regexp_replace(F.trim(c), "^(?i)chr", ""))
 
 
-def _running(df: DataFrame, entity: list[str], position: str, amount: Column) -> DataFrame:
-    """entity, position, before, upto: sums of an amount over the rows of an entity before each position, and with it."""
-    block = F.floor(F.col(position) / BLOCK_POSITIONS).cast("long")
-    counted = df.groupBy(*entity, F.col(position).alias("__at")).agg(F.sum(amount).alias("__n")).withColumn(
-        "__block", F.floor(F.col("__at") / BLOCK_POSITIONS).cast("long")
-    )
-    blocks = df.groupBy(*entity, block.alias("__block")).agg(F.sum(amount).alias("__m"))
+def block_width(df: DataFrame, low: str, high: str) -> DataFrame:
+    """One row, __width: positions to a block, for windows over blocks of at most MOST_BLOCKS rows.
+
+    The middle of the positions is cut into BLOCKS blocks, so that blocks hold
+    like numbers of positions whatever their unit; a few far positions make no
+    difference to that until they are a hundred times as far.
+    """
+    sums = df.agg(F.percentile_approx(low, 0.01, 1000).alias("a"), F.percentile_approx(high, 0.99, 1000).alias("b"), F.min(low).alias("c"), F.max(high).alias("d"))
+    parts = [F.ceil((F.col(y).cast("double") - F.col(x).cast("double")) / n) for x, y, n in (("a", "b", BLOCKS), ("c", "d", MOST_BLOCKS))]
+    return sums.select(F.coalesce(F.greatest(*parts, F.lit(1)), F.lit(1)).cast("long").alias("__width"))
+
+
+def _running(df: DataFrame, entity: list[str], position: str, amount: Column, width: DataFrame) -> DataFrame:
+    """entity, position, before, upto, whole: sums of an amount over the rows of an entity before each position, with it, and over all.
+
+    The sums per block come from the sums per position, not from the rows.
+    """
+    counted = df.groupBy(*entity, F.col(position).alias("__at")).agg(F.sum(amount).alias("__n")).crossJoin(F.broadcast(width))
+    counted = counted.withColumn("__block", F.floor(F.col("__at") / F.col("__width")).cast("long")).drop("__width")
+    blocks = counted.groupBy(*entity, "__block").agg(F.sum("__n").alias("__m"))
+    every = W.partitionBy(*entity)
     before = blocks.select(
-        *entity, "__block",
-        F.coalesce(F.sum("__m").over(W.partitionBy(*entity).orderBy("__block").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("__before"),
+        *entity, "__block", F.sum("__m").over(every).alias("whole"),
+        F.coalesce(F.sum("__m").over(every.orderBy("__block").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("__before"),
     )
     within = F.sum("__n").over(W.partitionBy(*entity, "__block").orderBy("__at").rowsBetween(W.unboundedPreceding, 0))
     return counted.withColumn("__sum", within).join(before, [*entity, "__block"]).select(
         *entity, F.col("__at").alias(position), (F.col("__before") + F.col("__sum") - F.col("__n")).alias("before"),
-        (F.col("__before") + F.col("__sum")).alias("upto"),
+        (F.col("__before") + F.col("__sum")).alias("upto"), "whole",
     )
 
 
-def _ranked(df: DataFrame, entity: list[str], position: str) -> DataFrame:
-    """entity, position, first_rank, last_rank: ranks of the rows at each position of an entity, from 1."""
-    counts = _running(df, entity, position, F.lit(1).cast("long"))
-    return counts.select(*entity, position, (F.col("before") + 1).alias("first_rank"), F.col("upto").alias("last_rank"))
+def _met(df: DataFrame, entity: list[str], start: str, end: str) -> DataFrame:
+    """entity, rank, whole, gap_start, gap_end: the end of each rank and the start of the next, where positions change there."""
+    rows = usable_intervals(df, entity, start, end)
+    kinds = F.array(F.struct(F.lit(0).alias("__kind"), F.col(start).alias("__place")), F.struct(F.lit(1).alias("__kind"), F.col(end).alias("__place")))
+    points = rows.select(*entity, F.explode(kinds).alias("x")).select(*entity, "x.__kind", "x.__place")
+    ranked = _running(points, [*entity, "__kind"], "__place", F.lit(1).cast("long"), block_width(rows, start, end))
+    is_end = F.col("__kind") == 1
+    return ranked.groupBy(*entity, F.when(is_end, F.col("upto")).otherwise(F.col("before")).alias("rank")).agg(
+        F.max("whole").alias("whole"), F.max(F.when(is_end, F.col("__place"))).alias("gap_start"), F.max(F.when(~is_end, F.col("__place"))).alias("gap_end")
+    )
 
 
 def gaps(df: DataFrame, entity: list[str], start: str, end: str) -> DataFrame:
@@ -65,27 +85,31 @@ def gaps(df: DataFrame, entity: list[str], start: str, end: str) -> DataFrame:
     before the first or after the last.  Rows with a null entity, start or end,
     and empty or reversed intervals, are none; repeated ones change nothing.
     """
-    rows = usable_intervals(df, entity, start, end)
-    starts = _ranked(rows, entity, start).select(*entity, (F.col("first_rank") - 1).alias("__rank"), F.col(start).alias("gap_end"))
-    ends = _ranked(rows, entity, end).select(*entity, F.col("last_rank").alias("__rank"), F.col(end).alias("gap_start"))
-    return starts.join(ends, [*entity, "__rank"]).where("gap_end > gap_start").select(*entity, "gap_start", "gap_end")
+    return _met(df, entity, start, end).where("gap_end > gap_start").select(*entity, "gap_start", "gap_end")
 
 
 def _paired_bounds(df: DataFrame, entity: list[str], start: str, end: str) -> DataFrame:
-    """entity, place (from 1), stretch_start, stretch_end. The gaps, used twice, are written to the checkpoint folder."""
-    between = cut(gaps(df, entity, start, end))
-    outer = usable_intervals(df, entity, start, end).groupBy(*entity).agg(F.min(start).alias("__first"), F.max(end).alias("__last"))
-    opens = between.select(*entity, F.col("gap_end").alias("stretch_start")).unionByName(outer.select(*entity, F.col("__first").alias("stretch_start")))
-    closes = between.select(*entity, F.col("gap_start").alias("stretch_end")).unionByName(outer.select(*entity, F.col("__last").alias("stretch_end")))
-    bounds = [_ranked(b, entity, c).select(*entity, F.col("first_rank").alias("place"), c) for b, c in ((opens, "stretch_start"), (closes, "stretch_end"))]
-    return bounds[0].join(bounds[1], [*entity, "place"])
+    """entity, place (from 1), stretch_start, stretch_end.
+
+    A bound is a gap or lies before the first or behind the last rank; bounds,
+    used twice, are written to the checkpoint folder.
+    """
+    bounds = cut(_met(df, entity, start, end).where("gap_end > gap_start or rank = 0 or rank = whole").select(*entity, "rank", "gap_start", "gap_end"))
+    placed = _running(bounds, entity, "rank", F.lit(1).cast("long"), block_width(bounds, "rank", "rank")).select(*entity, "rank", F.col("upto").alias("place"))
+    none = F.lit(None).cast(bounds.schema["gap_end"].dataType)
+    sides = F.array(
+        F.struct(F.col("place").alias("place"), F.col("gap_end").alias("opens"), none.alias("closes")),
+        F.struct((F.col("place") - 1).alias("place"), none.alias("opens"), F.col("gap_start").alias("closes")),
+    )
+    parts = bounds.join(placed, [*entity, "rank"]).select(*entity, F.explode(sides).alias("x")).where("coalesce(x.opens, x.closes) is not null")
+    return parts.groupBy(*entity, F.col("x.place").alias("place")).agg(F.max("x.opens").alias("stretch_start"), F.max("x.closes").alias("stretch_end"))
 
 
 def stretches(df: DataFrame, entity: list[str], start: str, end: str) -> DataFrame:
     """entity, stretch_start, stretch_end: the continuous covered stretches of each entity.
 
     Boundaries are the gaps' ends and the outermost positions; the i-th opening
-    boundary is paired with the i-th closing one, both ranked like above.
+    boundary is paired with the i-th closing one, by places built like the ranks.
     """
     return _paired_bounds(df, entity, start, end).drop("place")
 
@@ -101,10 +125,9 @@ def stretch_sums(df: DataFrame, entity: list[str], start: str, end: str, value:
     rows = usable_intervals(df, entity, start, end)
     bounds = _paired_bounds(df, entity, start, end)
     amount = F.coalesce(F.col(value), F.lit(0))
-    sums = _running(rows, entity, start, amount).select(*entity, F.col(start).alias("stretch_start"), F.col("before").alias("__low"))
-    opened = bounds.join(sums, [*entity, "stretch_start"])
+    sums = _running(rows, entity, start, amount, block_width(rows, start, start)).select(*entity, F.col(start).alias("stretch_start"), F.col("before").alias("__low"), "whole")
+    opened = cut(bounds.join(sums, [*entity, "stretch_start"]))
     following = opened.select(*entity, (F.col("place") - 1).alias("place"), F.col("__low").alias("__high"))
-    whole = rows.groupBy(*entity).agg(F.sum(amount).alias("__all"))
-    return opened.join(following, [*entity, "place"], "left").join(whole, entity).select(
-        *entity, "stretch_start", "stretch_end", (F.coalesce("__high", "__all") - F.col("__low")).alias(value)
+    return opened.join(following, [*entity, "place"], "left").select(
+        *entity, "stretch_start", "stretch_end", (F.coalesce("__high", "whole") - F.col("__low")).alias(value)
     )

@@ -38,14 +38,16 @@ def test_against_brute_force(spark, rows, monkeypatch):
         data.append((draw.choice([None, "hot", "hot", "hot", "a", "b"]), s, e))
     data += data[:50]
     check(spark, rows, data)
-    monkeypatch.setattr(st, "BLOCK_POSITIONS", 7)
-    check(spark, rows, data)
+    for blocks, most in ((600, 1 << 20), (3, 1 << 20), (600, 2)):
+        monkeypatch.setattr(st, "BLOCKS", blocks)
+        monkeypatch.setattr(st, "MOST_BLOCKS", most)
+        check(spark, rows, data)
 
 
 def test_sums_are_those_of_the_merge(spark, rows, monkeypatch):
     from spanforge.operators.intervals import merge_sum
 
-    monkeypatch.setattr(st, "BLOCK_POSITIONS", 50)
+    monkeypatch.setattr(st, "BLOCKS", 60)
     draw = random.Random(7)
     data = []
     for _ in range(600):
@@ -57,6 +59,15 @@ def test_sums_are_those_of_the_merge(spark, rows, monkeypatch):
     assert rows(st.stretch_sums(df.limit(0), ["k"], "s", "e", "v")) == []
 
 
+def test_width_follows_the_data(spark):
+    """Blocks of microseconds and of far outliers stay few, and those of the middle many."""
+    width = lambda data: st.block_width(spark.createDataFrame(data, "s long, e long"), "s", "e").first()[0]
+    micro = [(1_600_000_000_000_000 + k * 60_000_000, 1_600_000_000_000_000 + k * 60_000_000 + 5) for k in range(2000)]
+    assert 2000 * 60_000_000 // st.BLOCKS * 0.9 < width(micro) < 2000 * 60_000_000 // st.BLOCKS * 1.1
+    assert width(micro + [(0, 1)]) == -(-micro[-1][1] // st.MOST_BLOCKS)
+    assert width([(5, 6)]) == 1 and width([]) == 1
+
+
 def test_touching_nested_and_repeated(spark, rows):
     check(spark, rows, [("a", 0, 10), ("a", 10, 20), ("a", 2, 5), ("a", 2, 5), ("a", 25, 30), ("a", 21, 30), ("b", 5, 5), ("b", 9, 3), ("c", 1, 2)])
     check(spark, rows, [])
