@@ -16,8 +16,8 @@ from pyspark.sql.window import Window as W
 
 from spanforge.checkpoints import cut
 
-#: Blocks over the middle 98 % of all positions, and over all of them: the width of a block follows from the data.
-BLOCKS, MOST_BLOCKS = 1 << 13, 1 << 20
+#: Rows of a block, were all of one entity, and most blocks of an entity: the width of a block follows from the data.
+BLOCK_ROWS, MOST_BLOCKS = 50_000, 1 << 20
 
 
 def usable_intervals(df: DataFrame, entity: list[str], start: str, end: str) -> DataFrame:
@@ -37,12 +37,15 @@ def bare_chrom(c: Column) -> Column:
 def block_width(df: DataFrame, low: str, high: str) -> DataFrame:
     """One row, __width: positions to a block, for windows over blocks of at most MOST_BLOCKS rows.
 
-    The middle of the positions is cut into BLOCKS blocks, so that blocks hold
-    like numbers of positions whatever their unit; a few far positions make no
-    difference to that until they are a hundred times as far.
+    The middle 98 % of the positions are cut into as many blocks as the number
+    of rows asks for, whatever the unit of the positions; a few far ones only
+    make the blocks wider where there would be too many otherwise.
     """
-    sums = df.agg(F.percentile_approx(low, 0.01, 1000).alias("a"), F.percentile_approx(high, 0.99, 1000).alias("b"), F.min(low).alias("c"), F.max(high).alias("d"))
-    parts = [F.ceil((F.col(y).cast("double") - F.col(x).cast("double")) / n) for x, y, n in (("a", "b", BLOCKS), ("c", "d", MOST_BLOCKS))]
+    sums = df.agg(
+        F.percentile_approx(low, 0.01, 1000).alias("a"), F.percentile_approx(high, 0.99, 1000).alias("b"), F.min(low).alias("c"), F.max(high).alias("d"),
+        F.least(F.ceil(F.count("*") / BLOCK_ROWS), F.lit(MOST_BLOCKS)).alias("n"),
+    )
+    parts = [F.ceil((F.col(y).cast("double") - F.col(x).cast("double")) / F.greatest(n, F.lit(1))) for x, y, n in (("a", "b", F.col("n")), ("c", "d", F.lit(MOST_BLOCKS)))]
     return sums.select(F.coalesce(F.greatest(*parts, F.lit(1)), F.lit(1)).cast("long").alias("__width"))
 
 

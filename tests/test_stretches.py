@@ -38,8 +38,8 @@ def test_against_brute_force(spark, rows, monkeypatch):
         data.append((draw.choice([None, "hot", "hot", "hot", "a", "b"]), s, e))
     data += data[:50]
     check(spark, rows, data)
-    for blocks, most in ((600, 1 << 20), (3, 1 << 20), (600, 2)):
-        monkeypatch.setattr(st, "BLOCKS", blocks)
+    for per_block, most in ((2, 1 << 20), (300, 1 << 20), (2, 2)):
+        monkeypatch.setattr(st, "BLOCK_ROWS", per_block)
         monkeypatch.setattr(st, "MOST_BLOCKS", most)
         check(spark, rows, data)
 
@@ -47,7 +47,7 @@ def test_against_brute_force(spark, rows, monkeypatch):
 def test_sums_are_those_of_the_merge(spark, rows, monkeypatch):
     from spanforge.operators.intervals import merge_sum
 
-    monkeypatch.setattr(st, "BLOCKS", 60)
+    monkeypatch.setattr(st, "BLOCK_ROWS", 10)
     draw = random.Random(7)
     data = []
     for _ in range(600):
@@ -59,11 +59,12 @@ def test_sums_are_those_of_the_merge(spark, rows, monkeypatch):
     assert rows(st.stretch_sums(df.limit(0), ["k"], "s", "e", "v")) == []
 
 
-def test_width_follows_the_data(spark):
-    """Blocks of microseconds and of far outliers stay few, and those of the middle many."""
+def test_width_follows_the_data(spark, monkeypatch):
+    """Blocks of microseconds stay as few as the rows ask for, those of far outliers as few as a window may hold."""
+    monkeypatch.setattr(st, "BLOCK_ROWS", 20)
     width = lambda data: st.block_width(spark.createDataFrame(data, "s long, e long"), "s", "e").first()[0]
     micro = [(1_600_000_000_000_000 + k * 60_000_000, 1_600_000_000_000_000 + k * 60_000_000 + 5) for k in range(2000)]
-    assert 2000 * 60_000_000 // st.BLOCKS * 0.9 < width(micro) < 2000 * 60_000_000 // st.BLOCKS * 1.1
+    assert 0.9 < width(micro) / (2000 * 60_000_000 / 100) < 1.1
     assert width(micro + [(0, 1)]) == -(-micro[-1][1] // st.MOST_BLOCKS)
     assert width([(5, 6)]) == 1 and width([]) == 1
 
