@@ -9,8 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Rows of both copies that meet in one hash bucket, on average.
-ROWS_PER_BUCKET = 50_000
+#: Hash buckets for each of the session's shuffle partitions.
+BUCKETS = 8
 
 
 def bare_name(c: Column) -> Column:
@@ -71,13 +71,15 @@ def differences(
     types by equality.  Nulls are keys and values like others.  Empty tables
     and repeated rows are fine; columns beyond those named are not read.
 
-    Both sides are cogrouped by a hash bucket of the key; the number of buckets
-    follows the number of rows, so that a bucket's Arrow tables stay small.
+    Both sides are cogrouped by a hash bucket of the key.  There are as many
+    buckets as the session's shuffle partitions ask for, so that a bucket's
+    Arrow tables are a small part of what a task is meant to hold, and neither
+    table has to be counted first.
     """
     # New names for the columns: cogroup mixes them up where one side derives from the other.
     sides = [newest(df, key, values, version or []).select(*[F.col(f"`{c}`").alias(c) for c in [*key, *values]]) for df in (left, right)]
     if buckets is None:
-        buckets = max(1, -(-(left.count() + right.count()) // ROWS_PER_BUCKET))
+        buckets = BUCKETS * int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     grouped = [s.withColumn("__bucket", F.pmod(F.xxhash64(*key), F.lit(buckets)).cast("int")).groupBy("__bucket") for s in sides]
     fields = [sides[0].schema[k] for k in key] + [T.StructField(n, T.StringType()) for n in ("what", "left_value", "right_value")]
 

@@ -14,8 +14,7 @@ from spanforge.tables import table
 CORRECTED = ["coverage", "percent_gc", "k_gc", "corrected_coverage"]
 
 
-def p2_differences(spark: SparkSession, d: str) -> DataFrame:
-    """Every missing row and every differing value with both values."""
+def _differences(spark: SparkSession, d: str) -> DataFrame:
     sides = []
     for name in ("corrected", "corrected_mirror"):
         rows = table(spark, d, name).select("sample_name", bare_name(F.col("domain")).alias("domain"), *CORRECTED, "loaded_at", "row_id")
@@ -24,12 +23,18 @@ def p2_differences(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
-    return p2_differences(spark, d).select("sample_name", "domain", "what")
+    return _differences(spark, d).select("sample_name", "domain", "what")
+
+
+def p2_differences(spark: SparkSession, d: str) -> DataFrame:
+    """Every missing row and every differing value with both values, as numbers again."""
+    values = [F.col(f"{side}_value").cast("double").alias(f"{side}_value") for side in ("left", "right")]
+    return _differences(spark, d).select("sample_name", "domain", "what", *values)
 
 
 def p2_summary(spark: SparkSession, d: str) -> DataFrame:
     """Number of differences of each kind."""
-    return p2_differences(spark, d).groupBy("what").agg(F.count("*").alias("n"))
+    return _differences(spark, d).groupBy("what").agg(F.count("*").alias("n"))
 
 
 def _references(spark: SparkSession, d: str) -> DataFrame:
@@ -106,7 +111,7 @@ def _newest_sql(name: str) -> str:
 def _differs_sql(c: str) -> str:
     x, y = f"a.{c}", f"b.{c}"
     return f"""
-      select a.sample_name, a.dom, '{c}' from a join b on a.sample_name is not distinct from b.sample_name and a.dom = b.dom
+      select a.sample_name, a.dom, '{c}', {x}, {y} from a join b on a.sample_name is not distinct from b.sample_name and a.dom = b.dom
       where ({x} is null) <> ({y} is null)
          or case when {x} is null or {y} is null then false
                  when isnan({x}) or isnan({y}) or isinf({x}) or isinf({y}) then {x} <> {y}
@@ -115,13 +120,13 @@ def _differs_sql(c: str) -> str:
 
 def _anti_sql(left: str, right: str, what: str) -> str:
     return (
-        f"select l.sample_name, l.dom, '{what}' from {left} l where not exists (select 1 from {right} r "
+        f"select l.sample_name, l.dom, '{what}', null::double, null::double from {left} l where not exists (select 1 from {right} r "
         "where l.sample_name is not distinct from r.sample_name and l.dom = r.dom)"
     )
 
 
 _P2 = (
-    f"with a as ({_newest_sql('corrected')}), b as ({_newest_sql('corrected_mirror')}), x(sample_name, domain, what) as ("
+    f"with a as ({_newest_sql('corrected')}), b as ({_newest_sql('corrected_mirror')}), x(sample_name, domain, what, left_value, right_value) as ("
     + " union all ".join([_anti_sql("a", "b", "only_corrected"), _anti_sql("b", "a", "only_mirror"), *map(_differs_sql, CORRECTED)])
     + ") "
 )
@@ -157,6 +162,7 @@ m as (select *, max(e) over (partition by sample_name, chrom order by s, e rows
 def oracle_sql() -> dict[str, str]:
     return {
         "p2_found": _P2 + "select sample_name, domain, what from x",
+        "p2_differences": _P2 + "select * from x",
         "p2_summary": _P2 + "select what, count(*) n from x group by 1",
         "p3_found": _P3 + "select distinct src, row_id, reason from x",
         "p3_by_month": _P3 + "select src, strftime(t, '%Y-%m') as month, reason, count(distinct row_id) orphans from x group by 1, 2, 3",
