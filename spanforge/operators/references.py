@@ -15,8 +15,8 @@ from pyspark.sql.window import Window as W
 
 from spanforge.checkpoints import cut
 
-#: Parts into which the references of one key and day of change are split.
-SALTS = 8
+#: References of one key and day of change that are compared with its changes in one task.
+ROWS_PER_PART = 50_000
 
 
 def _day(at: Column) -> Column:
@@ -24,6 +24,10 @@ def _day(at: Column) -> Column:
     return F.coalesce(F.to_date(at), F.lit("0001-01-01").cast("date"))
 
 
+def _sign(sign: str | None) -> Column:
+    return (F.lit(1) if sign is None else F.col(sign)).cast("long")
+
+
 def existence_deltas(records: DataFrame, name: str, added: str, deleted: str) -> DataFrame:
     """name, at, delta: +1 where a record begins to exist, -1 where it ends. Records that end before they begin have none."""
     lives = records.where(F.col(name).isNotNull() & F.col(added).isNotNull() & (F.col(deleted).isNull() | (F.col(deleted) > F.col(added))))
@@ -33,29 +37,48 @@ def existence_deltas(records: DataFrame, name: str, added: str, deleted: str) ->
     ).select("name", "x.at", "x.delta").where("at is not null")
 
 
-def reference_ledger(refs: DataFrame, records: DataFrame, name: str = "name", at: str = "at", added: str = "added_at", deleted: str = "deleted_at") -> DataFrame:
-    """name, day, refs, delta, moves, first_added, undated: signed counts of references and existence per key and day.
+def reference_deltas(refs: DataFrame, name: str = "name", at: str = "at", sign: str | None = None) -> DataFrame:
+    """Rows of a ledger for references; null names refer to nothing. sign: 1 for one that comes, -1 for one taken back."""
+    nothing, none = F.lit(0).cast("long"), F.lit(None).cast(dict(refs.dtypes)[at])
+    return refs.where(F.col(name).isNotNull()).select(
+        F.col(name).alias("name"), _day(F.col(at)).alias("day"), _sign(sign).alias("refs"), nothing.alias("delta"), nothing.alias("moves"),
+        none.alias("first_added"), F.lit(False).alias("undated"),
+    )
 
-    Map-side sums come before the only shuffle.  Null names refer to nothing.
+
+def record_deltas(
+    records: DataFrame, name: str = "name", added: str = "added_at", deleted: str = "deleted_at", sign: str | None = None
+) -> DataFrame:
+    """Rows of a ledger for records: when they begin and cease to exist, and that their name is known.
+
+    sign: 1 for a state that holds from now on, -1 for one that it replaces.  A
+    record deleted later on comes as its old state with -1 and its new one with
+    1.  Its name stays known, and so does the time when it was first added.
     """
-    nothing = F.lit(0).cast("long")
-    none = F.lit(None).cast("timestamp_ntz" if dict(records.dtypes)[added] == "timestamp_ntz" else "timestamp")
-    came = refs.where(F.col(name).isNotNull()).select(
-        F.col(name).alias("name"), _day(F.col(at)).alias("day"), F.lit(1).cast("long").alias("refs"), nothing.alias("delta"),
-        nothing.alias("moves"), none.alias("first_added"), F.lit(False).alias("undated"),
-    )
-    moved = existence_deltas(records, name, added, deleted).select(
-        "name", _day(F.col("at")).alias("day"), nothing.alias("refs"), F.col("delta").cast("long"), F.lit(1).cast("long").alias("moves"),
+    nothing, none = F.lit(0).cast("long"), F.lit(None).cast(dict(records.dtypes)[added])
+    lives = records.where(F.col(name).isNotNull() & F.col(added).isNotNull() & (F.col(deleted).isNull() | (F.col(deleted) > F.col(added))))
+    ends = F.array(F.struct(F.col(added).alias("at"), F.lit(1).alias("by")), F.struct(F.col(deleted).alias("at"), F.lit(-1).alias("by")))
+    moves = lives.select(F.col(name).alias("name"), _sign(sign).alias("__sign"), F.explode(ends).alias("x")).where("x.at is not null").select(
+        "name", _day(F.col("x.at")).alias("day"), nothing.alias("refs"), (F.col("x.by") * F.col("__sign")).alias("delta"), F.col("__sign").alias("moves"),
         none.alias("first_added"), F.lit(False).alias("undated"),
     )
     known = records.where(F.col(name).isNotNull()).select(
         F.col(name).alias("name"), _day(F.col(added)).alias("day"), nothing.alias("refs"), nothing.alias("delta"), nothing.alias("moves"),
         F.col(added).alias("first_added"), F.col(added).isNull().alias("undated"),
     )
-    return _summed(came.unionByName(moved).unionByName(known))
+    return moves.unionByName(known)
+
+
+def reference_ledger(refs: DataFrame, records: DataFrame, name: str = "name", at: str = "at", added: str = "added_at", deleted: str = "deleted_at") -> DataFrame:
+    """name, day, refs, delta, moves, first_added, undated: signed counts of references and existence per key and day.
+
+    Map-side sums come before the only shuffle.  Null names refer to nothing.
+    """
+    return summed(reference_deltas(refs, name, at).unionByName(record_deltas(records, name, added, deleted)))
 
 
-def _summed(rows: DataFrame) -> DataFrame:
+def summed(rows: DataFrame) -> DataFrame:
+    """A ledger of rows of deltas, or of several ledgers."""
     return rows.groupBy("name", "day").agg(
         F.sum("refs").alias("refs"), F.sum("delta").alias("delta"), F.sum("moves").alias("moves"),
         F.min("first_added").alias("first_added"), F.max("undated").alias("undated"),
@@ -64,11 +87,11 @@ def _summed(rows: DataFrame) -> DataFrame:
 
 def merge_ledgers(old: DataFrame, new: DataFrame) -> DataFrame:
     """Ledger of both batches of changes."""
-    return _summed(old.unionByName(new))
+    return summed(old.unionByName(new))
 
 
 def day_states(ledger: DataFrame) -> DataFrame:
-    """name, day, opening, moves, first_added, undated, known of each key and day with references that may have orphans.
+    """name, day, refs, opening, moves, first_added, undated, known of each key and day with references that may have orphans.
 
     opening: records that exist as the day begins.  The window holds at most one
     row for each day of a key.
@@ -80,7 +103,7 @@ def day_states(ledger: DataFrame) -> DataFrame:
         F.min("first_added").over(key).alias("first_added"), F.max("undated").over(key).alias("undated"),
     )
     states = states.withColumn("known", F.col("first_added").isNotNull() | F.col("undated"))
-    return states.where("refs > 0 and (moves > 0 or opening <= 0)").drop("refs")
+    return states.where("refs > 0 and (moves > 0 or opening <= 0)")
 
 
 def orphan_references(
@@ -102,7 +125,8 @@ def orphan_references(
     Repeated references and records are all judged; empty tables are fine.
     ledger: a ledger that already covers both tables, if one is kept.  The days
     that may have orphans are written to the checkpoint folder, as they are
-    used twice.
+    used twice.  The references of one key and day of change are compared with
+    its changes in as many parts as their number in the ledger asks for.
     """
     states = cut(day_states(reference_ledger(refs, records, name, at, added, deleted) if ledger is None else ledger))
     s = states.select(*[F.col(c).alias(f"__{c}") for c in states.columns])
@@ -110,17 +134,18 @@ def orphan_references(
     held = r.join(s, (F.col(name) == F.col("__name")) & (F.col("__at_day") == F.col("__day")))
     quiet = held.where("__moves = 0")
 
-    busy = states.where("moves > 0").select("name", "day", "opening", "first_added", "undated")
+    parts = F.ceil(F.col("refs") / ROWS_PER_PART).cast("int")
+    busy = states.where("moves > 0").select("name", "day", parts.alias("parts"))
     changes = existence_deltas(records, name, added, deleted).withColumn("day", _day(F.col("at")))
-    changes = changes.groupBy("name", "day", "at").agg(F.sum("delta").alias("delta")).join(busy.select("name", "day"), ["name", "day"], "left_semi")
+    changes = changes.groupBy("name", "day", "at").agg(F.sum("delta").alias("delta")).join(busy, ["name", "day"])
     columns = refs.columns
     asked = held.where("__moves > 0").select(
-        F.col("__name").alias("name"), F.col("__day").alias("day"), F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in columns]), F.lit(SALTS)).cast("int").alias("salt"),
+        F.col("__name").alias("name"), F.col("__day").alias("day"), F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in columns]), F.ceil(F.col("__refs") / ROWS_PER_PART)).cast("int").alias("salt"),
         F.col(at).alias("at"), F.lit(0).cast("long").alias("delta"), F.struct(*[F.col(f"`{c}`") for c in columns]).alias("ref"),
         F.struct("__opening", "__first_added", "__undated").alias("state"),
     )
     spread = changes.select(
-        "name", "day", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"), "at", "delta",
+        "name", "day", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("salt"), "at", "delta",
         F.lit(None).cast(asked.schema["ref"].dataType).alias("ref"), F.lit(None).cast(asked.schema["state"].dataType).alias("state"),
     )
     so_far = W.partitionBy("name", "day", "salt").orderBy("at", F.col("ref").isNotNull()).rowsBetween(W.unboundedPreceding, 0)

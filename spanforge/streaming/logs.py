@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from spanforge.functions.names import sample_of
-from spanforge.operators.references import merge_ledgers, reference_ledger
+from spanforge.operators.references import record_deltas, reference_deltas, summed
 from spanforge.sources.lines import trim_log
 
 
@@ -22,20 +22,30 @@ def trim_totals(stream: DataFrame) -> DataFrame:
     return stream.groupBy(sample_of(F.col("file")).alias("sample"), "file", "kind").agg(F.max_by("reads", "at").alias("reads"))
 
 
-def keep_ledger(refs: DataFrame, records: DataFrame, path: str, checkpoint: str, **columns) -> StreamingQuery:
-    """Adds each batch of references to the ledger kept under path, in versions numbered by batch.
+def keep_ledger(
+    refs: DataFrame, records: DataFrame, path: str, checkpoint: str, name: str = "name", at: str = "at", added: str = "added_at", deleted: str = "deleted_at", sign: str | None = None
+) -> StreamingQuery:
+    """Keeps the ledger of operators.references under path from two streams of changes, of references and of records.
 
-    refs is a stream; records a table read anew for the first batch.  A batch
-    that is run again writes its own version again from the one before, so the
-    counts stay exact.
+    Each batch writes the sums of its own deltas, as its part of the ledger, and
+    nothing else; a batch that is run again overwrites its part, so the counts
+    stay exact.  A name that is added or deleted later changes the ledger like
+    one that was there from the first.  sign: column of both that is -1 for what
+    is taken back.
     """
-    spark = records.sparkSession
+    deltas = reference_deltas(refs, name, at, sign).unionByName(record_deltas(records, name, added, deleted, sign))
 
     def add(batch: DataFrame, number: int) -> None:
-        if number == 0:
-            ledger = reference_ledger(batch, records, **columns)
-        else:
-            ledger = merge_ledgers(spark.read.parquet(f"{path}/{number - 1}"), reference_ledger(batch, records.limit(0), **columns))
-        ledger.write.mode("overwrite").parquet(f"{path}/{number}")
+        summed(batch).write.mode("overwrite").parquet(f"{path}/batch={number}")
 
-    return refs.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    return deltas.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def kept_ledger(spark: SparkSession, path: str) -> DataFrame:
+    """The ledger that keep_ledger keeps under path."""
+    return summed(spark.read.parquet(path).drop("batch"))
+
+
+def compact_ledger(spark: SparkSession, path: str, to: str) -> None:
+    """Writes the ledger kept under path as one part of a new ledger; to be called between two runs, the next of which goes on there."""
+    kept_ledger(spark, path).write.mode("errorifexists").parquet(f"{to}/batch=-1")

@@ -36,6 +36,17 @@ def test_against_brute_force(spark, rows):
     assert rows(got, "id", "reason") == brute(refs, records)
 
 
+def test_parts_of_a_hot_key_and_day(spark, rows, monkeypatch):
+    """References of one name on one day of change are divided by their number, and each part sees all changes."""
+    from spanforge.operators import references
+
+    monkeypatch.setattr(references, "ROWS_PER_PART", 7)
+    records = [("hot", hours(3), hours(5)), ("hot", hours(9), hours(15)), ("cold", hours(0), None)]
+    refs = [(i, "hot" if i % 9 else "cold", hours(i % 24)) for i in range(700)]
+    got = orphan_references(spark.createDataFrame(refs, REFS), spark.createDataFrame(records, RECORDS))
+    assert rows(got, "id", "reason") == brute(refs, records)
+
+
 def test_boundaries(spark, rows):
     records = [("a", hours(10), hours(20)), ("b", hours(5), hours(5))]
     refs = [(1, "a", hours(9)), (2, "a", hours(10)), (3, "a", hours(19)), (4, "a", hours(20)), (5, "b", hours(5)), (6, "b", hours(4))]

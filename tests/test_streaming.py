@@ -1,7 +1,7 @@
 import datetime as dt
 
 from spanforge.operators.references import orphan_references, reference_ledger
-from spanforge.streaming.logs import keep_ledger, trim_log_stream, trim_totals
+from spanforge.streaming.logs import compact_ledger, keep_ledger, kept_ledger, trim_log_stream, trim_totals
 
 
 def test_trim_totals(spark, rows, tmp_path):
@@ -16,15 +16,38 @@ def test_trim_totals(spark, rows, tmp_path):
         query.stop()
 
 
+def t(h):
+    return None if h is None else dt.datetime(2020, 1, 1) + dt.timedelta(hours=h)
+
+
+RECORDS = "name string, added_at timestamp, deleted_at timestamp, sign int"
+REFS = "id int, name string, at timestamp, sign int"
+
+
 def test_ledger_of_batches_is_the_ledger_of_all(spark, rows, tmp_path):
-    t = lambda h: dt.datetime(2020, 1, 1) + dt.timedelta(hours=h)
-    records = spark.createDataFrame([("a", t(5), t(40)), ("b", t(1), None)], "name string, added_at timestamp, deleted_at timestamp")
-    refs = spark.createDataFrame([(i, "abc"[i % 3], t(i)) for i in range(80)], "id int, name string, at timestamp")
-    for k in range(4):
-        refs.where(f"id % 4 = {k}").coalesce(1).write.mode("append").parquet(str(tmp_path / "refs"))
-    stream = spark.readStream.schema(refs.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "refs"))
-    query = keep_ledger(stream, records, str(tmp_path / "ledger"), str(tmp_path / "state"))
-    assert query.awaitTermination(120) and query.exception() is None
-    kept = spark.read.parquet(str(tmp_path / "ledger" / "3"))
-    assert rows(kept) == rows(reference_ledger(refs, records))
-    assert rows(orphan_references(refs, records, ledger=kept)) == rows(orphan_references(refs, records))
+    """Names that are added or deleted in later batches, and references taken back, count like those of a ledger made at once."""
+    refs = [(i, "abcd"[i % 4], t(i), 1) for i in range(80)]
+    batches = [
+        ([("a", t(5), None, 1), ("b", t(1), None, 1)], refs[::3]),
+        ([("a", t(5), None, -1), ("a", t(5), t(40), 1)], refs[1::3]),
+        ([("c", t(30), t(31), 1), ("c", None, None, 1)], refs[2::3]),
+        ([("b", t(1), None, -1), ("b", t(1), t(60), 1)], [(*r[:3], -1) for r in refs[40:48]]),
+    ]
+    ledger = tmp_path / "ledger"
+    for k, (changes, came) in enumerate(batches):
+        spark.createDataFrame(changes, RECORDS).coalesce(1).write.mode("append").parquet(str(tmp_path / "records"))
+        spark.createDataFrame(came, REFS).coalesce(1).write.mode("append").parquet(str(tmp_path / "refs"))
+        streams = [spark.readStream.schema(s).parquet(str(tmp_path / n)) for s, n in ((REFS, "refs"), (RECORDS, "records"))]
+        query = keep_ledger(*streams, str(ledger), str(tmp_path / "state"), sign="sign")
+        assert query.awaitTermination(120) and query.exception() is None
+        if k == 1:
+            compact_ledger(spark, str(ledger), str(tmp_path / "compact"))
+            ledger = tmp_path / "compact"
+    assert sorted(p.name for p in ledger.iterdir() if p.name.startswith("batch")) == ["batch=-1", "batch=2", "batch=3"]
+    records = spark.createDataFrame([("a", t(5), t(40)), ("b", t(1), t(60)), ("c", t(30), t(31)), ("c", None, None)], "name string, added_at timestamp, deleted_at timestamp")
+    left = spark.createDataFrame(refs[:40] + refs[48:], REFS)
+    kept = kept_ledger(spark, str(ledger))
+    some = "refs <> 0 or delta <> 0 or moves <> 0 or first_added is not null or undated"
+    assert rows(kept.where(some)) == rows(reference_ledger(left, records).where(some))
+    found = rows(orphan_references(left, records, ledger=kept))
+    assert found == rows(orphan_references(left, records)) and {r[-1] for r in found} == {"missing", "later", "deleted"}
