@@ -17,7 +17,7 @@ from pyspark.sql.window import Window as W
 from spanforge.checkpoints import cut
 
 #: Rows of a block, were all of one entity, and most blocks of an entity: the width of a block follows from the data.
-BLOCK_ROWS, MOST_BLOCKS = 50_000, 1 << 20
+BLOCK_ROWS, MOST_BLOCKS = 1_000_000, 1 << 20
 
 
 def usable_intervals(df: DataFrame, entity: list[str], start: str, end: str) -> DataFrame:
