@@ -20,11 +20,11 @@ BLOCK_BYTES = 2 << 20
 
 # Greek and Cyrillic letters drawn like a Latin one, and Greek ones drawn like a Cyrillic one.
 ALIKE = {
-    "a": "а", "c": "сϲ", "d": "ԁ", "e": "е", "h": "һ", "i": "і", "j": "јϳ", "o": "оο", "p": "рρ", "q": "ԛ", "s": "ѕ",
-    "v": "ѵν", "w": "ԝ", "x": "х", "y": "у",
-    "A": "АΑ", "B": "ВΒ", "C": "СϹ", "D": "", "E": "ЕΕ", "G": "Ԍ", "H": "НΗ", "I": "ІΙ", "J": "ЈͿ", "K": "КΚ",
+    "a": "а", "c": "сϲ", "d": "ԁ", "e": "е", "h": "һ", "i": "і", "j": "јϳ", "l": "ӏ", "o": "оο", "p": "рρ", "q": "ԛ", "s": "ѕ",
+    "u": "υ", "v": "ѵν", "w": "ԝ", "x": "х", "y": "уү", "æ": "ӕ", "ə": "ә", "ɵ": "ө", "ʒ": "ӡ",
+    "A": "АΑ", "B": "ВΒ", "C": "СϹ", "E": "ЕΕ", "G": "Ԍ", "H": "НΗ", "I": "ІΙӀ", "J": "ЈͿ", "K": "КΚ",
     "M": "МΜϺ", "N": "Ν", "O": "ОΟ", "P": "РΡ", "Q": "Ԛ", "S": "Ѕ", "T": "ТΤ", "V": "Ѵ", "W": "Ԝ", "X": "ХΧ",
-    "Y": "ҮΥ", "Z": "Ζ", "Г": "Γ", "П": "Π", "Ф": "Φ",
+    "Y": "ҮΥ", "Z": "Ζ", "Æ": "Ӕ", "Ə": "Ә", "Ɵ": "Ө", "Ʒ": "Ӡ", "Г": "Γ", "П": "Π", "Ф": "Φ", "к": "κ", "μ": "µ",
 }
 
 
@@ -54,24 +54,35 @@ def _mapping() -> tuple[dict[str, str], dict[str, str]]:
 
 @lru_cache(maxsize=1)
 def _no_width() -> str:
-    """Format characters with the tags, variation selectors of all blocks and the grapheme joiner.
+    """Format characters with the tags, variation selectors of all blocks, the grapheme joiner, fillers and inherent vowels.
 
     The two Kaithi number signs are format characters that show.
     """
     selectors = {0x034F, *range(0x180B, 0x180E), 0x180F, *range(0xFE00, 0xFE10), *range(0xE0100, 0xE01F0)}
-    return "".join(chr(c) for c in range(0x80, 0x110000) if c in selectors or unicodedata.category(chr(c)) == "Cf" and c not in (0x110BD, 0x110CD))
+    fillers = {0x115F, 0x1160, 0x17B4, 0x17B5, 0x3164, 0xFFA0}
+    return "".join(
+        chr(c) for c in range(0x80, 0x110000)
+        if c in selectors or c in fillers or unicodedata.category(chr(c)) == "Cf" and c not in (0x110BD, 0x110CD)
+    )
+
+
+#: Where control characters go in the mapped form: private characters, which the collation tells apart.
+CONTROLS = 0xF0000
 
 
 def look_mapped(text: Column) -> Column:
     """Text with look-alikes mapped to one letter, other spaces to a blank and characters of no width taken out.
 
     Accents are neither composed nor decomposed; that is left to the collation.
+    Control characters, which the collation ignores though they are no such
+    difference, become private characters.
     """
 
     @F.pandas_udf(T.StringType())
     def mapped(texts):
         one, more = _mapping()
-        table = str.maketrans(one | more | dict.fromkeys(_no_width(), ""))
+        controls = {chr(c): chr(CONTROLS + c) for c in range(0xA0) if unicodedata.category(chr(c)) == "Cc" and not chr(c).isspace()}
+        table = str.maketrans(one | more | controls | dict.fromkeys(_no_width(), ""))
         return texts.map(lambda t: None if t is None else t.translate(table))
 
     return mapped(text)
@@ -147,55 +158,78 @@ def plain_keys(texts: pa.Array) -> pa.Array:
     return pa.array([xxhash.xxh3_64_intdigest(rest) - (1 << 63) if v else None for v, rest in parts[0]], pa.int64())
 
 
-#: Most texts whose digests are broadcast (some 20 MB); more are joined by a shuffle.
-BROADCAST_TEXTS = 200_000
+#: Bits of the filter that leaves rows out before a join; as 64-bit words, at most a 64th of this number of rows is broadcast.
+FILTER_BITS = 1 << 24
+
+
+def may_be_among(df: DataFrame, column: Column, keys: DataFrame, key: str, bits: int = FILTER_BITS) -> DataFrame:
+    """df with `__may`: false only where `column` is certainly not among the keys.
 
+    The keys' hashes set bits of a table of fixed size, which is all that is
+    broadcast, however many keys there are.
+    """
+
+    def place(c: Column) -> Column:
+        return F.pmod(F.xxhash64(c), F.lit(bits))
+
+    set_bits = keys.select(place(F.col(key)).alias("h")).select(F.shiftright("h", 6).alias("__word"), F.expr("shiftleft(1L, cast(h & 63 as int))").alias("bit"))
+    words = F.broadcast(set_bits.groupBy("__word").agg(F.bit_or("bit").alias("__bits")))
+    marked = df.withColumn("__h", place(column)).withColumn("__word", F.shiftright("__h", 6)).join(words, "__word", "left")
+    is_set = F.expr("shiftright(__bits, cast(__h & 63 as int)) & 1") == 1
+    return marked.withColumn("__may", F.coalesce(is_set & column.isNotNull(), F.lit(False))).drop("__word", "__bits", "__h")
 
-def _shared_texts(base: DataFrame) -> DataFrame:
-    """md5 of the texts whose plain key another text has, too."""
+
+def keyed_texts(df: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
+    """__doc, __md5, __key of every row: the text's digest and plain key. One pass over the texts, written to the checkpoint folder."""
+    base = df.select(F.col(f"`{doc}`").alias("__doc"), F.col(f"`{text}`").alias("__text"))
+    schema = T.StructType([base.schema["__doc"], T.StructField("__md5", T.StringType()), T.StructField("__key", T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block in text_blocks(batch, "__text", BLOCK_BYTES):
-                yield pa.RecordBatch.from_arrays([block.column("__md5"), plain_keys(block.column("__text"))], names=["__md5", "__key"])
+                yield pa.RecordBatch.from_arrays([block.column("__doc"), block.column("__md5"), plain_keys(block.column("__text"))], names=["__doc", "__md5", "__key"])
 
-    keyed = base.select(F.md5("__text").alias("__md5"), "__text").mapInArrow(run, "__md5 string, __key long").where("__key is not null")
-    keyed = cut(keyed.distinct())
-    shared = keyed.groupBy("__key").agg(F.count("*").alias("__n")).where("__n > 1").select("__key")
-    texts = cut(keyed.join(shared, "__key").select("__md5"))
-    return F.broadcast(texts) if texts.count() <= BROADCAST_TEXTS else texts
+    return cut(base.select("__doc", F.md5("__text").alias("__md5"), "__text").mapInArrow(run, schema))
 
 
-def look_classes(df: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc, text_md5, class_id, canonical_md5 of every document in a class with different texts.
+def text_classes(keyed: DataFrame, df: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
+    """text_md5, class_id, canonical_md5 of every different text that another one looks like; keyed: see keyed_texts.
 
     Texts are grouped in SQL by their look-alike-mapped form under the
     accent-sensitive collation UNICODE, which equates composed and combined
-    accents.  The document with the least id is the canonical member; it is
-    joined back to all members.  class_id is its id.  Before that, a hash of
-    the accent-free part alone leaves out texts that no other text can look
-    like: of those nothing but the hash is moved.  The other texts are written
-    to the checkpoint folder with their mapped forms, so that no filter on a
-    form is inferred and run over the whole corpus.  The collation also ignores
-    control characters, which are no such difference: an exact comparison of
-    composed forms within each class splits those off.
-
-    Null texts and texts that show no character belong to no class.  Repeated
-    documents (the same text) are members like others; a class needs at least
-    two different texts.
+    accents and nothing else that shows.  The document with the least id is the
+    canonical member, and class_id is its id; it is joined back to all texts.
+
+    Only texts whose plain key another text shares come so far: of the others
+    nothing but digest and key is moved.  Of each different text one document
+    is read again, and a filter of fixed size leaves the others where they are.
+    The mapped forms are written to the checkpoint folder, so that no filter on
+    a form is inferred and run over the whole corpus.
     """
-    base = df.select(F.col(f"`{doc}`").alias("__doc"), F.col(f"`{text}`").alias("__text")).where("__text is not null")
-    some = base.withColumn("__md5", F.md5("__text")).join(_shared_texts(base), "__md5", "left_semi")
-    composed = F.pandas_udf(lambda s: s.map(lambda t: unicodedata.normalize("NFC", t)), T.StringType())
-    some = some.select("__doc", "__md5", look_mapped(F.col("__text")).alias("__look"))
-    some = cut(some.select("__doc", "__md5", F.collate("__look", "UNICODE").alias("__look"), F.md5(composed("__look")).alias("__exact")))
-    members = some.groupBy("__look", "__exact").agg(
+    texts = keyed.where("__key is not null and __doc is not null").groupBy("__key", "__md5").agg(F.min("__doc").alias("__doc"))
+    shared = texts.groupBy("__key").agg(F.count("*").alias("__n")).where("__n > 1").select("__key")
+    asked = cut(texts.join(shared, "__key").select("__md5", F.col("__doc").alias("__asked")))
+    rows = may_be_among(df.select(F.col(f"`{doc}`").alias("__doc"), F.col(f"`{text}`").alias("__text")), F.col("__doc"), asked, "__asked").where("__may")
+    some = rows.withColumn("__md5", F.md5("__text")).join(asked, ["__md5"]).where("__doc = __asked")
+    looks = cut(some.select("__doc", "__md5", F.collate(look_mapped(F.col("__text")), "UNICODE").alias("__look")))
+    members = looks.groupBy("__look").agg(
         F.min("__doc").alias("class_id"), F.min_by("__md5", F.struct("__doc", "__md5")).alias("canonical_md5"),
         F.min("__md5").alias("__least"), F.max("__md5").alias("__most"),
-    ).where("__least <> __most").select("__look", "__exact", "class_id", "canonical_md5")
-    return some.join(members, ["__look", "__exact"]).select(
-        F.col("__doc").alias(doc), F.col("__md5").alias("text_md5"), "class_id", "canonical_md5"
-    )
+    ).where("__least <> __most").select("__look", "class_id", "canonical_md5")
+    return cut(looks.join(members, "__look").select(F.col("__md5").alias("text_md5"), "class_id", "canonical_md5").distinct())
+
+
+def look_classes(df: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
+    """doc, text_md5, class_id, canonical_md5 of every document in a class with different texts; see text_classes.
+
+    Null texts, texts that show no character and documents without an id belong
+    to no class.  Repeated documents (the same text) are members like others; a
+    class needs at least two different texts.
+    """
+    keyed = keyed_texts(df, doc, text)
+    classes = text_classes(keyed, df, doc, text)
+    members = keyed.where("__doc is not null").join(classes, F.col("__md5") == F.col("text_md5"))
+    return members.select(F.col("__doc").alias(doc), "text_md5", "class_id", "canonical_md5")
 
 
 #: Documents of one text that meet a text pair in one task; the copies of a text with more are divided.
@@ -225,19 +259,33 @@ def look_alike_pairs(df: DataFrame, doc: str = "doc_id", text: str = "text") ->
     return met.where(a != b).select(F.least(a, b).alias(f"{doc}_a"), F.greatest(a, b).alias(f"{doc}_b"))
 
 
+def consistent_digests(df: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
+    """doc, text_md5: the digest of the one consistent form of each document's text; null for a null text.
+
+    A text that nothing else looks like is its own form.  No text is moved.
+    """
+    keyed = keyed_texts(df, doc, text)
+    classes = text_classes(keyed, df, doc, text).select("text_md5", "canonical_md5")
+    joined = keyed.join(classes, F.col("__md5") == F.col("text_md5"), "left")
+    return joined.select(F.col("__doc").alias(doc), F.coalesce("canonical_md5", "__md5").alias("text_md5"))
+
+
 def consistent_texts(df: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
     """All columns of df, with each text replaced by the one consistent form of its class.
 
     A text that nothing else looks like is its own form; so are null texts and
-    those that show nothing.  The canonical texts of a class are fetched from
-    df by their md5, once for each class.
+    those that show nothing.  Rows whose text changes are found by its digest;
+    a filter of fixed size leaves almost all others where they are.  The
+    canonical text of a class is fetched from df by the id of its document.
     """
-    classes = cut(look_classes(df, doc, text))
     names = df.columns
-    canonical = classes.select("canonical_md5").distinct()
-    forms = df.withColumn("canonical_md5", F.md5(F.col(f"`{text}`"))).join(canonical, "canonical_md5").groupBy("canonical_md5").agg(
-        F.min(F.col(f"`{text}`")).alias("__form")
-    )
-    known = classes.select("text_md5", "canonical_md5").distinct().join(forms, "canonical_md5").select("text_md5", "__form")
-    joined = df.withColumn("__md5", F.md5(F.col(f"`{text}`"))).join(known, F.col("__md5") == F.col("text_md5"), "left")
-    return joined.withColumn(text, F.coalesce("__form", F.col(f"`{text}`"))).select(*[F.col(f"`{c}`") for c in names])
+    classes = text_classes(keyed_texts(df, doc, text), df, doc, text)
+    changed = classes.where("text_md5 <> canonical_md5")
+    heads = changed.select(F.col("class_id").alias("__doc"), F.col("canonical_md5").alias("__md5")).distinct()
+    rows = may_be_among(df.select(F.col(f"`{doc}`").alias("__doc"), F.col(f"`{text}`").alias("__form")), F.col("__doc"), heads, "__doc").where("__may")
+    forms = rows.withColumn("__md5", F.md5("__form")).join(heads, ["__doc", "__md5"], "left_semi").groupBy("__md5").agg(F.first("__form").alias("__form"))
+    known = changed.join(forms, F.col("canonical_md5") == F.col("__md5")).select("text_md5", "__form")
+    marked = may_be_among(df.withColumn("__md5", F.md5(F.col(f"`{text}`"))), F.col("__md5"), changed, "text_md5")
+    asked = marked.where("__may").join(known, F.col("__md5") == F.col("text_md5"), "left").withColumn(text, F.coalesce("__form", F.col(f"`{text}`")))
+    columns = [F.col(f"`{c}`") for c in names]
+    return marked.where("not __may").select(*columns).unionByName(asked.select(*columns))

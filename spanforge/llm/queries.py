@@ -42,12 +42,18 @@ def p8_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p8_forms(spark: SparkSession, d: str) -> DataFrame:
-    """The consistent text of every document: the canonical member's where others look like it, else its own."""
-    return lookalike.consistent_texts(table(spark, d, "documents")).select("doc_id", F.md5("text").alias("text_md5"))
+    """The digest of every document's consistent text: the canonical member's where others look like it, else its own."""
+    return lookalike.consistent_digests(table(spark, d, "documents"))
+
+
+def p8_texts(spark: SparkSession, d: str) -> DataFrame:
+    """Every document with its consistent text, and whether that is another than its own."""
+    docs = table(spark, d, "documents").select("doc_id", "text", F.md5("text").alias("was"))
+    return lookalike.consistent_texts(docs).select("doc_id", F.col("text").alias("consistent"), (F.md5("text") != F.col("was")).alias("changed"))
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (p1_found, p1_report, p1_sample, p6_ids, p7_packing, p7_fill, p8_found, p8_forms)}
+    return {f.__name__: f for f in (p1_found, p1_report, p1_sample, p6_ids, p7_packing, p7_fill, p8_found, p8_forms, p8_texts)}
 
 
 _P1 = """

@@ -1,7 +1,9 @@
 import random
 import unicodedata
 
-from spanforge.llm.lookalike import ALIKE, _no_width, consistent_texts, look_alike_pairs, look_classes
+from pyspark.sql import functions as F
+
+from spanforge.llm.lookalike import ALIKE, _no_width, consistent_digests, consistent_texts, look_alike_pairs, look_classes, may_be_among
 
 BASE = {other: latin for latin, others in ALIKE.items() for other in others}
 
@@ -79,12 +81,56 @@ def test_copies_classes_and_forms(spark, rows):
     assert look_alike_pairs(df.limit(0)).count() == 0
 
 
+def test_digests_and_texts_agree(spark, rows):
+    import hashlib
+
+    docs = [(5, "abc"), (7, "аbс"), (9, "аbс"), (3, "abc"), (1, "other"), (2, "other"), (4, None), (6, ""), (None, "аbc"), (8, "ab\x01c")]
+    df = spark.createDataFrame([(i, t, "x") for i, t in docs], "doc_id int, text string, class_id string")
+    texts = {i: t for i, t, _ in rows(consistent_texts(df), "doc_id", "text", "class_id")}
+    assert len(texts) == len(docs) and texts[7] == texts[9] == "abc" and texts[8] == "ab\x01c" and texts[4] is None
+    digest = lambda t: None if t is None else hashlib.md5(t.encode()).hexdigest()
+    found = dict(rows(consistent_digests(df)))
+    assert {i: v for i, v in found.items() if i} == {i: digest(t) for i, t in texts.items() if i}
+
+
+def test_a_full_filter_only_costs_time(spark, rows):
+    df = spark.range(200).withColumn("k", F.col("id").cast("string"))
+    keys = spark.range(0, 200, 5).select(F.col("id").cast("string").alias("key"))
+    for bits in (64, 1 << 12):
+        kept = {r[0] for r in rows(may_be_among(df, F.col("k"), keys, "key", bits).where("__may"), "id")}
+        assert kept >= set(range(0, 200, 5)) and (bits == 64 or len(kept) < 60)
+    assert may_be_among(df, F.col("k"), keys.limit(0), "key").where("__may").count() == 0
+
+
+# Letters drawn alike, apart from the operator's own list; each pair once.
+DRAWN_ALIKE = (
+    "aа cс cϲ dԁ eе hһ iі jј jϳ lӏ oо oο pр pρ qԛ sѕ uυ vѵ vν wԝ xх yу yү æӕ əә ɵө ʒӡ AА AΑ BВ BΒ CС CϹ EЕ EΕ GԌ HН HΗ IІ IΙ IӀ JЈ JͿ KК KΚ "
+    "MМ MΜ MϺ NΝ OО OΟ PР PΡ QԚ SЅ TТ TΤ VѴ WԜ XХ XΧ YҮ YΥ ZΖ ÆӔ ƏӘ ƟӨ ƷӠ ГΓ ПΠ ФΦ кκ μµ ёë їï άά öӧ äӓ éé ÇÇ ΈΈ йй"
+).split()
+
+
+def test_each_pair_of_letters_drawn_alike(spark, rows):
+    """A pair of documents for each pair of letters, with and without accent and width, all told apart from each other."""
+    docs = []
+    for k, pair in enumerate(DRAWN_ALIKE):
+        for j, letter in enumerate((pair[0], pair[1:])):
+            docs.append((10 * k + j, f"{k}-{letter}-ẹ́"))
+    docs += [(10 * k + 2, f"{k}\u3164-{pair[0]}-ẹ́") for k, pair in enumerate(DRAWN_ALIKE)]
+    found = rows(look_classes(spark.createDataFrame(docs, "doc_id int, text string")), "doc_id", "class_id")
+    assert found == sorted(((i, i // 10 * 10) for i, _ in docs), key=repr)
+
+
+def test_the_collation_decides(spark, rows):
+    """Texts with one plain key that differ in accents, in case or in control characters are of different classes."""
+    texts = ["é", "e\u0301", "è", "e", "É", "e\x01", "e\x02", "e\x1f", "\x01e", "e\u0301\x01", "é\x01", "e\n", "e\t", "e\r", "e\u2028"]
+    docs = [(i, f"same {t}") for i, t in enumerate(texts)]
+    assert rows(look_classes(spark.createDataFrame(docs, "doc_id int, text string")), "doc_id", "class_id") == sorted([(0, 0), (1, 0), (9, 9), (10, 9)], key=repr)
+
+
 def test_copies_of_one_text_never_meet(spark, monkeypatch):
     """A class of many copies and one disguised variant gives as many pairs as copies, without trying all pairs of copies."""
     from threading import Timer
 
-    from pyspark.sql import functions as F
-
     from spanforge.llm import lookalike
 
     n = 300_000
