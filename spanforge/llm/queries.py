@@ -19,6 +19,28 @@ def p1_report(spark: SparkSession, d: str) -> DataFrame:
     return report.select("release_tag", "dim", "category", "wanted", "available", "scarce")
 
 
+def p1_unmet(spark: SparkSession, d: str) -> DataFrame:
+    """Targets that cannot be met: for want of rows, or because the other dimension keeps rows out that exist."""
+    report = sampling.target_report(table(spark, d, "candidate"), table(spark, d, "sampling_target"))
+    return report.where("scarce > 0 or conflict > 0").select("release_tag", "dim", "category", "wanted", "available", "scarce", "conflict")
+
+
+def p1_conflict(spark: SparkSession, d: str) -> DataFrame:
+    """Wanted rows of each release that exist and cannot be had together."""
+    report = sampling.target_report(table(spark, d, "candidate"), table(spark, d, "sampling_target"))
+    return report.groupBy("release_tag").agg(F.sum("conflict").alias("conflict"))
+
+
+def p1_sample_check(spark: SparkSession, d: str) -> DataFrame:
+    """The sample's size by release, rows drawn twice, and rows that are no candidates."""
+    candidates = table(spark, d, "candidate")
+    drawn = sampling.matched_sample(candidates, table(spark, d, "sampling_target"))
+    known = candidates.select("release_tag", "candidate_id").distinct().withColumn("known", F.lit(True))
+    return drawn.join(known, ["release_tag", "candidate_id"], "left").groupBy("release_tag").agg(
+        F.count("*").alias("drawn"), (F.count("*") - F.countDistinct("candidate_id")).alias("repeated"), F.count(F.when(F.col("known").isNull(), 1)).alias("unknown")
+    )
+
+
 def p1_sample(spark: SparkSession, d: str) -> DataFrame:
     return sampling.matched_sample(table(spark, d, "candidate"), table(spark, d, "sampling_target"))
 
@@ -53,7 +75,7 @@ def p8_texts(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (p1_found, p1_report, p1_sample, p6_ids, p7_packing, p7_fill, p8_found, p8_forms, p8_texts)}
+    return {f.__name__: f for f in (p1_found, p1_report, p1_unmet, p1_conflict, p1_sample, p1_sample_check, p6_ids, p7_packing, p7_fill, p8_found, p8_forms, p8_texts)}
 
 
 _P1 = """
@@ -73,6 +95,34 @@ from want w left join has h on h.release_tag = w.release_tag and h.dim = w.dim a
 """
 
 
+# The most rows that answer a target of either dimension at once are a minimal cut: over all sets of centres, what the
+# others want, and of each population what it wants or what it has at the centres of the set.
+_P1_CONFLICT = (
+    "with t as (" + _P1.format(columns="cast(least(wanted, coalesce(available, 0)) as bigint) had, w.cat cat") + """),
+once as (
+  select release_tag, upper(trim(population, ' ')) p, upper(trim(centre_name, ' ')) c from candidate where candidate_id is not null
+  qualify row_number() over (partition by release_tag, candidate_id order by upper(trim(population, ' ')) nulls first, upper(trim(centre_name, ' ')) nulls first) = 1),
+cell as (select release_tag, p, c, count(*) n from once group by 1, 2, 3),
+centre as (select release_tag, cat, had, row_number() over (partition by release_tag order by cat) - 1 as k from t where dim = 'centre_name'),
+sets as (select release_tag, unnest(range(0, cast(pow(2, count(*)) as bigint))) s from centre group by 1),
+outside as (select s.release_tag, s.s, coalesce(sum(had) filter ((s.s >> k) & 1 = 0), 0) o from sets s join centre c on s.release_tag = c.release_tag group by 1, 2),
+inside as (
+  select s.release_tag, s.s, t.cat, least(t.had, coalesce(sum(x.n) filter ((s.s >> c.k) & 1 = 1), 0)) i
+  from sets s join t on t.release_tag = s.release_tag and t.dim = 'population' join centre c on c.release_tag = s.release_tag
+  left join cell x on x.release_tag = s.release_tag and x.p = t.cat and x.c = c.cat group by 1, 2, 3, t.had),
+cuts as (select o.release_tag, min(o.o + coalesce(i.i, 0)) most from outside o
+  left join (select release_tag, s, sum(i) i from inside group by 1, 2) i on i.release_tag = o.release_tag and i.s = o.s group by 1)
+select t.release_tag, cast(sum(t.had) - 2 * max(coalesce(most, 0)) as bigint) as conflict from t left join cuts on t.release_tag = cuts.release_tag group by 1
+"""
+)
+_P1_SIZES = """
+with w as (select release_tag, max(sample_size) size from sampling_target group by 1),
+h as (select release_tag, count(distinct candidate_id) n from candidate group by 1)
+select release_tag, cast(least(size, n) as bigint) drawn, cast(0 as bigint) repeated, cast(0 as bigint) as unknown
+from w join h using (release_tag) where least(size, n) > 0
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "p1_found": "select release_tag, dim, category from (" + _P1.format(columns="wanted, coalesce(available, 0) available") + ") where wanted > available",
@@ -80,4 +130,6 @@ def oracle_sql() -> dict[str, str]:
             columns="cast(wanted as bigint) wanted, cast(coalesce(available, 0) as bigint) available, "
             "cast(greatest(wanted - coalesce(available, 0), 0) as bigint) scarce"
         ),
+        "p1_conflict": _P1_CONFLICT,
+        "p1_sample_check": _P1_SIZES,
     }

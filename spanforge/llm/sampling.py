@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import heapq
+import random
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,6 +17,8 @@ SALTS = 16
 FLOOR, TARGET, FRACTION, BEYOND, UNTARGETED = -1000, -100, -50, 1, 20
 # Costs of one row that is wanted and not had: kept out by the other dimension; not there at all.
 CONFLICT, SCARCE = 1, 1000
+# Costs of a cell's next row after the whole part of its share: where chance gives it one, and where not.
+LIKELY, UNLIKELY = 1, 8
 # What a wanted row is worth: more than any slack costs, so that all demand is answered.
 WANTED = -100_000
 
@@ -136,23 +140,81 @@ def shortfalls(margins: list[dict], cells: dict[tuple, int]) -> list[dict]:
     return [m | {"scarce": flow.used(s), "conflict": flow.used(c)} for m, (s, c) in zip(margins, arcs)]
 
 
-def cell_quotas(margins: list[dict], cells: dict[tuple, int], sample_size: int) -> dict[tuple, int]:
-    """Rows to draw from each cell: floors before targets before fractions of a row before rows beyond the targets."""
-    flow, of = Flow(), {(m["first"], m["category"]): m for m in margins if m["category"] is not None}
-    for first, names in ((True, {a for a, _ in cells}), (False, {b for _, b in cells})):
-        for name in sorted(names, key=lambda x: (x is not None, x)):
-            ends = ("source", (first, name)) if first else ((first, name), "sink")
-            m = of.get((first, name))
-            whole = m["share_bp"] * sample_size // 10_000 if m else 0
-            part = bool(m and m["share_bp"] * sample_size % 10_000)
-            floor = m["min_rows"] if m else 0
-            flow.arc(*ends, floor, FLOOR)
-            flow.arc(*ends, whole - floor, TARGET)
-            flow.arc(*ends, int(part and whole >= floor), FRACTION)
-            flow.arc(*ends, sample_size, BEYOND if m else UNTARGETED)
-    arcs = {cell: flow.arc((True, cell[0]), (False, cell[1]), n) for cell, n in sorted(cells.items(), key=lambda x: str(x[0]))}
-    flow.send("source", "sink", sample_size)
-    return {cell: n for cell, a in arcs.items() if (n := flow.used(a))}
+def spread(stock: np.ndarray, rows: np.ndarray, columns: np.ndarray, rounds: int = 200) -> np.ndarray:
+    """Proportional fitting of the stock to margins, no cell beyond its stock.
+
+    Each cell's expected draw is stock x min(1, row factor x column factor), the
+    form that shares of a random sample with these margins have.  It need not
+    be exact: the integers come from a flow.
+    """
+    a, b = np.ones(len(rows)), np.ones(len(columns))
+    for _ in range(rounds):
+        for factor, goal, axis in ((a, rows, 1), (b, columns, 0)):
+            got = (stock * np.minimum(1, np.outer(a, b))).sum(axis=axis)
+            factor *= np.divide(goal, got, out=np.ones(len(goal)), where=got > 0)
+            np.clip(factor, 0, 1e12, out=factor)
+    return stock * np.minimum(1, np.outer(a, b))
+
+
+def _margin_arcs(flow: Flow, margins: dict, keys: list[tuple], sample_size: int, scale: int) -> list[int]:
+    """Arcs of each category's floor, target, fraction and rest; those of one category follow each other."""
+    arcs = []
+    for first, name in keys:
+        ends = ("source", (first, name)) if first else ((first, name), "sink")
+        m = margins.get((first, name))
+        whole = m["share_bp"] * sample_size // 10_000 if m else 0
+        part = bool(m and m["share_bp"] * sample_size % 10_000)
+        floor = m["min_rows"] if m else 0
+        arcs.append(flow.arc(*ends, floor, FLOOR * scale))
+        arcs.append(flow.arc(*ends, whole - floor, TARGET * scale))
+        arcs.append(flow.arc(*ends, int(part and whole >= floor), FRACTION * scale))
+        arcs.append(flow.arc(*ends, sample_size, (BEYOND if m else UNTARGETED) * scale))
+    return arcs
+
+
+def cell_quotas(margins: list[dict], cells: dict[tuple, int], sample_size: int, seed: int | str = 0) -> dict[tuple, int]:
+    """Rows to draw from each cell, at random: floors before targets before fractions of a row before rows beyond the targets.
+
+    A first flow gives the margins that can be had; which of equally good ones
+    is left to chance.  Its cells would be those of one corner of all optimal
+    flows, so the cells are spread in proportion to what there is, and a second
+    flow with the same costs rounds them: a cell's whole part is dear to leave
+    out, rows beyond the next are dear to add, and the next row is cheap with
+    the probability of the share's fraction.  Costs of margins come before all
+    of these.
+    """
+    rng, of = random.Random(f"{seed}"), {(m["first"], m["category"]): m for m in margins if m["category"] is not None}
+    cells = {cell: n for cell, n in sorted(cells.items(), key=lambda x: str(x[0])) if n > 0}
+    keys = [(True, a) for a in dict.fromkeys(a for a, _ in cells)] + [(False, b) for b in dict.fromkeys(b for _, b in cells)]
+    rng.shuffle(keys)
+    order = list(cells)
+    rng.shuffle(order)
+
+    flow = Flow()
+    arcs = _margin_arcs(flow, of, keys, sample_size, 1)
+    for a, b in order:
+        flow.arc((True, a), (False, b), cells[a, b])
+    sent = flow.send("source", "sink", sample_size)
+    total = {k: sum(flow.used(x) for x in arcs[4 * i : 4 * i + 4]) for i, k in enumerate(keys)}
+
+    names = [[name for first, name in keys if first == side] for side in (True, False)]
+    stock = np.array([[cells.get((a, b), 0) for b in names[1]] for a in names[0]], dtype=float).reshape(len(names[0]), len(names[1]))
+    goals = [np.array([total[side, name] for name in own], dtype=float) for side, own in zip((True, False), names)]
+    share = spread(stock, *goals)
+    at = [{name: i for i, name in enumerate(own)} for own in names]
+
+    flow = Flow()
+    dear = UNLIKELY * (len(keys) + 1)  # more than the next rows of all cells that one change can go through
+    _margin_arcs(flow, of, keys, sample_size, 2 * dear * (len(keys) + 1))
+    parts = {}
+    for a, b in order:
+        n, x = cells[a, b], float(share[at[0][a], at[1][b]])
+        whole = min(n, int(x + 1e-6))
+        likely = rng.random() < x - whole
+        ends = ((True, a), (False, b))
+        parts[a, b] = (flow.arc(*ends, whole, -dear), flow.arc(*ends, min(1, n - whole), LIKELY if likely else UNLIKELY), flow.arc(*ends, n - whole - 1, dear))
+    flow.send("source", "sink", sent)
+    return {cell: n for cell, own in parts.items() if (n := sum(map(flow.used, own)))}
 
 
 def bare_category(c: Column) -> Column:
@@ -232,9 +294,10 @@ def matched_sample(
 ) -> DataFrame:
     """release_tag, candidate_id and the two categories (upper case) of a sample for each release in targets.
 
-    Integer quotas of the cells of both dimensions come from a min-cost flow of
-    sample_size units; within a cell candidates are drawn in the order of a
-    seeded hash of their id.  A release with fewer candidates than its sample
+    Integer quotas of the cells of both dimensions are drawn at random among the
+    least costly flows of sample_size units, in proportion to what each cell
+    has; within a cell candidates are drawn in the order of a seeded hash of
+    their id.  One seed gives one sample, whatever fails and is run again.  A release with fewer candidates than its sample
     size gives all it may.  Each cell is first cut to its quota in 16 parts, so
     that one task never ranks a whole hot cell.
     """
@@ -243,8 +306,8 @@ def matched_sample(
     def make(rows: list[dict], stock: dict) -> pa.Table:
         for m in rows:
             m["category"] = m["__cat"]
-        quotas = cell_quotas(rows, stock, max((m["sample_size"] or 0 for m in rows), default=0)) if rows else {}
         tag = rows[0]["release_tag"] if rows else None
+        quotas = cell_quotas(rows, stock, max((m["sample_size"] or 0 for m in rows), default=0), f"{seed} {tag}") if rows else {}
         return pa.table(
             {
                 "release_tag": pa.array([tag] * len(quotas), pa.string()),

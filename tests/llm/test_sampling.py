@@ -49,6 +49,41 @@ def test_quotas_keep_floors_before_shares_and_fill_the_sample():
     assert sum(quotas.values()) == 10 and quotas[("p", "c")] == 2 and (None, "c") not in quotas
 
 
+def four_by_four(**stock):
+    margins = [margin(first, n, 2500) for first, names in ((True, "ABCD"), (False, "WXYZ")) for n in names]
+    return margins, {(a, b): stock.get(a + b, 100) for a in "ABCD" for b in "WXYZ"}
+
+
+def test_quotas_are_spread_over_all_cells():
+    """Each population comes from every centre, in proportion to what there is."""
+    margins, cells = four_by_four()
+    assert cell_quotas(margins, cells, 80) == {c: 5 for c in cells}
+    seen = Counter()
+    for seed in range(300):
+        quotas = cell_quotas(margins, cells, 40, seed)
+        assert all(sum(v for k, v in quotas.items() if k[i] == n) == 10 for i, names in enumerate(("ABCD", "WXYZ")) for n in names)
+        assert set(quotas) == set(cells) and set(quotas.values()) <= {2, 3}
+        seen.update(quotas)
+    assert all(2.3 < seen[c] / 300 < 2.7 for c in cells)
+    few = Counter()
+    for seed in range(300):  # fewer rows than cells: each cell has its turn
+        few.update(cell_quotas(margins, cells, 8, seed))
+    assert all(0.3 < few[c] / 300 < 0.7 for c in cells)
+
+
+def test_quotas_follow_what_there_is():
+    margins, cells = four_by_four(AW=300, BX=1, CY=0)
+    seen = Counter()
+    for seed in range(200):
+        quotas = cell_quotas(margins, cells, 80, seed)
+        assert sum(quotas.values()) == 80 and all(n <= cells[c] for c, n in quotas.items())
+        assert all(sum(v for k, v in quotas.items() if k[i] == n) == 20 for i, names in enumerate(("ABCD", "WXYZ")) for n in names)
+        seen.update(quotas)
+    assert seen["A", "W"] > 1.5 * seen["A", "X"] and seen["B", "X"] <= 200 and not seen["C", "Y"]
+    assert len({tuple(sorted(cell_quotas(margins, cells, 79, seed).items())) for seed in range(20)}) > 10
+    assert cell_quotas(margins, cells, 79, 3) == cell_quotas(margins, cells, 79, 3)
+
+
 @pytest.mark.parametrize("seed", range(15))
 def test_quotas_cost_no_more_than_the_best_of_all(seed):
     draw = random.Random(seed)
