@@ -94,7 +94,6 @@ def decode_ids(ids: Column, tokenizer: str = "byte_bpe_50k", folder: str = DEFAU
     @F.pandas_udf(T.StringType())
     def decode(lists):
         bpe = vocabulary(tokenizer, folder)
-        back = {i: b for b, i in bpe.ranks.items()}
-        return lists.map(lambda x: None if x is None else b"".join(back[int(i)] for i in x).decode("utf-8", "replace"))
+        return lists.map(lambda x: None if x is None else b"".join(bpe.pieces[int(i)] for i in x).decode("utf-8", "replace"))
 
     return decode(ids)

@@ -1,12 +1,14 @@
 """Vectorised pre-tokenisation of UTF-8 buffers.
 
-The splitting patterns of the public byte-level tokenizers are definite
-automata: after at most three codepoints their state no longer depends on what
-came before.  A scan that composes transition functions therefore becomes
-constant after two doubling steps, and is written here as comparisons of a
-codepoint-class array with itself shifted by one to three places.  No regular
-expression and no loop over characters is involved; documents of a block are
-processed together and never see each other's characters.
+Where a text is split is what a small automaton says that reads a class for
+each codepoint.  What a stretch of codepoints does to the state is a transition
+function; composing those is associative, so the states of all codepoints of a
+block come from a scan by doubling.  The functions that can arise are few and
+are composed once for all, so a step of the scan is a look-up in a table.  A
+codepoint whose composed function has become constant knows its state and
+leaves the scan.  No regular expression and no loop over characters is
+involved; documents of a block are processed together and never see each
+other's characters.
 """
 
 from __future__ import annotations
@@ -19,9 +21,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 # Codepoint classes.
-OTHER, LETTER, NUMBER, WHITE, BLANK, APOSTROPHE, NONE = range(7)
-# Class of a run that a codepoint belongs to: apostrophes are OTHER, blanks are WHITE.
-_RUN = np.array([OTHER, LETTER, NUMBER, WHITE, WHITE, OTHER, NONE], dtype=np.uint8)
+OTHER, LETTER, NUMBER, WHITE, BLANK, APOSTROPHE = range(6)
 
 # The Unicode White_Space property.
 WHITE_SPACE = (
@@ -71,55 +71,110 @@ class Block:
         return np.minimum(np.where(b0 < 0xE0, two, np.where(b0 < 0xF0, three, four)), 0x10FFFF)
 
 
-def _contractions(block: Block, start: np.ndarray) -> None:
-    """Moves token starts around 's 't 'm 'd 're 've 'll that begin a token."""
-    n = len(block.pos)
-    at = np.flatnonzero(start & (block.cls == APOSTROPHE))
-    at = at[(at + 1 < n)]
-    at = at[~block.first[at + 1]]
-    one = block.lead[at + 1]
-    short = at[np.isin(one, np.frombuffer(b"stmd", dtype=np.uint8))]
-    start[short + 1] = False
-    start[(k := short + 2)[k < n]] = True
-    rest = at[(at + 2 < n)]
-    rest = rest[~block.first[rest + 2]]
-    one, two = block.lead[rest + 1], block.lead[rest + 2]
-    long = rest[((one == ord("r")) | (one == ord("v"))) & (two == ord("e")) | (one == ord("l")) & (two == ord("l"))]
-    start[long + 1] = False
-    start[(k := long + 3)[k < n]] = True
+class Automaton:
+    """A finite automaton and the functions that stretches of its symbols make of its state.
+
+    rules: for each state and symbol, the next state and whether a slice begins
+    at the symbol.  A text's first symbol is read in the state `fresh`, whatever
+    came before it.
+    """
+
+    def __init__(self, rules: dict[str, dict[int, tuple[str, bool]]], fresh: str, symbols: int):
+        number = {state: i for i, state in enumerate(rules)}
+        step = np.array([[number[rules[q][a][0]] for a in range(symbols)] for q in rules], dtype=np.uint16)
+        self.symbols, self.begins = symbols, np.array([[rules[q][a][1] for a in range(symbols)] for q in rules])
+        letters = [tuple(step[:, a]) for a in range(symbols)] + [(step[number[fresh], a],) * len(rules) for a in range(symbols)]
+        known = {f: i for i, f in enumerate(dict.fromkeys(letters))}
+        functions = list(known)
+        for f in functions:  # grows while functions that are new follow from those before
+            for g in letters:
+                h = tuple(g[q] for q in f)
+                if h not in known:
+                    known[h] = len(functions)
+                    functions.append(h)
+        table = np.array(functions, dtype=np.uint16)
+        self.letter = np.array([known[f] for f in letters], dtype=np.uint16)
+        self.then = np.array([[known[tuple(g[q] for q in f)] for g in functions] for f in functions], dtype=np.uint16)
+        self.constant, self.value = (table == table[:, :1]).all(axis=1), table[:, 0]
+
+    def slices(self, symbol: np.ndarray, first: np.ndarray) -> np.ndarray:
+        """Whether a slice begins at each symbol; first: whether a text does."""
+        function = self.letter[symbol + self.symbols * first]
+        reach, open_ = 1, np.flatnonzero(~self.constant[function])
+        while len(open_):  # each function covers `reach` symbols up to its own
+            function[open_] = self.then[function[open_ - reach], function[open_]]
+            open_, reach = open_[~self.constant[function[open_]]], 2 * reach
+        before = np.concatenate([[0], self.value[function[:-1]]])
+        return first | self.begins[before, symbol]
+
+
+# Symbols of the splitting patterns; white space is told apart by what follows it, apostrophes by the contraction they begin.
+_WHITE_INSIDE, _LAST_BLANK, _LAST_WHITE, _SHORT, _LONG, _SYMBOLS = 3, 4, 5, 6, 7, 8
+_ALL_WHITE, _ALL_OTHER = (_WHITE_INSIDE, _LAST_BLANK, _LAST_WHITE), (OTHER, _SHORT, _LONG)
+
+
+def _pattern_symbols(block: Block) -> np.ndarray:
+    n, symbol = len(block.pos), block.cls.copy()
+    white = np.flatnonzero((block.cls == WHITE) | (block.cls == BLANK))
+    after = np.minimum(white + 1, n - 1)
+    inside = block.first[white + 1] | (block.cls[after] == WHITE) | (block.cls[after] == BLANK)
+    symbol[white] = np.where(inside, _WHITE_INSIDE, np.where(block.cls[white] == BLANK, _LAST_BLANK, _LAST_WHITE))
+    mark = np.flatnonzero(block.cls == APOSTROPHE)
+    symbol[mark] = OTHER
+    mark = mark[~block.first[mark + 1]]
+    symbol[mark[np.isin(block.lead[mark + 1], np.frombuffer(b"stmd", dtype=np.uint8))]] = _SHORT
+    mark = mark[mark + 2 < n]
+    mark = mark[~block.first[mark + 2]]
+    one, two = block.lead[mark + 1], block.lead[mark + 2]
+    symbol[mark[((one == ord("r")) | (one == ord("v"))) & (two == ord("e")) | (one == ord("l")) & (two == ord("l"))]] = _LONG
+    return symbol
+
+
+def _rules(fresh: dict[int, str], goes_on: dict[str, dict[int, str]]) -> dict[str, dict[int, tuple[str, bool]]]:
+    """fresh: state after a slice's first symbol; goes_on: symbols that do not begin a slice, by state. All others do."""
+    return {q: {a: (own[a], False) if a in own else (to, True) for a, to in fresh.items()} for q, own in goes_on.items()}
+
+
+@lru_cache(maxsize=1)
+def _automata() -> dict[str, Automaton]:
+    every = range(_SYMBOLS)
+    word = {LETTER: "letters", **dict.fromkeys(_ALL_OTHER, "others")}
+    contraction = {"one to come": dict.fromkeys(every, "done"), "two to come": dict.fromkeys(every, "one to come"), "done": {}}
+    begun = {OTHER: "others", LETTER: "letters", _SHORT: "one to come", _LONG: "two to come"}
+    byte_level = _rules(
+        begun | {NUMBER: "numbers", _WHITE_INSIDE: "white", _LAST_BLANK: "blank", _LAST_WHITE: "done"},
+        {
+            "letters": {LETTER: "letters"}, "numbers": {NUMBER: "numbers"}, "others": dict.fromkeys(_ALL_OTHER, "others"), "white": {_WHITE_INSIDE: "white"},
+            "blank": word | {NUMBER: "numbers"}, **contraction,
+        },
+    )
+    lower_word = _rules(
+        begun | {NUMBER: "done"} | dict.fromkeys(_ALL_WHITE, "white"),
+        {"letters": {LETTER: "letters"}, "others": dict.fromkeys(_ALL_OTHER, "others"), "white": dict.fromkeys(_ALL_WHITE, "white"), **contraction},
+    )
+    to = {0: "other", 1: "mark", 2: "line"}
+    blank_unit = _rules(to, {"other": {0: "other"}, "mark": {0: "other", 1: "mark"}, "line": {}})
+    return {
+        "byte_level": Automaton(byte_level, "done", _SYMBOLS), "lower_word": Automaton(lower_word, "done", _SYMBOLS),
+        "blank_unit": Automaton(blank_unit, "line", 3),
+    }
 
 
 def _byte_level(block: Block) -> np.ndarray:
-    run = _RUN[block.cls]
-    first = block.first[:-1]
-    before = np.concatenate([[NONE], block.cls[:-1]]).astype(np.uint8)
-    before[first] = NONE
-    after = np.concatenate([run[1:], [NONE]]).astype(np.uint8)
-    after[block.first[1:]] = NONE
-    start = first | (run != _RUN[before])
-    # The last character of a white run before a visible one is a token of its own, or begins the next if it is a blank.
-    start |= (run == WHITE) & (after != WHITE) & (after != NONE)
-    start &= ~((run != WHITE) & (before == BLANK))
-    _contractions(block, start)
-    return start
+    return _automata()["byte_level"].slices(_pattern_symbols(block), block.first[:-1])
 
 
 def _lower_word(block: Block) -> np.ndarray:
-    run = _RUN[block.cls]
-    before = np.concatenate([[NONE], run[:-1]]).astype(np.uint8)
-    start = block.first[:-1] | (run != before) | (run == NUMBER)
-    _contractions(block, start)
-    return start
+    return _automata()["lower_word"].slices(_pattern_symbols(block), block.first[:-1])
 
 
 def _blank_unit(block: Block) -> np.ndarray:
     """Units between which no piece with an inner word mark and no line break can merge."""
-    mark = block.cls == BLANK
+    symbol = (block.cls == BLANK).astype(np.uint8)
     wide = np.flatnonzero(block.lead == 0xE2)
-    mark[wide] |= block.codepoints(wide) == 0x2581
-    line = block.lead == 0x0A
-    mark_before, line_before = (np.concatenate([[False], x[:-1]]) for x in (mark, line))
-    return block.first[:-1] | (mark & ~mark_before) | line | line_before
+    symbol[wide[block.codepoints(wide) == 0x2581]] = 1
+    symbol[block.lead == 0x0A] = 2
+    return _automata()["blank_unit"].slices(symbol, block.first[:-1])
 
 
 SPLITTERS = {"byte_level": _byte_level, "lower_word": _lower_word, "blank_unit": _blank_unit}

@@ -6,7 +6,7 @@ import base64
 import heapq
 import os
 import unicodedata
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +29,11 @@ class BytePairs:
         self.widths[list(self.ranks.values())] = list(map(len, self.ranks))
         self.cache: dict[bytes, tuple[int, ...]] = {}
 
+    @cached_property
+    def pieces(self) -> dict[int, bytes]:
+        """Bytes of each id."""
+        return {i: b for b, i in self.ranks.items()}
+
     def merge(self, piece: bytes) -> tuple[int, ...]:
         """Ids of one slice: the neighbours of lowest rank merge first, the leftmost of equals before others."""
         ranks = self.ranks

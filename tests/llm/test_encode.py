@@ -1,11 +1,13 @@
 import base64
 import random
+import unicodedata
 
+import numpy as np
 import pyarrow as pa
 import pytest
 
 from spanforge.llm.encode import decode_ids, encode_block, encode_corpus
-from spanforge.llm.pretokenize import Slices
+from spanforge.llm.pretokenize import SPLITTERS, Automaton, Block, Slices, _automata, utf8
 from spanforge.llm.vocabulary import DEFAULT_FOLDER, vocabulary
 
 tiktoken = pytest.importorskip("tiktoken")
@@ -31,6 +33,52 @@ def test_random_texts(reference):
     assert ids.to_pylist() == [reference.encode_ordinary(t) for t in sample]
 
 
+def test_scan_of_an_automaton_that_never_forgets():
+    """Quotes open and close, so a state depends on all symbols before it, and the scan goes on doubling."""
+    rules = {
+        "outside": {0: ("outside", True), 1: ("inside", True), 2: ("outside", True)},
+        "inside": {0: ("inside", False), 1: ("outside", False), 2: ("escaped", False)},
+        "escaped": dict.fromkeys(range(3), ("inside", False)),
+    }
+    machine, draw = Automaton(rules, "outside", 3), np.random.default_rng(5)
+    for n in (1, 2, 7, 1000, 4097):
+        symbol, first = draw.integers(0, 3, n), draw.random(n) < 0.002
+        first[0] = True
+        state, expected = "outside", []
+        for a, new in zip(symbol, first):
+            state = "outside" if new else state
+            state, begins = rules[state][a]
+            expected.append(begins or new)
+        assert machine.slices(symbol, first).tolist() == expected
+    assert all(len(a.then) < 400 for a in _automata().values())
+
+
+def shifted_boundaries(text):
+    """Starts of the byte-level pattern by comparison of each character with its neighbours."""
+    kind = ["w" if c.isspace() and c not in "\x1c\x1d\x1e\x1f" else {"L": "l", "N": "n"}.get(unicodedata.category(c)[0], "o") for c in text]
+    starts, i = set(), 0
+    while i < len(text):
+        starts.add(i)
+        short = next((k for k in ("'s", "'t", "'re", "'ve", "'m", "'ll", "'d") if text.startswith(k, i)), None)
+        at = i + (text[i] == " " and i + 1 < len(text) and kind[i + 1] != "w")
+        end = at
+        while end < len(text) and kind[end] == kind[at]:
+            end += 1
+        white = kind[i] == "w" and at == i
+        i = i + len(short) if short else end - 1 if white and end < len(text) and end - i > 1 else end
+    return starts
+
+
+def test_scan_against_a_reader_of_single_characters():
+    sample = texts(3_000, 6)
+    data, offsets = utf8(pa.array(sample))
+    block = Block(data, offsets)
+    begins = set(block.pos[SPLITTERS["byte_level"](block)].tolist())
+    for text, at in zip(sample, offsets):
+        sizes = np.cumsum([0, *(len(c.encode()) for c in text)]) + at
+        assert {k for k, p in enumerate(sizes[:-1]) if int(p) in begins} == shifted_boundaries(text), text
+
+
 def test_every_codepoint(reference):
     sample = [f"a{chr(c)}a1{chr(c)}1" for c in range(0x110000) if not 0xD800 <= c < 0xE000 and (c < 0x3000 or c % 7 == 0)]
     ids, _ = encode_block(pa.array(sample), vocabulary("byte_bpe_50k"))
