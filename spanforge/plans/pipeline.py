@@ -4,25 +4,26 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
 
-from spanforge.checkpoints import cut
+from spanforge.checkpoints import cut, small_side
 from spanforge.operators import fragments as fr
 from spanforge.operators import intervals as iv
 from spanforge.operators.gc import corrected_depth
-from spanforge.operators.pairing import any_unflagged, mate_pairs, single_intervals
+from spanforge.operators.pairing import mate_pairs, single_intervals
 
 
-def fragment_intervals(alignments: DataFrame, paired: bool = True, check: bool = False) -> DataFrame:
-    """BED6 of what each read or pair covers. check: fail at once where no pair is proper.
+def fragment_intervals(alignments: DataFrame, paired: bool = True, check: bool = False, draw: bool = True, by: list[str] = ()) -> DataFrame:
+    """by and BED6 of what each read or pair covers. check: fail at once where no pair is proper.
 
-    Pairs are written to the checkpoint folder, as they are read twice: for the
-    distribution of their distances, and for the fragments.
+    by: the columns of a sample.  Each sample has its own pairs and its own
+    distribution of their distances; one without a proper pair has no rows.
     """
     if not paired:
-        return single_intervals(alignments)
-    pairs = cut(mate_pairs(alignments, after_leftover=any_unflagged(alignments)))
-    stats = fr.fragment_stats(pairs)
-    return fr.fragments(pairs, fr.require_pairs(stats) if check else stats)
+        return single_intervals(alignments, by)
+    pairs = mate_pairs(alignments, by=by)
+    stats = fr.fragment_stats(pairs, by=by)
+    return fr.fragments(pairs, fr.require_pairs(stats) if check else stats, draw, by)
 
 
 def domain_depth(domains: DataFrame, covering: DataFrame, width: int = iv.BIN) -> DataFrame:
@@ -36,24 +37,64 @@ def domain_depth(domains: DataFrame, covering: DataFrame, width: int = iv.BIN) -
     return merged.select(F.col("key").alias("name"), iv.depth(F.col("value"), F.col("start"), F.col("end")).alias("depth"))
 
 
-def coverage(alignments: DataFrame, domains: DataFrame, paired: bool = True, width: int = iv.BIN) -> DataFrame:
+def coverage(alignments: DataFrame, domains: DataFrame, paired: bool = True, width: int = iv.BIN, draw: bool = True) -> DataFrame:
     """name, depth of one sample's alignments over the domains."""
-    return domain_depth(domains, fragment_intervals(alignments, paired), width)
+    return domain_depth(domains, fragment_intervals(alignments, paired, draw=draw), width)
 
 
-def cohort_coverage(covering: DataFrame, domains: DataFrame, sample: str = "sample", width: int = iv.BIN) -> DataFrame:
-    """sample, name, depth of every domain that a sample covers, for all samples in one job.
+def cohort_coverage(covering: DataFrame, domains: DataFrame, sample: str = "sample", width: int = iv.BIN, samples: DataFrame | None = None) -> DataFrame:
+    """sample, name, depth of every domain in every sample, for all samples in one job; 0 where a sample does not cover it.
 
     covering: sample, chrom, start, end of fragments.  The sample travels with
-    the fragments, so domains are neither repeated nor looped over for each;
-    domains that a sample does not cover have no row.
+    the fragments, so domains are not repeated for the join.  samples: those to
+    report (by default, all that cover anything anywhere), as zeros of a sample
+    count in its unit like any other depth.  Fragments of no sample are left
+    out.
     """
-    counted = covering.groupBy(sample, "chrom", "start", "end").agg(F.count("*").alias("__n"))
+    counted = covering.where(F.col(sample).isNotNull()).groupBy(sample, "chrom", "start", "end").agg(F.count("*").alias("__n"))
+    if samples is None:
+        counted = cut(counted)
+        samples = counted
     met = iv.overlap_inner(domains.select("name", "chrom", "start", "end"), counted, width=width)
-    sums = met.groupBy(F.col(f"b_{sample}").alias(sample), F.col("a_name").alias("name"), F.col("a_start").alias("start"), F.col("a_end").alias("end")).agg(
-        F.sum(F.col("overlap") * F.col("b___n")).alias("value")
-    )
-    return sums.select(sample, "name", iv.depth(F.col("value"), F.col("start"), F.col("end")).alias("depth"))
+    place = ["name", "start", "end"]
+    sums = met.select(F.col(f"b_{sample}").alias(sample), *[F.col(f"a_{c}").alias(c) for c in place], (F.col("overlap") * F.col("b___n")).alias("value"))
+    every = _in_every_sample(domains.select(*place), samples, sample).withColumn("value", F.lit(0).cast("long"))
+    total = sums.unionByName(every).groupBy(sample, *place).agg(F.sum("value").alias("value"))
+    return total.select(sample, "name", iv.depth(F.col("value"), F.col("start"), F.col("end")).alias("depth"))
+
+
+def _in_every_sample(df: DataFrame, samples: DataFrame, sample: str) -> DataFrame:
+    """Each row of df once for each sample. Samples are numbered, a list of names sorted in one task, and joined by number."""
+    names = samples.select(sample).where(F.col(sample).isNotNull()).distinct()
+    numbered = cut(names.withColumn("__no", F.row_number().over(W.orderBy(sample))))
+    count = numbered.agg(F.count("*").cast("int").alias("__count"))
+    repeated = df.crossJoin(F.broadcast(count)).where("__count > 0").withColumn("__no", F.explode(F.expr("sequence(1, __count)")))
+    return repeated.join(small_side(numbered), "__no").drop("__no", "__count")
+
+
+def cohort_depth(alignments: DataFrame, domains: DataFrame, sample: str = "sample", paired: bool = True, width: int = iv.BIN, draw: bool = True) -> DataFrame:
+    """sample, name, depth: the whole chain from the alignments of all samples in one job.
+
+    A sample without a proper pair has no rows, and no other sample suffers
+    from it: see cohort_status.
+    """
+    covering = fragment_intervals(alignments, paired, draw=draw, by=[sample])
+    return cohort_coverage(covering, domains, sample, width)
+
+
+def cohort_status(samples: DataFrame, depths: DataFrame, copies: DataFrame, sample: str = "sample") -> DataFrame:
+    """sample, status, domains: how each sample fared, one row for each of samples.
+
+    status: `coverage` if it has no depth at all (no proper pair, or nothing
+    aligned), `names` if none of its domains is in the composition table,
+    `bins` or `unit` if it could not be corrected (see copy_numbers), else
+    `done`.  domains: how many of its domains have a corrected depth.
+    """
+    have = depths.select(sample).distinct().withColumn("__depth", F.lit(True))
+    ends = copies.groupBy(sample).agg(F.max("reason").alias("__reason"), F.count(F.when(F.col("reason").isNull(), 1)).alias("domains"), F.lit(True).alias("__copies"))
+    joined = samples.select(sample).distinct().join(have, sample, "left").join(ends, sample, "left")
+    status = F.when(F.col("__depth").isNull(), "coverage").when(F.col("__copies").isNull(), "names").otherwise(F.coalesce("__reason", F.lit("done")))
+    return joined.select(sample, status.alias("status"), F.coalesce("domains", F.lit(0)).alias("domains"))
 
 
 def copy_numbers(depths: DataFrame, gc: DataFrame, sample: str = "sample") -> DataFrame:

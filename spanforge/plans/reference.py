@@ -22,7 +22,7 @@ from spanforge.operators.stretches import bare_chrom, stretch_sums
 from spanforge.plans import pipeline
 from spanforge.plans.problems import _P4, _newest_sql
 from spanforge.plans.views import (
-    ALIGNMENTS, DOMAINS, PAIRS, RANK, READS, STATS, TRIM_ROWS, alignments, domains, proper_sql, reads, trim_rows,
+    ALIGNMENTS, DOMAINS, PAIRS, RANK, READS, STATS, TRIM_ROWS, alignments, domains, fragments_sql, proper_sql, reads, stats_sql, trim_rows,
 )
 from spanforge.sources.files import line_digest
 from spanforge.tables import table
@@ -103,9 +103,11 @@ def interval_total_order_topk(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"""with {DOMAINS}, i as (select sample_name, 'chr' || regexp_replace(trim(chrom, ' '), '^(?i:chr)', '') chrom, chrom_start s, chrom_end e
   from read_interval where chrom_start < chrom_end),
-  x as (select sample_name, d.name, d.s, d.e, sum(least(d.e, i.e) - greatest(d.s, i.s)) o from domains d join i on d.chrom = i.chrom and d.s < i.e and i.s < d.e group by all)
-  select sample_name, name, o / cast(e - s + 1 as double) as depth from x""")
+  x as (select sample_name, d.name, d.s, d.e, sum(least(d.e, i.e) - greatest(d.s, i.s)) o from domains d join i on d.chrom = i.chrom and d.s < i.e and i.s < d.e group by all),
+  n as (select distinct sample_name from read_interval where sample_name is not null)
+  select n.sample_name, d.name, coalesce(o, 0) / cast(d.e - d.s + 1 as double) as depth from n cross join domains d left join x on x.sample_name = n.sample_name and x.name = d.name""")
 def cohort_depth(spark: SparkSession, d: str) -> DataFrame:
+    """Depth of every domain in every sample of a cohort, 0 where a sample does not cover it."""
     rows = table(spark, d, "read_interval").select(
         "sample_name", bare_chrom(F.col("chrom")).alias("chrom"), F.col("chrom_start").alias("start"), F.col("chrom_end").alias("end")
     )
@@ -156,18 +158,15 @@ def fragment_stats(spark: SparkSession, d: str) -> DataFrame:
     return fr.fragment_stats(pr.mate_pairs(alignments(spark, d)))
 
 
-@query(f"""with {STATS}, x as (select *, (select mean + 5 * sd from stats) ceiling from pairs), y as (select *, {proper_sql('ceiling')} ok from x)
-  select chrom1 as chrom, least(start1, start2) as first, greatest(end1, end2) as last, name, score, strand1 as strand from y where ok
-  union all select chrom1, greatest(start1, 0), end1, name, score, strand1 from y where not ok and chrom1 <> '.'
-  union all select chrom2, greatest(start2, 0), end2, name, score, strand2 from y where not ok and chrom2 <> '.'""")
+@query(f"with {fragments_sql()} select chrom, s as first, e as last, name, score, strand from fragments")
 def fragment_emit_noext(spark: SparkSession, d: str) -> DataFrame:
-    pairs = cut(pr.mate_pairs(alignments(spark, d)))
+    pairs = pr.mate_pairs(alignments(spark, d))
     return fr.fragments(pairs, fr.fragment_stats(pairs), draw=False).withColumnsRenamed({"start": "first", "end": "last"})
 
 
 @query()
 def fragment_extension(spark: SparkSession, d: str) -> DataFrame:
-    pairs = cut(pr.mate_pairs(alignments(spark, d)))
+    pairs = pr.mate_pairs(alignments(spark, d))
     return fr.fragments(pairs, fr.fragment_stats(pairs)).withColumnsRenamed({"start": "first", "end": "last"})
 
 
@@ -177,6 +176,27 @@ def paired_coverage(spark: SparkSession, d: str) -> DataFrame:
     return pipeline.coverage(alignments(spark, d), domains(spark, d))
 
 
+@query(f"""with {fragments_sql()}, {DOMAINS}, {_SUMS.replace('reads r', 'fragments r')}
+  select name, overlap_sum / cast(e - s + 1 as double) as depth from sums""")
+def paired_coverage_noext(spark: SparkSession, d: str) -> DataFrame:
+    """The whole chain with lone ends as they are, which SQL can follow."""
+    return pipeline.coverage(alignments(spark, d), domains(spark, d), draw=False)
+
+
+@query(f"with {stats_sql('smp, ')} select smp as sample, mean, sd, mean + 5 * sd as max_inner_distance, n from stats")
+def cohort_fragment_stats(spark: SparkSession, d: str) -> DataFrame:
+    """The distribution of each sample's distances; samples share names, and one holds most rows."""
+    return fr.fragment_stats(pr.mate_pairs(alignments(spark, d), by=["sample"]), by=["sample"])
+
+
+@query(f"""with {fragments_sql('smp, ')}, {DOMAINS}, had as (select distinct smp from fragments),
+  o as (select smp, name, sum(least(d.e, f.e) - greatest(d.s, f.s)) o from (select smp, chrom, s, e from fragments) f join domains d on d.chrom = f.chrom and d.s < f.e and f.s < d.e group by 1, 2)
+  select had.smp as sample, d.name, coalesce(o, 0) / cast(d.e - d.s + 1 as double) as depth from had cross join domains d left join o on o.smp = had.smp and o.name = d.name""")
+def cohort_paired_depth(spark: SparkSession, d: str) -> DataFrame:
+    """The whole chain for all samples in one job, lone ends as they are; domains that a sample does not cover have depth 0."""
+    return pipeline.cohort_depth(alignments(spark, d), domains(spark, d), draw=False)
+
+
 @query(f"""with {ALIGNMENTS}, {DOMAINS}, r as (select chrom, s, e from alignments where flags & 4 = 0), {_SUMS.replace('reads r', 'r')}
   select name, overlap_sum / cast(e - s + 1 as double) as depth from sums""")
 def single_end_coverage(spark: SparkSession, d: str) -> DataFrame:
@@ -196,16 +216,17 @@ def gc_breakdown(spark: SparkSession, d: str) -> DataFrame:
     return gco.sequence_counts(table(spark, d, "documents").select(F.expr("concat('d', doc_id) name"), F.col("text").alias("seq")))
 
 
-_REGIONS = "select doc_id, k, n_chars // 5 * k as s, n_chars // 5 * k + 150 as e, text from documents, (select unnest([0, 1, 2, 3]) k) where text <> ''"
+# Each text is tiled from its first to its last character.
+_REGIONS = "select doc_id, k, k * 150 as s, k * 150 + 150 as e, text from documents, unnest(range((length(text) + 149) // 150)) u(k) where text <> ''"
 
 
-@query(f"""with r as ({_REGIONS}), x as (select 'd' || doc_id || '-' || k as name, substring(text, s + 1, e - s) p from r where s < length(text))
+@query(f"""with r as ({_REGIONS}), x as (select 'd' || doc_id || '-' || k as name, substring(text, s + 1, e - s) p from r)
   select name, cast(strlen(p) as bigint) length, cast(strlen(translate(p, 'ATN', '')) as bigint) gc from x""")
 def region_substring_gc(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents").where("text <> ''")
     chunks = gco.contig_chunks(docs.select(F.expr("concat('d', doc_id) contig"), F.col("text").alias("seq")), 4096)
-    regions = docs.select("doc_id", "n_chars", F.explode(F.sequence(F.lit(0), F.lit(3))).alias("k")).selectExpr(
-        "concat('d', doc_id, '-', k) name", "concat('d', doc_id) chrom", "n_chars div 5 * k start", "n_chars div 5 * k + 150 end"
+    regions = docs.select("doc_id", F.explode(F.expr("sequence(0L, (length(text) - 1L) div 150)")).alias("k")).selectExpr(
+        "concat('d', doc_id, '-', k) name", "concat('d', doc_id) chrom", "k * 150 start", "k * 150 + 150 end"
     )
     return gco.region_gc(regions, chunks, 4096).select("name", "length", "gc")
 
@@ -257,10 +278,31 @@ def gc_correct_copy_number(spark: SparkSession, d: str) -> DataFrame:
 
     Samples with too few bins for a curve keep their rows and name the reason.
     """
+    return pipeline.copy_numbers(_depths(spark, d), _composition(spark, d), "sample_name")
+
+
+def _composition(spark: SparkSession, d: str) -> DataFrame:
     model = table(spark, d, "gc_model").where("length > 0").select(bare_name(F.col("name")).alias("domain"), gco.gc_fraction(F.col("gc"), F.col("length")).alias("percent_gc"), "gc_id")
-    gc = gco.latest_by_name(model.where("percent_gc is not null and not isnan(percent_gc)"), "domain", "percent_gc", "gc_id")
-    depths = table(spark, d, "read_depth").where("depth >= 0").select("sample_name", bare_name(F.col("name")).alias("name"), "depth")
-    return pipeline.copy_numbers(depths, gc, "sample_name")
+    return gco.latest_by_name(model.where("percent_gc is not null and not isnan(percent_gc)"), "domain", "percent_gc", "gc_id")
+
+
+def _depths(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "read_depth").where("depth >= 0").select("sample_name", bare_name(F.col("name")).alias("name"), "depth")
+
+
+@query(f"""with g as (select trim(split_part(name, '::', 1), ' ') dom, arg_max(gc / cast(length as double), gc_id) x from gc_model where length > 0 and gc is not null
+    and name is not null group by 1), p as (select *, {_R2} as percent_gc from g where x is not null),
+  d as (select r.sample_name, p.dom, r.depth, p.percent_gc from read_depth r join p on trim(split_part(r.name, '::', 1), ' ') = p.dom where r.depth >= 0),
+  b as (select sample_name, count(distinct percent_gc) filter (regexp_matches(dom, '^(baseline|uc)') and depth > 0.05 and percent_gc >= 0.2 and percent_gc < 0.73) bins,
+    count(*) filter (regexp_matches(dom, 'baseline|uc')) kept, count(*) n from d where sample_name is not null group by 1),
+  n as (select distinct sample_name from read_depth where sample_name is not null), h as (select distinct sample_name from read_depth where sample_name is not null and depth >= 0)
+  select n.sample_name, case when h.sample_name is null then 'coverage' when b.n is null then 'names' when bins < 8 then 'bins' when kept = 0 then 'unit' else 'done' end status,
+    case when bins >= 8 and kept > 0 then b.n else 0 end domains from n left join h using (sample_name) left join b using (sample_name)""")
+def cohort_copy_status(spark: SparkSession, d: str) -> DataFrame:
+    """How the correction of each sample ended; a sample that cannot be corrected leaves the others their rows."""
+    depths = _depths(spark, d)
+    copies = pipeline.copy_numbers(depths, _composition(spark, d), "sample_name")
+    return pipeline.cohort_status(table(spark, d, "read_depth").where("sample_name is not null"), depths, copies, "sample_name")
 
 
 @query("""select sample_name, median(corrected_coverage) / 2 as unit from corrected where regexp_matches(domain, 'baseline|uc')

@@ -28,7 +28,7 @@ def database():
 
 
 def test_flagship(spark):
-    assert entry.entry(spark).count() == 200
+    assert entry.entry(spark).count() == 210
 
 
 def test_sql_only_for_queries():
