@@ -14,11 +14,28 @@ from spanforge.functions.rounding import round_half_even, round_r
 DRAWS = [
     (b'0a0bd67135f3b56cb2c7916388d0cd55', (737129519, 984630848), [1.4820091563474456, 1.2163947185448944, 0.10565394446456274, 0.2205193426251329, 1.8279349977847277], 383.69041203563506),
     (b'f2918752ddcf77ff549ee3c98474ba42', (1054321022, 406591005), [-0.71013586542225449, 0.77888133225876333, 0.25773182404185208, 0.8609611333145063, -1.2619844131254943], 285.04388605599854),
+    (b'f9741c8e44c91419b28cbd152a962fc6', (869258418, 270295213), [0.28187278168659602, 1.0317406316169622, -0.3043899875321821, -1.7815157092148004, 0.84998664612476416], 329.6842751758968),
+    (b'', (1234567890, 123456789), [0.870327415931201, 0.87292378063267206, 1.9467934915405853, 0.9825295155543684, 0.35396454349318274], 356.16473371690404),
+    (b' ', (1234567890, 123456789), [0.870327415931201, 0.87292378063267206, 1.9467934915405853, 0.9825295155543684, 0.35396454349318274], 356.16473371690404),
+    (b'a', (1234567890, 123456789), [0.870327415931201, 0.87292378063267206, 1.9467934915405853, 0.9825295155543684, 0.35396454349318274], 356.16473371690404),
+    (b'ab', (987434749, 151926968), [0.026774335734308291, -0.19249881414258466, 0.2617577815119822, 0.081742477256114845, 0.74209448721730509], 318.20484510804386),
+    (b'abc', (429830603, 198467070), [0.89178249739732518, 0.12086393736377772, -0.53080952963718375, -1.2418262156081179, 0.56536245386422634], 357.13021238287962),
+    (b'trailing blanks   ', (907387332, 40683181), [1.3567650528716397, 1.4406792445212504, 0.15557848894467924, 1.1299463208770462, 0.64618507270699888], 378.0544273792238),
+    (b'!@#$%^&*()_+[];:\'"<>?,./', (40420553, 63849110), [0.77780569408843925, -0.035191639331623094, -0.80382130265949225, 0.33956618906992431, 1.494326504970092], 352.00125623397975),
     (b'ABCDEFGHIJKLMNOPQRSTUVWXYZ', (427041451, 1000455732), [-0.54904735050309605, -0.68648569959300787, 0.45147553116540967, 1.7564775047515921, 0.97479862167937781], 292.29286922736065),
     (b'0123456789', (643919454, 235553979), [-0.46043694081683312, 1.2144764006236497, -0.56143968206029982, -0.14454600999558015, 0.20383392672257106], 296.28033766324251),
     (b'~|\x01', (813895520, 219326147), [0.96337634051155452, -0.80503650897665524, 0.2789282838380025, 0.16246376969912713, -1.1787963889643516], 360.35193532301997),
     (b'\xc3\xa9', (714741811, 105552862), [-0.41070970386559141, -1.1419056651971278, 2.1705826804440842, -0.32190774668195926, 1.3170829164190563], 298.51806332604838),
+    (b'd41d8cd98f00b204e9800998ecf8427e', (423195556, 709693921), [-0.26381768229961244, 2.6795312363385069, 0.58105667947346873, -0.10625140801217671, -0.48920323896622264], 305.12820429651742),
+    (b'xxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxx', (132803962, 181788669), [-1.1240061458789459, 0.085169713958964222, 0.19956732750225548, -0.627417133397706, 0.3074312334355], 266.41972343544745),
 ]
+# The first five uniform deviates of the first four phrases.
+UNIFORMS = [
+    [0.44732698659542669, 0.40385444663820236, 0.057708518535468774, 0.10293163999411717, 0.48242626199788996],
+    [0.76610280020103716, 0.71257124495159652, 0.2982336745363951, 0.11737798292987449, 0.32125219111630526],
+    [0.12676715747230147, 0.36515446241857924, 0.63525420939391852, 0.97982663069165499, 0.31837175090871705],
+    [0.32371053077066098, 0.324391990701351, 0.49338764135630325, 0.28872984812689817, 0.35300657712181993],
+]
 # X, y and the values fitted by R's loess.
 CURVES = [
     ([0.10000000000000001, 0.20000000000000001, 0.29999999999999999, 0.40000000000000002, 0.5],
@@ -50,6 +67,12 @@ def test_draw_values():
         assert math.isclose(seeded.normal_of(phrase, 317, 45), scaled, rel_tol=1e-10)
 
 
+def test_uniform_values():
+    for (_, seeds, _, _), expected in zip(DRAWS, UNIFORMS):
+        uniform = seeded.Uniform(seeds)
+        np.testing.assert_allclose([uniform() for _ in expected], expected, rtol=1e-12)
+
+
 def test_normal_deviates_are_normal():
     uniform = seeded.Uniform((12345, 67890))
     draws = np.array([seeded.normal(uniform) for _ in range(40_000)])
