@@ -108,8 +108,9 @@ class Automaton:
         return first | self.begins[before, symbol]
 
 
-# Symbols of the splitting patterns; white space is told apart by what follows it, apostrophes by the contraction they begin.
-_WHITE_INSIDE, _LAST_BLANK, _LAST_WHITE, _SHORT, _LONG, _SYMBOLS = 3, 4, 5, 6, 7, 8
+# Symbols of the splitting patterns; white space is told apart by what follows it, apostrophes by the contraction they
+# may begin, and letters by whether they are part of one. All but the last three alone settle the state.
+_WHITE_INSIDE, _LAST_BLANK, _LAST_WHITE, _SHORT, _LONG, _TAIL, _SYMBOLS = 3, 4, 5, 6, 7, 8, 9
 _ALL_WHITE, _ALL_OTHER = (_WHITE_INSIDE, _LAST_BLANK, _LAST_WHITE), (OTHER, _SHORT, _LONG)
 
 
@@ -122,11 +123,13 @@ def _pattern_symbols(block: Block) -> np.ndarray:
     mark = np.flatnonzero(block.cls == APOSTROPHE)
     symbol[mark] = OTHER
     mark = mark[~block.first[mark + 1]]
-    symbol[mark[np.isin(block.lead[mark + 1], np.frombuffer(b"stmd", dtype=np.uint8))]] = _SHORT
+    short = mark[np.isin(block.lead[mark + 1], np.frombuffer(b"stmd", dtype=np.uint8))]
+    symbol[short], symbol[short + 1] = _SHORT, _TAIL
     mark = mark[mark + 2 < n]
     mark = mark[~block.first[mark + 2]]
     one, two = block.lead[mark + 1], block.lead[mark + 2]
-    symbol[mark[((one == ord("r")) | (one == ord("v"))) & (two == ord("e")) | (one == ord("l")) & (two == ord("l"))]] = _LONG
+    long = mark[((one == ord("r")) | (one == ord("v"))) & (two == ord("e")) | (one == ord("l")) & (two == ord("l"))]
+    symbol[long], symbol[long + 1], symbol[long + 2] = _LONG, _TAIL, _TAIL
     return symbol
 
 
@@ -137,20 +140,20 @@ def _rules(fresh: dict[int, str], goes_on: dict[str, dict[int, str]]) -> dict[st
 
 @lru_cache(maxsize=1)
 def _automata() -> dict[str, Automaton]:
-    every = range(_SYMBOLS)
-    word = {LETTER: "letters", **dict.fromkeys(_ALL_OTHER, "others")}
-    contraction = {"one to come": dict.fromkeys(every, "done"), "two to come": dict.fromkeys(every, "one to come"), "done": {}}
-    begun = {OTHER: "others", LETTER: "letters", _SHORT: "one to come", _LONG: "two to come"}
+    letters = {LETTER: "letters", _TAIL: "letters"}
+    word = letters | dict.fromkeys(_ALL_OTHER, "others")
+    contraction = {"one to come": {_TAIL: "done"}, "two to come": {_TAIL: "one to come"}, "done": {}}  # nothing else comes there
+    begun = letters | {OTHER: "others", _SHORT: "one to come", _LONG: "two to come"}
     byte_level = _rules(
         begun | {NUMBER: "numbers", _WHITE_INSIDE: "white", _LAST_BLANK: "blank", _LAST_WHITE: "done"},
         {
-            "letters": {LETTER: "letters"}, "numbers": {NUMBER: "numbers"}, "others": dict.fromkeys(_ALL_OTHER, "others"), "white": {_WHITE_INSIDE: "white"},
+            "letters": letters, "numbers": {NUMBER: "numbers"}, "others": dict.fromkeys(_ALL_OTHER, "others"), "white": {_WHITE_INSIDE: "white"},
             "blank": word | {NUMBER: "numbers"}, **contraction,
         },
     )
     lower_word = _rules(
         begun | {NUMBER: "done"} | dict.fromkeys(_ALL_WHITE, "white"),
-        {"letters": {LETTER: "letters"}, "others": dict.fromkeys(_ALL_OTHER, "others"), "white": dict.fromkeys(_ALL_WHITE, "white"), **contraction},
+        {"letters": letters, "others": dict.fromkeys(_ALL_OTHER, "others"), "white": dict.fromkeys(_ALL_WHITE, "white"), **contraction},
     )
     to = {0: "other", 1: "mark", 2: "line"}
     blank_unit = _rules(to, {"other": {0: "other"}, "mark": {0: "other", 1: "mark"}, "line": {}})
