@@ -52,10 +52,10 @@ def test_parsers(spark, rows):
 
 
 RECORDS = [("r1", 99, 0, 10, 60, [(50, 0)]), ("r1", 147, 1, 5, 30, [(10, 4), (40, 0)]), ("r2", 4, -1, -1, 0, []), ("r3", 0, 0, 7, 9, [(20, 0), (5, 2), (30, 0)]), ("r4", 0, 0, 7, 9, [(25, 0), (100, 3), (25, 0)])]
-EXPECTED = [(0, "r1", 99, "chr1", 10, 60, 60), (1, "r1", 147, "chr10", 5, 45, 30), (2, "r2", 4, None, -1, -1, 0), (3, "r3", 0, "chr1", 7, 62, 9), (4, "r4", 0, "chr1", 7, 157, 9)]
+EXPECTED = [("r1", 99, "chr1", 10, 60, 60), ("r1", 147, "chr10", 5, 45, 30), ("r2", 4, None, -1, -1, 0), ("r3", 0, "chr1", 7, 62, 9), ("r4", 0, "chr1", 7, 157, 9)]
 
 
-def bam(records):
+def bam(records, piece=60, level=6, closed=True):
     out = b"BAM\x01" + struct.pack("<i", 0) + struct.pack("<i", 2)
     for name in (b"chr1\0", b"chr10\0"):
         out += struct.pack("<i", len(name)) + name + struct.pack("<i", 1000)
@@ -64,32 +64,69 @@ def bam(records):
         body = struct.pack("<iiBBHHHiiii", ref, at, len(n), mapq, 0, len(cigar), flags, 0, -1, -1, 0) + n
         body += b"".join(struct.pack("<I", size << 4 | op) for size, op in cigar)
         out += struct.pack("<i", len(body)) + body
-    parts = [out[i : i + 60] for i in range(0, len(out), 60)] + [b""]
     packed = b""
-    for p in parts:
-        z = zlib.compressobj(6, zlib.DEFLATED, 31)
-        packed += z.compress(p) + z.flush()
+    for p in [out[i : i + piece] for i in range(0, len(out), piece)] + [b""] * closed:
+        z = zlib.compressobj(level if p else 6, zlib.DEFLATED, -15)
+        body = z.compress(p) + z.flush()
+        packed += struct.pack("<4sIBBH2sHH", b"\x1f\x8b\x08\x04", 0, 0, 255, 6, b"BC", 2, len(body) + 25) + body + struct.pack("<II", zlib.crc32(p), len(p))
     return packed
 
 
 def test_bam_and_sam(spark, rows, tmp_path):
     (tmp_path / "x.bam").write_bytes(bam(RECORDS))
     got = alignments.bam_alignments(spark, str(tmp_path / "x.bam"))
-    assert rows(got.drop("file")) == sorted(EXPECTED, key=repr)
+    assert [tuple(r) for r in got.orderBy("ord").drop("file", "ord").collect()] == EXPECTED
     names, ops = ["chr1", "chr10"], "MIDNSHP=X"
     sam = "@HD\tVN:1.6\n" + "".join(
         "\t".join([n, str(f), names[r] if r >= 0 else "*", str(at + 1), str(q), "".join(f"{s}{ops[o]}" for s, o in c) or "*", "*", "0", "0", "*", "*", "NM:i:0"]) + "\n"
         for n, f, r, at, q, c in RECORDS
     )
     got = alignments.sam_alignments(spark, text(tmp_path / "x.sam", sam))
-    assert rows(got.drop("ord")) == sorted([e[1:] for e in EXPECTED], key=repr)
-    (tmp_path / "cut.bam").write_bytes(bam(RECORDS)[:-150])
+    assert rows(got.drop("ord")) == sorted(EXPECTED, key=repr)
     (tmp_path / "lost.bam").write_bytes(bam([("r", 0, -1, -1, 0, [])]))
-    for name in ("cut", "lost"):
-        with pytest.raises(Exception):
-            alignments.bam_alignments(spark, str(tmp_path / f"{name}.bam")).collect()
+    with pytest.raises(Exception, match="without a reference"):
+        alignments.bam_alignments(spark, str(tmp_path / "lost.bam")).collect()
     with pytest.raises(Exception, match="without a reference"):
         alignments.sam_alignments(spark, text(tmp_path / "y.sam", "r\t0\t*\t0\t0\t*\t*\t0\t0\t*\t*\n")).collect()
+    (tmp_path / "none.bam").write_bytes(bam([]))
+    assert alignments.bam_alignments(spark, str(tmp_path / "none.bam")).count() == 0
+
+
+def many(n):
+    return [(f"read{i}", [99, 147, 4][i % 3], -1 if i % 3 == 2 else i % 2, -1 if i % 3 == 2 else i, i % 61, [] if i % 3 == 2 else [(10 + i % 90, 0), (i % 7, 1), (5, 2)]) for i in range(n)]
+
+
+@pytest.mark.parametrize("piece, ahead", [(70, 1 << 18), (333, 1 << 18), (5000, 1 << 14)])
+def test_ranges_of_a_bam_file_give_every_record_once(spark, tmp_path, monkeypatch, piece, ahead):
+    """Wherever a file is divided, and however its records lie in blocks; one record is longer than a range looks ahead."""
+    monkeypatch.setattr(alignments, "LOOK_AHEAD", ahead)
+    records = many(700) + [("long" + "x" * 200, 0, 0, 5, 1, [(1, 0)] * 9000)] + many(50)
+    path = str(tmp_path / "x.bam")
+    (tmp_path / "x.bam").write_bytes(bam(records, piece))
+    whole = [r for b in alignments.bam_batches(path, 0, 1 << 60) for r in b.to_pylist()]
+    assert [r["name"] for r in whole] == [r[0] for r in records]
+    assert [r["end"] - r["start"] for r in whole if r["name"] == "read7"] == [22, 22]
+    size = (tmp_path / "x.bam").stat().st_size
+    for split in (97, 1000, 4096, size // 3):
+        parts = [r for a in range(0, size, split) for b in alignments.bam_batches(path, a, min(a + split, size)) for r in b.to_pylist()]
+        assert parts == whole, split
+    small = [r for b in alignments.bam_batches(path, 0, 1 << 60, most=500) for r in b.to_pylist()]
+    assert small == whole
+    got = alignments.bam_alignments(spark, path, split=size // 5)
+    assert got.rdd.getNumPartitions() >= 5 and [r.name for r in got.orderBy("ord").collect()] == [r[0] for r in records]
+    assert alignments.bam_counts(spark, path).first().records == len(records)
+
+
+def test_a_bam_file_that_lost_its_end_fails(tmp_path):
+    records, path = many(300), str(tmp_path / "x.bam")
+    good = bam(records, 400)
+    for content in (good[:-28], good[:-1], good[:-3000], bam(records, 400, closed=False), good[: len(good) // 2]):
+        (tmp_path / "x.bam").write_bytes(content)
+        with pytest.raises(ValueError):
+            list(alignments.bam_batches(path, 0, 1 << 60))
+        with pytest.raises(ValueError):
+            for a in range(0, len(content), 900):
+                list(alignments.bam_batches(path, a, min(a + 900, len(content))))
 
 
 def test_sequences(spark, rows, tmp_path):
