@@ -156,14 +156,17 @@ def _plausible(data: bytes, at: int, references: int) -> int | None:
     return at + 4 + size
 
 
-def _first_record(data: bytes, references: int) -> int | None:
-    """The first place from which plausible records follow each other to the end of the data (or for a hundred records)."""
+def _first_record(data: bytes, references: int, last: bool) -> int | None:
+    """The first place from which plausible records follow each other: a hundred, as many as there are, or to the file's end if `last`.
+
+    Fewer than three on the way out of the data prove nothing.
+    """
     for start in range(len(data)):
         at, records = start, 0
-        while at is not None and at + 36 <= len(data) and records < 100:  # fewer bytes than that are the rest of a file
+        while at is not None and at + 36 <= len(data) and records < 100:
             at, records = _plausible(data, at, references), records + 1
-        if at is not None and records:
-            return start
+        if at is not None and (records == 100 or (at == len(data) if last else records > 3)):
+            return start if records else None
     return None
 
 
@@ -210,19 +213,24 @@ def bam_batches(path: str, start: int, end: int, most: int = 8 << 20) -> Iterato
     names, first_block, within = bam_header(path)
     if end <= first_block:
         return
+    with open(path, "rb") as source:
+        source.seek(-min(len(CLOSING), os.path.getsize(path)), os.SEEK_END)
+        if source.read() != CLOSING:
+            raise CutShort(f"{path} lacks the block that closes a file; its end is lost")
     blocks = Blocks(path, max(start, first_block))
+    parts = iter(blocks)
     ahead, at = [], within
     if start > first_block:
         at, held = None, 0
-        for block, part in blocks:
+        for block, part in parts:
             ahead.append((block, part))
             held += len(part)
             if held > LOOK_AHEAD:  # a record may be longer than that
-                at, held = _first_record(b"".join(p for _, p in ahead), len(names)), 0
+                at, held = _first_record(b"".join(p for _, p in ahead), len(names), False), 0
                 if at is not None or block >= end:
                     break
         else:
-            at = _first_record(b"".join(p for _, p in ahead), len(names))
+            at = _first_record(b"".join(p for _, p in ahead), len(names), True)
         if at is None:
             return
     content, marks, found, limit = b"", [], [], None
@@ -234,7 +242,7 @@ def bam_batches(path: str, start: int, end: int, most: int = 8 << 20) -> Iterato
     def rows() -> pa.RecordBatch:
         return decoded(content, found, [ord_of(x) for x in found], names, path)
 
-    for block, part in itertools.chain(ahead, blocks):
+    for block, part in itertools.chain(ahead, parts):
         if block >= end and limit is None:
             limit = len(content)
         if limit is not None and at >= limit:
@@ -259,10 +267,6 @@ def bam_batches(path: str, start: int, end: int, most: int = 8 << 20) -> Iterato
     else:
         if at < len(content):
             raise CutShort(f"{path} ends inside a record")
-        with open(path, "rb") as source:
-            source.seek(-min(len(CLOSING), blocks.size), os.SEEK_END)
-            if source.read() != CLOSING:
-                raise CutShort(f"{path} lacks the block that closes a file; its end is lost")
     if found:
         yield rows()
 
