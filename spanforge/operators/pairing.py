@@ -142,16 +142,18 @@ def mate_pairs(df: DataFrame, ord: str = "ord", after_leftover: bool = True, by:
     folder, so results may be read twice.
     """
     by = list(by)
-    couples = cut(_coupled(df, ord, by))
-    full = couples.where("two is not null")
     flagged = has(F.col("one.flags"), PAIRED) & has(F.col("two.flags"), PAIRED)
-    pairs = full.where(flagged)
-    first = full.where((F.col("couple") == 0) & ~flagged)
-    if after_leftover and not first.isEmpty():
-        of = F.coalesce(F.to_json(F.struct(*by)), F.lit("")) if by else F.lit("")
-        after = _names_after_leftover(couples.where("couple = 0").select(of.alias("of"), "name", "odd"))
-        pairs = pairs.unionByName(first.withColumn("of", of).join(after, ["of", "name"], "left_semi").drop("of"))
-    return block_ordered(pairs, by)
+    couples = _coupled(df, ord, by).withColumn("flagged", F.when(F.col("two").isNotNull(), flagged))  # null for a record left over
+    if not after_leftover:
+        return cut(block_ordered(couples.where("flagged"), by))
+    marks = ["couple", "odd", "flagged"]
+    couples = cut(block_ordered(couples.where("couple = 0 or flagged"), by + marks))
+    pairs, first = couples.where("flagged").drop(*marks), couples.where("not flagged")
+    if first.isEmpty():
+        return pairs
+    of = F.coalesce(F.to_json(F.struct(*by)), F.lit("")) if by else F.lit("")
+    after = _names_after_leftover(couples.where("couple = 0").select(of.alias("of"), "name", "odd"))
+    return pairs.unionByName(first.withColumn("of", of).join(after, ["of", "name"], "left_semi").drop("of", *marks))
 
 
 def any_unflagged(df: DataFrame) -> bool:

@@ -32,8 +32,12 @@ def domain_depth(domains: DataFrame, covering: DataFrame, width: int = iv.BIN) -
     One row for each domain, uncovered ones with 0.  The interval sort of the
     file formats is not needed for this and does not happen.
     """
-    sums = iv.overlap_sums(domains, covering.select("chrom", "start", "end"), width=width)
-    merged = iv.merge_sum(sums.withColumnRenamed("name", "key").withColumnRenamed("overlap_sum", "value"))
+    counted = covering.groupBy("chrom", "start", "end").agg(F.count("*").alias("__n"))
+    met = iv.overlap_inner(domains.select("name", "chrom", "start", "end"), counted, width=width)
+    place = [F.col(f"a_{c}").alias(n) for c, n in (("name", "key"), ("start", "start"), ("end", "end"))]
+    sums = met.select(*place, (F.col("overlap") * F.col("b___n")).alias("value"))
+    every = domains.select(F.col("name").alias("key"), "start", "end", F.lit(0).cast("long").alias("value"))
+    merged = iv.merge_sum(sums.unionByName(every))
     return merged.select(F.col("key").alias("name"), iv.depth(F.col("value"), F.col("start"), F.col("end")).alias("depth"))
 
 
