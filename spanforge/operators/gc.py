@@ -5,6 +5,7 @@ from __future__ import annotations
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
 
 from spanforge.functions.loess import loess_fit
 from spanforge.functions.rounding import round_r
@@ -152,10 +153,36 @@ def corrected_depth(depth: DataFrame, gc: DataFrame, by: str = "sample", check:
     return rows.drop("reason") if strict else rows
 
 
-def haploid_unit(df: DataFrame, by: str) -> DataFrame:
-    """by, unit: half the exact median of the conserved domains, wherever their name has the mark.
+#: Classes of values over the middle 98 % of all, for medians.
+CLASSES = 4096
+
 
-    The median holds one value for each conserved domain of a sample, a number
-    set by the reference and not by the reads.
+def exact_medians(df: DataFrame, by: str, value: str) -> DataFrame:
+    """by, median: the middle value of each group, or the mean of the two middle ones; NaN counts as greatest, null not at all.
+
+    Values are counted in classes of equal width, whose running counts tell in
+    which one the middle lies; only that class's values are put in order.  So no
+    task holds a group, however large.
     """
-    return df.where(conserved(F.col("domain"), False)).groupBy(by).agg((F.median("corrected_coverage") / 2).alias("unit"))
+    rows = df.where(F.col(value).isNotNull() & F.col(by).isNotNull()).select(by, F.col(value).cast("double").alias("__v"))
+    finite = F.when(F.abs("__v") < float("inf"), F.col("__v"))
+    ends = rows.agg(F.percentile_approx(finite, [0.01, 0.99], 1000).alias("e")).select(F.col("e")[0].alias("__low"), ((F.col("e")[1] - F.col("e")[0]) / CLASSES).alias("__width"))
+    step = F.when(F.col("__width") > 0, F.col("__width")).otherwise(F.lit(1.0))
+    most = float(1 << 20)
+    place = F.greatest(F.least((F.col("__v") - F.coalesce("__low", F.lit(0.0))) / step, F.lit(most)), F.lit(-most))  # NaN is greatest
+    classed = rows.crossJoin(F.broadcast(ends)).select(by, "__v", F.when(F.isnan("__v"), F.lit(most)).otherwise(F.floor(place)).cast("long").alias("__class"))
+    whole = W.partitionBy(by)
+    counts = classed.groupBy(by, "__class").agg(F.count("*").alias("__n")).select(
+        by, "__class", (F.sum("__n").over(whole.orderBy("__class").rowsBetween(W.unboundedPreceding, 0)) - F.col("__n")).alias("__before"), "__n",
+        F.expr(f"(sum(__n) over (partition by `{by}`) + 1) div 2").alias("__first"), F.expr(f"sum(__n) over (partition by `{by}`) div 2 + 1").alias("__second"),
+    )
+    middle = counts.where("(__first > __before and __first <= __before + __n) or (__second > __before and __second <= __before + __n)").drop("__n")
+    inside = classed.join(middle, [by, "__class"])
+    rank = F.col("__before") + F.row_number().over(W.partitionBy(by, "__class").orderBy("__v"))
+    ranked = inside.withColumn("__rank", rank).where("__rank = __first or __rank = __second")
+    return ranked.groupBy(by).agg(F.avg("__v").alias("median"))
+
+
+def haploid_unit(df: DataFrame, by: str) -> DataFrame:
+    """by, unit: half the exact median of the conserved domains, wherever their name has the mark."""
+    return exact_medians(df.where(conserved(F.col("domain"), False)), by, "corrected_coverage").select(by, (F.col("median") / 2).alias("unit"))

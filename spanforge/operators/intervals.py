@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
+from spanforge.checkpoints import cut
+
 #: Default width of the position bins of the overlap join; two to four times a typical interval is best.
 BIN = 1000
 
@@ -125,6 +127,22 @@ def in_total_order(df: DataFrame, chrom: str = "chrom", start: str = "start", li
     return df.withColumn("__line", whole).orderBy(chrom, start, "__line").drop("__line")
 
 
+def placed_in_total_order(df: DataFrame, chrom: str = "chrom", start: str = "start", line: Column | None = None) -> DataFrame:
+    """All columns of df and `place`, from 1, in the order of in_total_order.
+
+    Rows are sorted in ranges, written to the checkpoint folder and numbered
+    from the sizes of the ranges before, a row for each.
+    """
+    whole = line if line is not None else bed_line(*df.columns)
+    keys = [chrom, start, "__line"]
+    ranged = df.withColumn("__line", whole).repartitionByRange(*keys).sortWithinPartitions(*keys).drop("__line")
+    found = cut(ranged.withColumn("__range", F.spark_partition_id()).withColumn("__id", F.monotonically_increasing_id()))
+    sizes = found.groupBy("__range").agg(F.count("*").alias("__n"), F.min("__id").alias("__first"))
+    before = F.coalesce(F.sum("__n").over(W.orderBy("__range").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    offsets = F.broadcast(sizes.select("__range", (before - F.col("__first") + 1).alias("__add")))  # a row for each range
+    return found.join(offsets, "__range").withColumn("place", F.col("__id") + F.col("__add")).drop("__range", "__id", "__add")
+
+
 def text_number(x: Column) -> Column:
     """A decimal number in a text, 0 for text that is none, for sorting by value."""
     return F.coalesce(x.try_cast("decimal(38,18)"), F.lit(0).cast("decimal(38,18)"))

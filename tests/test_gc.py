@@ -103,3 +103,19 @@ def test_registered_by_sample(spark, tmp_path):
     spark.createDataFrame([(s, n, k * (10.0 + i % 3)) for s, k in (("a", 1), ("b", 5)) for i, n in enumerate(names)], "sample_name string, name string, depth double").write.parquet(str(tmp_path / "read_depth.parquet"))
     got = reference.gc_correct_copy_number(spark, str(tmp_path))
     assert {r["sample_name"]: r["unit"] for r in gc.haploid_unit(got, "sample_name").collect()} == {"a": pytest.approx(1), "b": pytest.approx(1)}
+
+
+def test_medians_against_numpy(spark, rows):
+    import random
+
+    import numpy as np
+
+    from spanforge.operators.gc import exact_medians
+
+    draw = random.Random(3)
+    data = [(draw.choice("hhhhab"), draw.choice([draw.gauss(0, 1), draw.gauss(500, 1e4), 0.0, -0.0, 7.5, 1e300, -1e300, float("inf"), None])) for _ in range(3000)]
+    data += [("one", 4.0), ("two", 1.0), ("two", 2.0), ("same", 3.0), ("same", 3.0), ("same", 3.0), ("none", None), (None, 1.0), ("not", float("nan"))]
+    got = dict(rows(exact_medians(spark.createDataFrame(data, "k string, v double"), "k", "v")))
+    assert np.isnan(got.pop("not"))
+    assert got == {k: float(np.median([v for n, v in data if n == k and v is not None])) for k in ("h", "a", "b", "one", "two", "same")}
+    assert exact_medians(spark.createDataFrame([], "k string, v double"), "k", "v").count() == 0
