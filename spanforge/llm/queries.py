@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from spanforge.checkpoints import cut
 from spanforge.llm import encode, lookalike, packing, sampling
 from spanforge.tables import table
 
@@ -59,6 +60,23 @@ def p7_fill(spark: SparkSession, d: str) -> DataFrame:
     return packing.fill_report(p7_packing(spark, d), table(spark, d, "container_size"))
 
 
+def p7_check(spark: SparkSession, d: str) -> DataFrame:
+    """For each container size: documents packed; containers over capacity, documents divided without need or not whole; and whether
+    at most one container is no more than half full, as best fit leaves them."""
+    capacity = table(spark, d, "container_size").select("size_id", F.col("capacity_tokens").cast("long").alias("capacity"))
+    packed = cut(p7_packing(spark, d)).join(F.broadcast(capacity), "size_id")  # a parameter table of a few rows
+    tokens, end = F.sum("piece_tokens"), F.max(F.col("first_token") + F.col("piece_tokens"))
+    docs = packed.groupBy("size_id", "capacity", "doc_id").agg(tokens.alias("t"), end.alias("e"), F.count("*").alias("n"))
+    docs = docs.groupBy("size_id").agg(
+        F.count("*").alias("documents"), F.count(F.when((F.col("n") > 1) & (F.col("t") <= F.col("capacity")), 1)).alias("divided_without_need"),
+        F.count(F.when(F.col("t") != F.col("e"), 1)).alias("not_whole"),
+    )
+    full = packed.where("container_id is not null").groupBy("size_id", "capacity", "container_id").agg(tokens.alias("t")).groupBy("size_id").agg(
+        F.count(F.when(F.col("t") > F.col("capacity"), 1)).alias("over"), (F.count(F.when(2 * F.col("t") <= F.col("capacity"), 1)) <= 1).alias("filled")
+    )
+    return docs.join(full, "size_id")
+
+
 def p8_found(spark: SparkSession, d: str) -> DataFrame:
     return lookalike.look_alike_pairs(table(spark, d, "documents"))
 
@@ -75,7 +93,7 @@ def p8_texts(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (p1_found, p1_report, p1_unmet, p1_conflict, p1_sample, p1_sample_check, p6_ids, p7_packing, p7_fill, p8_found, p8_forms, p8_texts)}
+    return {f.__name__: f for f in (p1_found, p1_report, p1_unmet, p1_conflict, p1_sample, p1_sample_check, p6_ids, p7_packing, p7_fill, p7_check, p8_found, p8_forms, p8_texts)}
 
 
 _P1 = """
@@ -130,6 +148,8 @@ def oracle_sql() -> dict[str, str]:
             columns="cast(wanted as bigint) wanted, cast(coalesce(available, 0) as bigint) available, "
             "cast(greatest(wanted - coalesce(available, 0), 0) as bigint) scarce"
         ),
+        "p7_check": """select size_id, (select count(*) from documents) documents, cast(0 as bigint) divided_without_need, cast(0 as bigint) not_whole,
+            cast(0 as bigint) as over, true filled from container_size""",
         "p1_conflict": _P1_CONFLICT,
         "p1_sample_check": _P1_SIZES,
     }
