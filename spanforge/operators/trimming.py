@@ -20,48 +20,102 @@ ADAPTERS = {
 QUALITY, LENGTH, PHRED, OVERLAP, ERRORS = 10, 80, 33, 1, 0.1
 
 
-def quality_end(quality: np.ndarray, cutoff: int) -> int:
-    """Where a read ends after cutting its low-quality tail: the running sum of cutoff - quality from the end peaks there."""
-    gain = np.cumsum((cutoff - quality.astype(np.int64))[::-1])
-    if not len(gain):
-        return 0
-    below = np.flatnonzero(gain < 0)
-    gain = gain[: below[0]] if len(below) else gain
-    return len(quality) - (int(np.argmax(gain)) + 1 if len(gain) and gain.max() > 0 else 0)
+#: Letters of the reads that a worker holds as arrays at a time; a longer read is handled by itself.
+BLOCK_LETTERS = 2 << 20
 
 
-def adapter_start(seq: np.ndarray, adapter: np.ndarray, overlap: int = OVERLAP, errors: float = ERRORS) -> int:
-    """Where the adapter begins: the match of most letters with at most `errors` mismatches a letter; the length if none.
+class Reads:
+    """Texts as one array of letters, each text followed by a place that belongs to none."""
 
-    Mismatches only, no insertions.  Places that hold the whole adapter are
-    compared together.
+    def __init__(self, texts: list[str]):
+        self.size = np.fromiter(map(len, texts), dtype=np.int64, count=len(texts))
+        self.letters = np.frombuffer(("\0".join(texts) + "\0").encode("latin-1", "replace"), dtype=np.uint8)
+        self.start = np.cumsum(self.size + 1) - self.size - 1
+        self.last = self.start + self.size  # the place after each text
+        self.read = np.repeat(np.arange(len(texts)), self.size + 1)
+        self.at = np.arange(len(self.letters)) - self.start[self.read]
+
+
+def quality_ends(quality: Reads, cutoff: int) -> np.ndarray:
+    """Where each read ends after cutting its low-quality tail: the running sum of cutoff - quality from the end peaks there.
+
+    The sum is followed until it falls below 0; of equal peaks the one nearest
+    to the end counts.
+    """
+    gain = cutoff + PHRED - quality.letters.astype(np.int64)
+    gain[quality.last] = 0
+    gain, first = gain[::-1], (len(gain) - 1 - quality.last)[::-1]  # backwards, each read begins with its place of none
+    total = np.cumsum(gain)
+    own = np.repeat(np.arange(len(first)), (quality.size + 1)[::-1])
+    total -= (total[first] - gain[first])[own]
+    place = np.arange(len(total))
+    fallen = np.minimum.reduceat(np.where(total < 0, place, len(total)), first)
+    total[place >= fallen[own]] = -1
+    peak = np.maximum.reduceat(total, first)
+    cut = np.minimum.reduceat(np.where(total == peak[own], place, len(total)), first) - first
+    return quality.size - cut[::-1]
+
+
+def adapter_starts(reads: Reads, adapter: str, overlap: int = OVERLAP, errors: float = ERRORS) -> np.ndarray:
+    """Where the adapter begins in each read, its size if nowhere: the place where most letters match, the first of equal ones.
+
+    The adapter or, at the read's end, its beginning has to match with at most
+    `errors` differences a letter: other letters, letters too many or missing.
+    overlap: letters of the adapter that have to be there, all of them at most.
+    The rest of the adapter from each place on is compared from its end
+    backwards, for all places of all reads together.
     """
-    n, size, best, found = len(seq), len(adapter), 0, len(seq)
-    whole = n - size + 1 if size >= overlap else 0
-    if whole > 0:
-        same = np.zeros(whole, dtype=np.int32)
-        for k in range(size):
-            same += seq[k : k + whole] == adapter[k]
-        same[size - same > int(size * errors)] = 0
-        if same.max() > 0:
-            best, found = int(same.max()), int(np.argmax(same))
-    for at in range(max(whole, 0), n - overlap + 1):
-        m = min(len(adapter), n - at)
-        wrong = int(np.count_nonzero(seq[at : at + m] != adapter[:m]))
-        if wrong <= int(m * errors) and m - wrong > best:
-            best, found = m - wrong, at
-    return found
-
-
-def trimmed(seq: str, quality: str, adapter: str | None, cutoff: int = QUALITY) -> tuple[str, str]:
-    q = np.frombuffer(quality.encode("latin-1", "replace"), dtype=np.uint8).astype(np.int64) - PHRED
-    end = quality_end(q, cutoff)
+    letters = np.frombuffer(adapter.encode("latin-1"), dtype=np.uint8)
+    most, ended = int(len(letters) * errors), np.zeros(len(reads.letters), dtype=bool)
+    ended[reads.last] = True
+
+    def following(x: np.ndarray) -> np.ndarray:
+        return np.concatenate([x[1:], [True]]) | ended
+
+    after = [np.ones(len(ended), dtype=bool)] * (most + 1)  # no letter of the adapter is left
+    for letter in letters[::-1]:
+        now, same = [], reads.letters == letter
+        for e in range(most + 1):
+            fits = (same & following(after[e])) | ended
+            if e:
+                fits |= following(after[e - 1]) | following(now[e - 1]) | after[e - 1]
+            now.append(fits)
+        after = now
+    covered = np.minimum(len(letters), reads.size[reads.read] - reads.at)
+    wrong = np.full(len(ended), most + 1)
+    for e in range(most, -1, -1):
+        wrong[after[e]] = e
+    matches = np.where((wrong <= (covered * errors).astype(np.int64)) & (covered >= min(overlap, len(letters))) & ~ended, covered - wrong, 0)
+    best = np.maximum.reduceat(matches, reads.start)
+    found = np.minimum.reduceat(np.where((matches == best[reads.read]) & (matches > 0), reads.at, len(ended)), reads.start)
+    return np.minimum(found, reads.size)
+
+
+def trimmed(seqs: list[str], quals: list[str], adapter: str | None, cutoff: int = QUALITY) -> list[tuple[str, str]]:
+    """Each read and its qualities after cutting the low-quality tail, the adapter, and N at both ends."""
+    if not seqs:
+        return []
+    ends = np.minimum(quality_ends(Reads(quals), cutoff), np.fromiter(map(len, seqs), dtype=np.int64, count=len(seqs)))
     if adapter:
-        end = adapter_start(np.frombuffer(seq[:end].encode("latin-1", "replace"), np.uint8), np.frombuffer(adapter.encode(), np.uint8))
-    kept = seq[:end]
-    right = len(kept.rstrip("Nn"))
-    left = min(len(kept) - len(kept.lstrip("Nn")), right)
-    return seq[left:right], quality[left:right]
+        ends = adapter_starts(Reads([s[:e] for s, e in zip(seqs, ends)]), adapter)
+    out = []
+    for s, q, end in zip(seqs, quals, ends):
+        right = len(s[:end].rstrip("Nn"))
+        left = min(end - len(s[:end].lstrip("Nn")), right)
+        out.append((s[left:right], q[left:right]))
+    return out
+
+
+def _in_blocks(seqs: list[str], quals: list[str], adapter: str | None, cutoff: int) -> list[tuple[str, str]]:
+    out, row = [], 0
+    while row < len(seqs):
+        end, held = row, 0
+        while end < len(seqs) and (end == row or held + len(seqs[end]) <= BLOCK_LETTERS):
+            held += len(seqs[end])
+            end += 1
+        out += trimmed(seqs[row:end], quals[row:end], adapter, cutoff)
+        row = end
+    return out
 
 
 def detect_adapter(reads: DataFrame, seq: str = "seq") -> str:
@@ -85,7 +139,7 @@ def trim_pairs(df: DataFrame, adapter: str | None = None, cutoff: int = QUALITY,
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            mates = [[trimmed(s, q, adapter, cutoff) for s, q in zip(batch.column(a).to_pylist(), batch.column(b).to_pylist())] for a, b in (names[:2], names[2:])]
+            mates = [_in_blocks(batch.column(a).to_pylist(), batch.column(b).to_pylist(), adapter, cutoff) for a, b in (names[:2], names[2:])]
             columns = [pa.array([m[i] for m in mate], pa.string()) for mate in mates for i in (0, 1)]
             kept = pa.array([len(a[0]) >= length and len(b[0]) >= length for a, b in zip(*mates)], pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(c) for c in keep] + columns + [kept], names=[*keep, *names, "kept"])

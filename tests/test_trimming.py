@@ -1,7 +1,5 @@
 import random
 
-import numpy as np
-
 from spanforge.operators import trimming as tr
 
 
@@ -16,17 +14,37 @@ def by_hand(quality, cutoff):
     return end
 
 
-def test_quality_end():
+def test_quality_ends():
     draw = random.Random(1)
-    for _ in range(500):
-        q = [draw.randrange(0, 40) for _ in range(draw.randrange(0, 60))]
-        assert tr.quality_end(np.array(q, dtype=np.int64), 10) == by_hand(q, 10)
+    qualities = [[draw.randrange(0, 40) for _ in range(draw.randrange(0, 60))] for _ in range(500)]
+    texts = ["".join(chr(33 + x) for x in q) for q in qualities]
+    assert tr.quality_ends(tr.Reads(texts), 10).tolist() == [by_hand(q, 10) for q in qualities]
 
 
 def test_adapter():
-    a = np.frombuffer(b"AGATCGGAAGAGC", np.uint8)
-    for seq, at in (("TTTTAGATCGGAAGAGCTT", 4), ("TTTTAGATCGGAAGAGGTT", 4), ("TTTTT", 5), ("TTTTA", 4), ("TTTAG", 3), ("", 0)):
-        assert tr.adapter_start(np.frombuffer(seq.encode(), np.uint8), a) == at, seq
+    cases = {
+        "TTTTAGATCGGAAGAGCTT": 4, "TTTTAGATCGGAAGAGGTT": 4, "TTTTT": 5, "TTTTA": 4, "TTTAG": 3, "": 0,
+        "TTTTAGATCGGTAAGAGCTT": 4,  # a letter too many
+        "TTTTAGATCGAAGAGCTT": 4,  # a letter missing
+        "TTTTAGATGGAAGAGGTT": 18,  # two differences
+        "TTTTAGATCGGTAAGAG": 4,  # the beginning of the adapter at the read's end, a letter too many
+    }
+    assert dict(zip(cases, tr.adapter_starts(tr.Reads(list(cases)), "AGATCGGAAGAGC").tolist())) == cases
+
+
+def edits(adapter, rest):
+    """Fewest differences of the whole adapter, or of its beginning up to the end of the read, from the letters that follow."""
+    before = [0] + [len(rest) + 1] * len(rest)
+    for j in range(1, len(rest) + 1):
+        before[j] = before[j - 1] + 1
+    least = before[-1]
+    for i, a in enumerate(adapter, 1):
+        now = [i]
+        for j, b in enumerate(rest, 1):
+            now.append(min(before[j - 1] + (a != b), before[j] + 1, now[-1] + 1))
+        before = now
+        least = min(least, before[-1])
+    return min(least, min(before))
 
 
 def test_pairs(spark, rows):
@@ -41,21 +59,38 @@ def test_pairs(spark, rows):
 
 
 def test_adapter_place_by_place():
-    """All places against each one alone, the adapter's beginning at the read's end included."""
-    draw, a = random.Random(2), np.frombuffer(b"ACCAGACCATGA", np.uint8)
+    """All reads together against each place alone: other letters, letters too many or missing, the adapter's beginning at the end."""
+    draw, adapter = random.Random(2), "ACCAGACCATGA"
+    reads = []
     for _ in range(400):
-        seq = np.array([draw.choice(b"ACG") for _ in range(draw.randrange(0, 40))], dtype=np.uint8)
-        if len(seq) > 14 and draw.randrange(2):
+        seq = [draw.choice("ACG") for _ in range(draw.randrange(0, 40))]
+        if len(seq) > 14 and draw.randrange(3):
             at = draw.randrange(len(seq))
-            seq[at : at + 12] = a[: len(seq[at : at + 12])]
-        for overlap, errors in ((1, 0.1), (3, 0.3), (20, 0.1)):
+            seq[at : at + 12] = list(adapter)[: len(seq[at:])]
+            if draw.randrange(2):
+                seq.insert(min(len(seq), at + draw.randrange(12)), draw.choice("ACG"))
+            elif draw.randrange(2):
+                del seq[min(len(seq) - 1, at + draw.randrange(12))]
+        reads.append("".join(seq))
+    for overlap, errors in ((1, 0.1), (3, 0.3), (20, 0.1)):
+        got = tr.adapter_starts(tr.Reads(reads), adapter, overlap, errors)
+        for seq, place in zip(reads, got.tolist()):
             best, found = 0, len(seq)
-            for at in range(len(seq) - overlap + 1):
-                m = min(len(a), len(seq) - at)
-                wrong = sum(x != y for x, y in zip(seq[at : at + m], a))
-                if wrong <= int(m * errors) and m - wrong > best:
+            for at in range(len(seq)):
+                m = min(len(adapter), len(seq) - at)
+                wrong = edits(adapter, seq[at:])
+                if m >= min(overlap, len(adapter)) and wrong <= int(m * errors) and m - wrong > best:
                     best, found = m - wrong, at
-            assert tr.adapter_start(seq, a, overlap, errors) == found
+            assert place == found, (seq, overlap, errors)
+
+
+def test_long_and_empty_reads(monkeypatch):
+    seqs = ["", "A" * 5000 + "AGATCGGAAGAGC" + "T" * 5000, "N" * 50, "é" * 30, ""]
+    quals = ["I" * len(s) for s in seqs]
+    whole = tr._in_blocks(seqs, quals, "AGATCGGAAGAGC", 10)
+    assert [len(s) for s, _ in whole] == [0, 5000, 0, 30, 0]
+    monkeypatch.setattr(tr, "BLOCK_LETTERS", 40)
+    assert tr._in_blocks(seqs, quals, "AGATCGGAAGAGC", 10) == whole and tr._in_blocks([], [], None, 10) == []
 
 
 def test_adapter_that_shows_late(spark):
