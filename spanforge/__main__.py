@@ -3,16 +3,19 @@
 from __future__ import annotations
 
 import argparse
+import functools
+import glob as globbing
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from spanforge.checkpoints import cut
 from spanforge.functions.names import sample_of
-from spanforge.functions.numbers import as_general
+from spanforge.functions.numbers import as_awk, as_general
 from spanforge.operators import gc, logs, selection, trimming
 from spanforge.operators.fragments import NoProperPairs
 from spanforge.plans import pipeline
-from spanforge.sources import alignments, files, lines, sequences, sinks
+from spanforge.sources import alignments, files, lines, project, sequences, sinks
 
 TEMPLATE = """samples = []
 
@@ -53,20 +56,20 @@ def coverage(spark: SparkSession, a: argparse.Namespace) -> None:
 
 
 def gc_correct(spark: SparkSession, a: argparse.Namespace) -> None:
-    depth = lines.number_pairs(lines.text_lines(spark, a.read_depth), ("domain", "coverage")).withColumn("sample", F.lit("one"))
-    table = lines.number_pairs(lines.numbered_lines(spark, a.gc_table).select("line_no", "value"), ("domain", "percent_gc"))
-    composition = table.groupBy("domain").agg(F.last("percent_gc").alias("percent_gc"))
-    sinks.write_corrected(gc.corrected_depth(depth, composition, check=True), a.output or sinks.corrected_name(a.read_depth), compress=a.gzip)
+    depth = lines.number_pairs(lines.numbered_lines(spark, a.read_depth), ("domain", "coverage")).withColumn("sample", F.lit("one"))
+    table = lines.number_pairs(lines.numbered_lines(spark, a.gc_table), ("domain", "percent_gc")).withColumn("ord", F.struct("file", "line_no"))
+    composition = gc.latest_by_name(table, "domain", "percent_gc", "ord")
+    rows = gc.corrected_depth(depth, composition, check=True, keep=["file", "line_no"])
+    sinks.write_corrected(rows, a.output or sinks.corrected_name(a.read_depth), ["file", "line_no"], compress=a.gzip)
 
 
 def gc_from_fasta(spark: SparkSession, a: argparse.Namespace) -> None:
-    counts = gc.sequence_counts(sequences.fasta_records(spark, a.fasta))
+    counts = gc.sequence_counts(sequences.fasta_lines(spark, a.fasta))
     sinks.write_lines(counts, a.output, _gc_lines(counts))
 
 
 def build_gc_model(spark: SparkSession, a: argparse.Namespace) -> None:
-    contigs = sequences.fasta_records(spark, a.fasta).withColumnRenamed("name", "contig")
-    counts = gc.region_gc(_regions(spark, a.bed), gc.contig_chunks(contigs))
+    counts = gc.region_gc(_regions(spark, a.bed), sequences.fasta_chunks(spark, a.fasta))
     sinks.write_lines(counts, a.output, _gc_lines(counts))
 
 
@@ -89,13 +92,21 @@ def align_report(spark: SparkSession, a: argparse.Namespace) -> None:
     sinks.write_lines(counts, a.report, F.concat_ws(" ", F.lit(a.sample), F.col("names").cast("string")), mode="append")
 
 
+def _report(rows: DataFrame, path: str) -> None:
+    """Writes all rows with a header as tab-separated text, in their order, and shows the first twenty."""
+    rows.write.option("sep", "\t").option("header", True).option("nullValue", "NA").csv(path)
+    rows.show(20, False)
+    print(f"{rows.sparkSession.read.option('sep', chr(9)).option('header', True).csv(path).count()} rows in {path}")
+
+
 def qc_report(spark: SparkSession, a: argparse.Namespace) -> None:
     log = lines.numbered_lines(spark, a.trim_stats).select("line_no", "value")
     latest = logs.latest_entries(lines.trim_log(log).withColumn("sample", sample_of(F.col("file"))), ["sample", "file", "kind"], "reads", "line_no")
     aligned = lines.align_log(lines.text_lines(spark, a.align_report)).groupBy("sample").agg(F.max("aligned").alias("aligned"))
     summary = logs.trim_summary(latest, "sample")
     report = logs.sample_report(summary.select("sample"), "sample", summary, aligned)
-    report.withColumn("percent_aligned", logs.percent_aligned(F.col("aligned"), F.col("remaining_reads"))).orderBy("sample").show(100_000, False)
+    report = report.withColumn("percent_aligned", logs.percent_aligned(F.col("aligned"), F.col("remaining_reads")))
+    _report(report.orderBy("sample"), a.output)
 
 
 def select_samples(spark: SparkSession, a: argparse.Namespace) -> None:
@@ -109,7 +120,7 @@ def select_samples(spark: SparkSession, a: argparse.Namespace) -> None:
     best = selection.best_per_group(groups, ["sample_name"], order)
     wanted = names(a.of_interest) if a.of_interest else best.select("sample_name").limit(0)
     chosen = selection.fill_quotas(best, wanted, "sample_name", "population", order, a.quota)
-    chosen.orderBy(F.col("of_interest").desc(), "population", "place").show(100_000, False)
+    _report(chosen.orderBy(F.col("of_interest").desc(), "population", "place"), a.output)
 
 
 def verify(spark: SparkSession, a: argparse.Namespace) -> None:
@@ -117,6 +128,33 @@ def verify(spark: SparkSession, a: argparse.Namespace) -> None:
     files.verified(files.digests(spark, a.files), expected, "fastq_file").groupBy("state").count().show()
 
 
+def run(spark: SparkSession, a: argparse.Namespace) -> None:
+    """All samples of a project in one job, from alignments to copies.
+
+    Under the results: read_depth and corrected, a folder for each sample, and
+    under the logs a table of how each sample fared.  A sample that fails takes
+    no other along.
+    """
+    settings = project.load_project(a.project)
+    settings.check_reference()
+    folder = settings.paths.alignments
+    read = [f(spark, f"{folder}/*.{kind}") for kind, f in (("bam", alignments.bam_alignments), ("sam", alignments.sam_alignments)) if globbing.glob(f"{folder}/*.{kind}")]
+    rows = functools.reduce(lambda x, y: x.unionByName(y), read)
+    rows = rows.withColumn("sample", F.regexp_extract("file", r"([^/]+?)(_sorted)?\.[bs]am$", 1))
+    listed = rows.sparkSession.createDataFrame([(s,) for s in settings.samples], "sample string") if settings.samples else rows.select("sample").distinct()
+    rows = rows.join(F.broadcast(listed), "sample", "left_semi")  # the project's list
+    depths = cut(pipeline.cohort_depth(rows, _regions(spark, settings.reference.domains), paired=settings.options.paired))
+    table = lines.number_pairs(lines.numbered_lines(spark, settings.reference.gc_table), ("domain", "percent_gc")).withColumn("ord", F.struct("file", "line_no"))
+    copies = cut(pipeline.copy_numbers(depths, gc.latest_by_name(table, "domain", "percent_gc", "ord")))
+    compression = "gzip" if settings.options.compress else "none"
+    for name, df, line in (
+        ("read_depth", depths, sinks.tabbed(F.col("name"), as_awk(F.col("depth")))), ("corrected", copies.where("reason is null"), sinks.corrected_line())
+    ):
+        written = df.select("sample", line.alias("value")).write.partitionBy("sample").option("compression", compression)
+        written.mode("overwrite").text(f"{settings.paths.results}/{name}")
+    _report(pipeline.cohort_status(listed, depths, copies).orderBy("sample"), f"{settings.paths.logs}/status")
+
+
 def init(spark: SparkSession | None, a: argparse.Namespace) -> None:
     with open(a.output, "x") as f:
         f.write(TEMPLATE)
@@ -126,9 +164,9 @@ def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(prog="spanforge")
     commands = top.add_subparsers(dest="command", required=True)
 
-    def command(run, *arguments):
-        c = commands.add_parser(run.__name__.replace("_", "-"))
-        c.set_defaults(run=run)
+    def command(action, *arguments):
+        c = commands.add_parser(action.__name__.replace("_", "-"))
+        c.set_defaults(run=action)
         for flags, how in arguments:
             c.add_argument(*flags.split(), **how)
 
@@ -139,8 +177,9 @@ def parser() -> argparse.ArgumentParser:
     command(build_gc_model, ("-b --bed", need), ("-f --fasta", need), ("-o --output", need))
     command(trim, ("-1 --first", need), ("-2 --second", need), ("-o --output", need), ("--adapters", {"default": "detect"}), ("--log", {"default": "logs/trim_stats"}), ("--no-log", flag))
     command(align_report, ("-b --bed", need), ("--sample", need), ("--report", need))
-    command(qc_report, ("--trim-stats", need), ("--align-report", need))
-    command(select_samples, ("--index", need), ("--failed", {"nargs": "*"}), ("--of-interest", {"nargs": "*"}), ("--centres", {"nargs": "*", "default": []}), ("--quota", {"type": int, "default": 25}))
+    command(qc_report, ("--trim-stats", need), ("--align-report", need), ("-o --output", {"default": "qc_report"}))
+    command(select_samples, ("--index", need), ("--failed", {"nargs": "*"}), ("--of-interest", {"nargs": "*"}), ("--centres", {"nargs": "*", "default": []}), ("--quota", {"type": int, "default": 25}), ("-o --output", {"default": "selected_samples"}))
+    command(run, ("project", {}))
     command(verify, ("--index", need), ("--files", need))
     command(init, ("--output", need))
     return top

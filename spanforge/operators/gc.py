@@ -123,20 +123,21 @@ def powered(coverage: Column, k: Column) -> Column:
     return F.when(coverage == 0, zero).when(coverage < 0, F.lit(float("nan"))).otherwise(F.exp(F.ln(coverage) * k))
 
 
-def corrected_depth(depth: DataFrame, gc: DataFrame, by: str = "sample", check: bool = False, strict: bool = True) -> DataFrame:
+def corrected_depth(depth: DataFrame, gc: DataFrame, by: str = "sample", check: bool = False, strict: bool = True, keep: list[str] = ()) -> DataFrame:
     """by, domain, coverage, percent_gc, k_gc, corrected_coverage: depth corrected for composition and scaled to copies.
 
     depth: by, domain, coverage; gc: domain, percent_gc (one row for each; see
     latest_by_name).  All samples are corrected in one job, each with its own
     curve and its own unit, half the median of its conserved domains.  Names
-    missing on either side are left out.  check: fail if none is left.
+    missing on either side are left out.  check: fail if none is left.  keep:
+    further columns of depth to carry along.
 
     A sample with too few bins for a curve is an error.  Not strict: it keeps
     its rows, with null k_gc and corrected_coverage, and a last column `reason`
     names what a sample lacks (`bins`; `unit` without any conserved domain to
     scale by; else null), so that no sample takes the results of others along.
     """
-    joined = depth.select(by, "domain", "coverage").join(gc.select("domain", round_r(F.col("percent_gc"), 2).alias("percent_gc")), "domain")
+    joined = depth.select(by, *keep, "domain", "coverage").join(gc.select("domain", round_r(F.col("percent_gc"), 2).alias("percent_gc")), "domain")
     if check and joined.isEmpty():
         raise EmptyJoin("depth and composition have no name in common; do the names of one carry a ::chrom:start-end suffix?")
     factors = fit_factors(fit_bins(joined, [by]), by, strict)
@@ -147,7 +148,7 @@ def corrected_depth(depth: DataFrame, gc: DataFrame, by: str = "sample", check:
     rows = rows.withColumn("__corrected", powered(F.col("coverage"), F.col("k_gc")))
     unit = haploid_unit(rows.select(by, "domain", F.col("__corrected").alias("corrected_coverage")), by)
     rows = rows.join(unit, by, "inner" if strict else "left").select(
-        by, "domain", "coverage", "percent_gc", "k_gc", F.try_divide(F.col("__corrected"), F.col("unit")).alias("corrected_coverage"),
+        by, *keep, "domain", "coverage", "percent_gc", "k_gc", F.try_divide(F.col("__corrected"), F.col("unit")).alias("corrected_coverage"),
         F.when(F.col("first").isNull(), "bins").when(F.col("unit").isNull(), "unit").alias("reason"),
     )
     return rows.drop("reason") if strict else rows

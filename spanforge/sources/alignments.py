@@ -37,7 +37,7 @@ def sam_alignments(spark: SparkSession, path: str) -> DataFrame:
     named = F.when(field(v, 2) != "*", field(v, 2))
     checked = F.when(mapped & (named.isNull() | (at <= 0)), F.raise_error(F.lit("a mapped record without a reference or position")).cast("string")).otherwise(named)
     return lines.select(
-        F.col("line_no").alias("ord"), field(v, 0).alias("name"), flags.alias("flags"), checked.alias("chrom"), (at - 1).alias("start"),
+        "file", F.col("line_no").alias("ord"), field(v, 0).alias("name"), flags.alias("flags"), checked.alias("chrom"), (at - 1).alias("start"),
         F.when(mapped, at - 1 + span).otherwise(at - 1).alias("end"), field(v, 4).cast("int").alias("mapq"),
     )
 

@@ -17,6 +17,16 @@ def gathered(spark: SparkSession, path: str, suffix: str) -> DataFrame:
     return packed if packed.limit(1).count() else listed(spark, path, suffix)
 
 
+def line_counts(lines: DataFrame, expected: DataFrame, file: str = "file") -> DataFrame:
+    """expected with `lines`: the number of lines of each file, matched by base name; null for one that is absent or empty.
+
+    lines: file and value of a folder's files, see sources.lines.text_lines.
+    For records of BAM files see sources.alignments.bam_counts.
+    """
+    have = lines.groupBy(F.substring_index("file", "/", -1).alias("__name")).agg(F.count("value").alias("lines"))
+    return expected.join(have, F.substring_index(F.col(file), "/", -1) == F.col("__name"), "left").drop("__name")
+
+
 def digests(spark: SparkSession, path: str) -> DataFrame:
     """path, bytes, lines, md5, sha256 of each file."""
     files = spark.read.format("binaryFile").load(path)

@@ -91,10 +91,10 @@ def pair_rows(lines: DataFrame, value: str = "value") -> DataFrame:
 
 
 def number_pairs(lines: DataFrame, names: tuple[str, str], value: str = "value") -> DataFrame:
-    """name and number of two-column lines; rows whose second field is no number are left out."""
+    """name and number of two-column lines, after all other columns; rows whose second field is no number are left out."""
     parts = F.split(F.col(value), "\t", 2)
     number = F.trim(F.get(parts, F.lit(1))).try_cast("double")
-    return lines.select(F.get(parts, F.lit(0)).alias(names[0]), number.alias(names[1])).where(F.col(names[1]).isNotNull())
+    return lines.select(*[c for c in lines.columns if c != value], F.get(parts, F.lit(0)).alias(names[0]), number.alias(names[1])).where(F.col(names[1]).isNotNull())
 
 
 def name_list(lines: DataFrame, value: str = "value") -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spanforge.functions.numbers import as_awk, as_r
+from spanforge.operators.fragments import BEDPE
 
 
 def write_lines(df: DataFrame, path: str, line: Column, compress: bool = False, mode: str = "errorifexists", single: bool = False) -> None:
@@ -24,19 +25,31 @@ def write_intervals(df: DataFrame, path: str, **how) -> None:
     write_lines(df, path, tabbed(*[F.col(c) for c in ("chrom", "start", "end", "name", "score", "strand")]), **how)
 
 
+def write_pairs(df: DataFrame, path: str, **how) -> None:
+    """The ten BEDPE columns of pairs."""
+    write_lines(df, path, tabbed(*[F.col(c) for c in BEDPE]), **how)
+
+
 def write_read_depth(df: DataFrame, path: str, **how) -> None:
     """name and depth, numbers as awk prints them."""
     write_lines(df, path, tabbed(F.col("name"), as_awk(F.col("depth"))), **how)
 
 
-def write_corrected(df: DataFrame, path: str, **how) -> None:
-    """The corrected table with its header, numbers as R writes them."""
-    names = ["domain", "coverage", "percent_gc", "k_gc", "corrected_coverage"]
-    body = df.select(F.lit(1).alias("__o"), tabbed(F.col("domain"), *[as_r(F.col(c)) for c in names[1:]]).alias("value"))
-    head = df.sparkSession.range(1).select(F.lit(0).alias("__o"), F.lit("\t".join(n.replace("_", ".") for n in names)).alias("value"))
-    single = how.pop("single", True)
-    rows = head.unionByName(body)
-    write_lines(rows.orderBy("__o") if single else rows, path, F.col("value"), single=single, **how)
+CORRECTED = ["domain", "coverage", "percent_gc", "k_gc", "corrected_coverage"]
+
+
+def corrected_line() -> Column:
+    """A line of the corrected table, numbers as R writes them."""
+    return tabbed(F.col("domain"), *[as_r(F.col(c)) for c in CORRECTED[1:]])
+
+
+def write_corrected(df: DataFrame, path: str, order: list[str] = (), **how) -> None:
+    """The corrected table in the given order, its header in the first part: parts follow each other like their rows."""
+    keys = [F.col(c).alias(f"__{i}") for i, c in enumerate(order)]
+    body = df.select(F.lit(1).alias("__o"), *keys, corrected_line().alias("value"))
+    head = df.sparkSession.range(1).select(F.lit(0).alias("__o"), F.lit("\t".join(n.replace("_", ".") for n in CORRECTED)).alias("value"))
+    rows = body.unionByName(head, allowMissingColumns=True).orderBy("__o", *[f"__{i}" for i in range(len(keys))])
+    write_lines(rows, path, F.col("value"), **how)
 
 
 def write_fasta(df: DataFrame, path: str, with_place: bool = False, **how) -> None:

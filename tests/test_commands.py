@@ -78,7 +78,9 @@ def test_trimming_and_reports(spark, tmp_path, capsys):
     write(tmp_path / "t.txt", "fastq/s/f\ttotal\t8\nfastq/s/f\tdiscarded\t2\n")
     bed = write(tmp_path / "s_sorted.bed", "c\t1\t2\ta\nc\t1\t2\ta\nc\t3\t4\tb\n")
     assert main(["align-report", "-b", bed, "--sample", "s", "--report", str(tmp_path / "report")], spark) == 0
-    assert main(["qc-report", "--trim-stats", str(tmp_path / "t.txt"), "--align-report", str(tmp_path / "report")], spark) == 0
+    assert main(["qc-report", "--trim-stats", str(tmp_path / "t.txt"), "--align-report", str(tmp_path / "report"), "-o", str(tmp_path / "qc")], spark) == 0
+    written = spark.read.option("sep", "\t").option("header", True).csv(str(tmp_path / "qc")).collect()
+    assert [(r["sample"], r.percent_filtered, r.aligned) for r in written] == [("s", "0.25", "2")]
     said = capsys.readouterr().out
     assert "0.25" in said and math.isclose(2 / 8, 0.25)
 
@@ -89,7 +91,8 @@ def test_selection_and_settings(spark, tmp_path, capsys):
 
     index = write(tmp_path / "i.tsv", "\n".join(["\t".join(["FASTQ_FILE", *["h"] * 25]), row("a", "SC", 5), row("a", "SC", 9), row("b", "SC", 7), row("c", "SC", 8)]) + "\n")
     failed, liked = write(tmp_path / "failed", "c\n"), write(tmp_path / "liked", "b\n")
-    assert main(["select-samples", "--index", index, "--failed", failed, "--of-interest", liked, "--centres", "SC", "--quota", "2"], spark) == 0
+    assert main(["select-samples", "--index", index, "--failed", failed, "--of-interest", liked, "--centres", "SC", "--quota", "2", "-o", str(tmp_path / "chosen")], spark) == 0
+    assert [t[0] for t in table(spark, str(tmp_path / "chosen"))[1:]] == ["b", "a"]
     lines = [x for x in capsys.readouterr().out.splitlines() if "|P" in x]
     assert [x.split("|")[1].strip() for x in lines] == ["b", "a"]
     assert main(["init", "--output", str(tmp_path / "p.toml")], spark) == 0
@@ -98,3 +101,34 @@ def test_selection_and_settings(spark, tmp_path, capsys):
     assert load_project(str(tmp_path / "p.toml")).options.min_length == 80
     with pytest.raises(FileExistsError):
         main(["init", "--output", str(tmp_path / "p.toml")], spark)
+
+
+def test_last_of_a_name_and_order_of_rows(spark, tmp_path, domains):
+    """A name that comes twice in the composition table has its last value; rows keep the order of the depth file."""
+    rows, _ = domains
+    names = [n for _, _, _, n in rows][::-1]
+    depth = write(tmp_path / "d_read_depth.bed", "".join(f"{n}\t{1 + k % 5}\n" for k, n in enumerate(names)))
+    gc = write(tmp_path / "gc.txt", "".join(f"{n}\t0.9\n" for n in names) + "".join(f"{n}\t{0.22 + 0.01 * (i % 45):.2f}\n" for i, n in enumerate(names)))
+    assert main(["gc-correct", depth, gc], spark) == 0
+    result = table(spark, str(tmp_path / "d_gc_correct.txt"))[1:]
+    assert [r[0] for r in result] == names and [r[2] for r in result][:3] == ["0.22", "0.23", "0.24"]
+
+
+def test_run_of_a_project(spark, tmp_path, domains):
+    """Two samples that work, one without a proper pair and one that is not there."""
+    rows, bed = domains
+    folder = tmp_path / "alignments"
+    folder.mkdir()
+    for name, pairs in (("a", 5), ("b_sorted", 7), ("unlisted", 5)):
+        write(folder / f"{name}.sam", sam(rows, pairs))
+    write(folder / "lone.sam", "r\t0\tchr1\t1\t60\t9M\t*\t0\t0\t*\t*\n")
+    gc = write(tmp_path / "gc.txt", "".join(f"{n}\t{0.22 + 0.01 * (i % 45):.3f}\n" for i, (_, _, _, n) in enumerate(rows)))
+    settings = f'samples = ["a", "b", "lone", "absent"]\n[reference]\ndomains = "{bed}"\ngc_table = "{gc}"\n[paths]\n'
+    settings += "".join(f'{k} = "{tmp_path / k}"\n' for k in ("alignments", "results", "logs"))
+    assert main(["run", write(tmp_path / "p.toml", settings)], spark) == 0
+    status = [tuple(r) for r in spark.read.option("sep", "\t").option("header", True).csv(str(tmp_path / "logs" / "status")).collect()]
+    assert status == [("a", "done", "50"), ("absent", "coverage", "0"), ("b", "done", "50"), ("lone", "coverage", "0")]
+    one = str(tmp_path / "one")
+    assert main(["coverage", "-r", bed, "-b", str(folder / "b_sorted.sam"), "-o", one], spark) == 0
+    assert sorted(table(spark, str(tmp_path / "results" / "read_depth" / "sample=b"))) == sorted(table(spark, one))
+    assert len(table(spark, str(tmp_path / "results" / "corrected" / "sample=a"))) == 50

@@ -82,7 +82,7 @@ def test_bam_and_sam(spark, rows, tmp_path):
         for n, f, r, at, q, c in RECORDS
     )
     got = alignments.sam_alignments(spark, text(tmp_path / "x.sam", sam))
-    assert rows(got.drop("ord")) == sorted(EXPECTED, key=repr)
+    assert rows(got.drop("file", "ord")) == sorted(EXPECTED, key=repr)
     (tmp_path / "lost.bam").write_bytes(bam([("r", 0, -1, -1, 0, [])]))
     with pytest.raises(Exception, match="without a reference"):
         alignments.bam_alignments(spark, str(tmp_path / "lost.bam")).collect()
@@ -144,6 +144,35 @@ def test_sequences(spark, rows, tmp_path):
     assert len(INDEX_COLUMNS) == 26
 
 
+@pytest.mark.parametrize("block", [3, 1 << 16])
+def test_contigs_from_their_lines(spark, rows, tmp_path, monkeypatch, block):
+    import random
+
+    from spanforge.operators.gc import contig_chunks, region_sequences
+
+    monkeypatch.setattr(sequences, "BLOCK_LINES", block)
+    draw = random.Random(4)
+    contigs = {f"c{k}": "".join(draw.choice("ACGTn") for _ in range(n)) for k, n in enumerate((0, 1, 59, 60, 61, 437))}
+    lines_of = lambda s: [s[i : i + 20] for i in range(0, len(s), 20)]
+    content = "lost\n" + "".join(f">{n} more\n" + "".join(x + "\n" for x in lines_of(s)) for n, s in contigs.items())
+    fasta = text(tmp_path / "g.fa", content)
+    got = sequences.fasta_lines(spark, fasta)
+    assert rows(got.where("seq <> ''"), "name", "start", "seq") == sorted([(n, 20 * k, x) for n, s in contigs.items() for k, x in enumerate(lines_of(s))], key=repr)
+    assert {r.name for r in got.collect()} == set(contigs)
+    whole = spark.createDataFrame(list(contigs.items()), "contig string, seq string")
+    for size in (7, 64, 1 << 16):
+        assert rows(sequences.fasta_chunks(spark, fasta, size)) == rows(contig_chunks(whole, size))
+    regions = spark.createDataFrame([(f"r{i}", f"c{draw.randrange(7)}", a, a + draw.randrange(1, 90)) for i in range(60) for a in [draw.randrange(0, 430)]], "name string, chrom string, start long, end long")
+    at, index = len("lost\n"), []
+    for n, s in contigs.items():
+        at += len(f">{n} more\n")
+        index.append(f"{n}\t{len(s)}\t{at}\t20\t21\n")
+        at += len(s) + len(lines_of(s))
+    fai = sequences.fasta_index(spark, text(tmp_path / "g.fa.fai", "".join(index)))
+    expected = [r for r in rows(region_sequences(regions, contig_chunks(whole, 64), 64)) if r[-1]]  # a region past the end has no row here
+    assert rows(sequences.indexed_sequences(regions, fai, fasta)) == expected and len(expected) > 10
+
+
 def test_files(spark, rows, tmp_path):
     d = tmp_path / "d"
     d.mkdir()
@@ -153,6 +182,8 @@ def test_files(spark, rows, tmp_path):
     digest = files.digests(spark, a).first()
     assert (digest.bytes, digest.lines, digest.sha256) == (4, 2, hashlib.sha256(b"x\ny\n").hexdigest())
     expected = spark.createDataFrame([("ftp://h/a.bed", hashlib.md5(b"x\ny\n").hexdigest().upper()), ("ftp://h/b.bed.gz", "0"), ("ftp://h/c", "0")], "file string, md5 string")
+    found = rows(files.line_counts(lines.text_lines(spark, str(d)), expected), "file", "lines")
+    assert found == [("ftp://h/a.bed", 2), ("ftp://h/b.bed.gz", 1), ("ftp://h/c", None)]
     assert rows(files.verified(files.digests(spark, str(d)), expected), "state") == [("absent",), ("differs",), ("ok",)]
 
 
@@ -166,6 +197,9 @@ def test_sinks(spark, rows, tmp_path):
     bed = spark.createDataFrame([("c", 1, 2, "n", 3, "+")], "chrom string, start long, end long, name string, score int, strand string")
     sinks.write_intervals(bed, str(tmp_path / "b"))
     assert rows(spark.read.text(str(tmp_path / "b"))) == [("c\t1\t2\tn\t3\t+",)]
+    pairs = spark.createDataFrame([("c", 1, 2, "d", 3, 4, "n", 5, "+", "-")], "chrom1 string, start1 long, end1 long, chrom2 string, start2 long, end2 long, name string, score int, strand1 string, strand2 string")
+    sinks.write_pairs(pairs, str(tmp_path / "p"))
+    assert rows(spark.read.text(str(tmp_path / "p"))) == [("c\t1\t2\td\t3\t4\tn\t5\t+\t-",)]
     fasta = spark.createDataFrame([("n", "c", 1, 3, "AC")], "name string, chrom string, start long, end long, seq string")
     sinks.write_fasta(fasta, str(tmp_path / "f"), with_place=True)
     assert rows(sequences.fasta_records(spark, str(tmp_path / "f"))) == [("n::c:1-3", "AC")]
