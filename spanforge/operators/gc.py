@@ -118,9 +118,9 @@ def factor_for(percent_gc: Column) -> Column:
 
 
 def powered(coverage: Column, k: Column) -> Column:
-    """exp(k ln(coverage)), with what that gives in floating point where the coverage is 0 or negative."""
+    """exp(k ln(coverage)), with what that gives in floating point where the coverage is 0 or negative; null without a k."""
     zero = F.when(k > 0, F.lit(0.0)).when(k < 0, F.lit(float("inf"))).otherwise(F.lit(float("nan")))
-    return F.when(coverage == 0, zero).when(coverage < 0, F.lit(float("nan"))).otherwise(F.exp(F.ln(coverage) * k))
+    return F.when(k.isNull(), F.lit(None).cast("double")).when(coverage == 0, zero).when(coverage < 0, F.lit(float("nan"))).otherwise(F.exp(F.ln(coverage) * k))
 
 
 def corrected_depth(depth: DataFrame, gc: DataFrame, by: str = "sample", check: bool = False, strict: bool = True, keep: list[str] = ()) -> DataFrame:

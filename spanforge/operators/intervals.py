@@ -8,8 +8,8 @@ from pyspark.sql.window import Window as W
 
 from spanforge.checkpoints import cut
 
-#: Default width of the position bins of the overlap join; two to four times a typical interval is best.
-BIN = 1000
+#: Width of the position bins of the overlap join, in mean lengths of the intervals of its first side.
+BIN_LENGTHS = 4
 
 
 def overlap_length(a_start: Column, a_end: Column, b_start: Column, b_end: Column) -> Column:
@@ -18,11 +18,27 @@ def overlap_length(a_start: Column, a_end: Column, b_start: Column, b_end: Colum
     return F.when(b_start.isNull() | a_start.isNull(), F.lit(0).cast("long")).otherwise(F.greatest(shared, F.lit(0).cast("long")))
 
 
-def _binned(df: DataFrame, start: str, end: str, width: int) -> DataFrame:
+def _sound(start: str, end: str) -> Column:
+    """Not empty, not reversed, and with both bounds."""
+    return F.col(start).isNotNull() & F.col(end).isNotNull() & (F.col(start) < F.col(end))
+
+
+def bin_width(df: DataFrame, start: str = "start", end: str = "end") -> DataFrame:
+    """One row, __width: bins so wide that the intervals of df touch a quarter more bins than there are intervals.
+
+    The mean decides, so a few intervals of any length add no more than that
+    quarter.  Those of the other side that touch many bins are as long as many
+    intervals of df.
+    """
+    mean = F.avg(F.when(_sound(start, end), F.col(end) - F.col(start)))
+    return df.agg(F.coalesce(F.ceil(BIN_LENGTHS * mean), F.lit(1)).cast("long").alias("__width"))
+
+
+def _binned(df: DataFrame, start: str, end: str, width: DataFrame) -> DataFrame:
     """One row for each bin that an interval touches; empty and reversed intervals and null bounds touch none."""
-    first, last = F.expr(f"`{start}` div {width}"), F.expr(f"(`{end}` - 1) div {width}")
-    sound = df.where(F.col(start).isNotNull() & F.col(end).isNotNull() & (F.col(start) < F.col(end)))
-    return sound.withColumn("__first", first).withColumn("__bin", F.explode(F.sequence(first, last)))
+    first, last = F.expr(f"`{start}` div __width"), F.expr(f"(`{end}` - 1) div __width")
+    sound = df.where(_sound(start, end)).crossJoin(F.broadcast(width))
+    return sound.withColumn("__first", first).withColumn("__bin", F.explode(F.sequence(first, last))).drop("__width")
 
 
 def _renamed(df: DataFrame, prefix: str) -> DataFrame:
@@ -30,17 +46,20 @@ def _renamed(df: DataFrame, prefix: str) -> DataFrame:
 
 
 def overlap_inner(
-    a: DataFrame, b: DataFrame, chrom: str = "chrom", start: str = "start", end: str = "end", width: int = BIN, prefixes: tuple[str, str] = ("a_", "b_")
+    a: DataFrame, b: DataFrame, chrom: str = "chrom", start: str = "start", end: str = "end", width: int | None = None, prefixes: tuple[str, str] = ("a_", "b_")
 ) -> DataFrame:
     """Pairs of overlapping intervals: all columns of both with a prefix, and `overlap`.
 
     Equi-join on chromosome and position bin, so a chromosome that holds a third
     of all rows is spread over its bins and skewed bins can be split at run
     time.  A pair is kept only in the later of the two first bins, hence once.
+    The width of the bins follows from the intervals of `a` (see bin_width)
+    unless one is given.
     """
     pa_, pb = prefixes
-    x = _binned(_renamed(a, pa_), pa_ + start, pa_ + end, width).withColumnRenamed("__first", "__a_first")
-    y = _binned(_renamed(b, pb), pb + start, pb + end, width).withColumnRenamed("__first", "__b_first").withColumnRenamed("__bin", "__b_bin")
+    wide = bin_width(a, start, end) if width is None else a.sparkSession.range(1).select(F.lit(width).cast("long").alias("__width"))
+    x = _binned(_renamed(a, pa_), pa_ + start, pa_ + end, wide).withColumnRenamed("__first", "__a_first")
+    y = _binned(_renamed(b, pb), pb + start, pb + end, wide).withColumnRenamed("__first", "__b_first").withColumnRenamed("__bin", "__b_bin")
     met = x.join(y, (F.col(pa_ + chrom) == F.col(pb + chrom)) & (F.col("__bin") == F.col("__b_bin")))
     length = overlap_length(F.col(pa_ + start), F.col(pa_ + end), F.col(pb + start), F.col(pb + end))
     met = met.where(F.col("__bin") == F.greatest("__a_first", "__b_first")).withColumn("overlap", length).where("overlap > 0")
@@ -48,7 +67,7 @@ def overlap_inner(
 
 
 def overlap_left(
-    a: DataFrame, b: DataFrame, chrom: str = "chrom", start: str = "start", end: str = "end", width: int = BIN, prefixes: tuple[str, str] = ("a_", "b_")
+    a: DataFrame, b: DataFrame, chrom: str = "chrom", start: str = "start", end: str = "end", width: int | None = None, prefixes: tuple[str, str] = ("a_", "b_")
 ) -> DataFrame:
     """Like overlap_inner, with every interval of `a` that meets none given once with nulls and overlap 0.
 
@@ -64,7 +83,7 @@ def overlap_left(
 
 
 def overlap_sums(
-    a: DataFrame, b: DataFrame, name: str = "name", chrom: str = "chrom", start: str = "start", end: str = "end", width: int = BIN
+    a: DataFrame, b: DataFrame, name: str = "name", chrom: str = "chrom", start: str = "start", end: str = "end", width: int | None = None
 ) -> DataFrame:
     """name, chrom, start, end, overlap_sum for each row of `a`: positions that `b` covers, counted once for each of its rows.
 

@@ -26,7 +26,7 @@ def fragment_intervals(alignments: DataFrame, paired: bool = True, check: bool =
     return fr.fragments(pairs, fr.require_pairs(stats) if check else stats, draw, by)
 
 
-def domain_depth(domains: DataFrame, covering: DataFrame, width: int = iv.BIN) -> DataFrame:
+def domain_depth(domains: DataFrame, covering: DataFrame, width: int | None = None) -> DataFrame:
     """name, depth of each domain: its covered positions over its length plus one.
 
     One row for each domain, uncovered ones with 0.  The interval sort of the
@@ -41,24 +41,23 @@ def domain_depth(domains: DataFrame, covering: DataFrame, width: int = iv.BIN) -
     return merged.select(F.col("key").alias("name"), iv.depth(F.col("value"), F.col("start"), F.col("end")).alias("depth"))
 
 
-def coverage(alignments: DataFrame, domains: DataFrame, paired: bool = True, width: int = iv.BIN, draw: bool = True) -> DataFrame:
+def coverage(alignments: DataFrame, domains: DataFrame, paired: bool = True, width: int | None = None, draw: bool = True) -> DataFrame:
     """name, depth of one sample's alignments over the domains."""
     return domain_depth(domains, fragment_intervals(alignments, paired, draw=draw), width)
 
 
-def cohort_coverage(covering: DataFrame, domains: DataFrame, sample: str = "sample", width: int = iv.BIN, samples: DataFrame | None = None) -> DataFrame:
+def cohort_coverage(covering: DataFrame, domains: DataFrame, sample: str = "sample", width: int | None = None, samples: DataFrame | None = None) -> DataFrame:
     """sample, name, depth of every domain in every sample, for all samples in one job; 0 where a sample does not cover it.
 
     covering: sample, chrom, start, end of fragments.  The sample travels with
-    the fragments, so domains are not repeated for the join.  samples: those to
-    report (by default, all that cover anything anywhere), as zeros of a sample
-    count in its unit like any other depth.  Fragments of no sample are left
+    the fragments, so domains are not repeated for the join.  Zeros of a sample
+    count in its unit like any other depth.  samples: those that have to come
+    out even if they cover nothing anywhere.  Fragments of no sample are left
     out.
     """
     counted = covering.where(F.col(sample).isNotNull()).groupBy(sample, "chrom", "start", "end").agg(F.count("*").alias("__n"))
-    if samples is None:
-        counted = cut(counted)
-        samples = counted
+    counted = cut(counted)
+    samples = counted.select(sample) if samples is None else counted.select(sample).unionByName(samples.select(sample))
     met = iv.overlap_inner(domains.select("name", "chrom", "start", "end"), counted, width=width)
     place = ["name", "start", "end"]
     sums = met.select(F.col(f"b_{sample}").alias(sample), *[F.col(f"a_{c}").alias(c) for c in place], (F.col("overlap") * F.col("b___n")).alias("value"))
@@ -76,7 +75,7 @@ def _in_every_sample(df: DataFrame, samples: DataFrame, sample: str) -> DataFram
     return repeated.join(small_side(numbered), "__no").drop("__no", "__count")
 
 
-def cohort_depth(alignments: DataFrame, domains: DataFrame, sample: str = "sample", paired: bool = True, width: int = iv.BIN, draw: bool = True) -> DataFrame:
+def cohort_depth(alignments: DataFrame, domains: DataFrame, sample: str = "sample", paired: bool = True, width: int | None = None, draw: bool = True) -> DataFrame:
     """sample, name, depth: the whole chain from the alignments of all samples in one job.
 
     A sample without a proper pair has no rows, and no other sample suffers

@@ -312,6 +312,17 @@ def cohort_copy_status(spark: SparkSession, d: str) -> DataFrame:
     return pipeline.cohort_status(table(spark, d, "read_depth").where("sample_name is not null"), depths, copies, "sample_name")
 
 
+_DONE = SQL["cohort_copy_status"]
+
+
+@query(f"select sample_name, 2.0 as middle from ({_DONE}) where status = 'done'")
+def cohort_conserved_copies(spark: SparkSession, d: str) -> DataFrame:
+    """The middle of the conserved domains of each corrected sample is two copies, whatever its curve."""
+    copies = pipeline.copy_numbers(_depths(spark, d), _composition(spark, d), "sample_name")
+    middle = gco.exact_medians(copies.where(gco.conserved(F.col("domain"), False)), "sample_name", "corrected_coverage")
+    return middle.select("sample_name", F.round("median", 9).alias("middle"))
+
+
 @query("""select sample_name, median(corrected_coverage) / 2 as unit from corrected where regexp_matches(domain, 'baseline|uc')
   and corrected_coverage is not null and not isnan(corrected_coverage) and not isinf(corrected_coverage) group by 1""")
 def haploid_median(spark: SparkSession, d: str) -> DataFrame:

@@ -51,7 +51,10 @@ def test_every_domain_has_a_depth(spark, rows):
     reads = spark.createDataFrame([("c", 50, 150, "r"), ("c", 50, 150, "r2"), ("c", 199, 400, "s")], BED)
     assert rows(domain_depth(domains, reads)) == [("a", 1.0), ("b", 100 / 101), ("e", 0.0)]
     cohort = reads.withColumn("sample", F.when(F.col("name") == "s", "two").otherwise("one"))
-    assert rows(cohort_coverage(cohort, domains)) == [("one", "a", 100 / 101), ("two", "a", 1 / 101), ("two", "b", 100 / 101)]
+    expected = [("one", "a", 100 / 101), ("one", "b", 0.0), ("one", "e", 0.0), ("two", "a", 1 / 101), ("two", "b", 100 / 101), ("two", "e", 0.0)]
+    assert rows(cohort_coverage(cohort, domains)) == expected
+    three = cohort_coverage(cohort, domains, samples=spark.createDataFrame([("one",), ("none",), (None,)], "sample string"))
+    assert rows(three) == sorted([*expected, ("none", "a", 0.0), ("none", "b", 0.0), ("none", "e", 0.0)], key=repr)
 
 
 MERGE = "key string, start long, end long, value long"
@@ -81,3 +84,16 @@ def test_total_order(spark):
     assert got == [("A", 1, "x"), ("a", 1, "x"), ("chr10", 9, "c"), ("chr10", 9, "d"), ("chr10", 50, "b"), ("chr2", 5, "a")]
     texts = spark.createDataFrame([("10",), ("9",), ("x",), ("-1.5",), (None,)], "t string")
     assert [r[0] for r in texts.orderBy(iv.text_number(F.col("t")), "t").collect()] == ["-1.5", None, "x", "9", "10"]
+
+
+def test_width_of_the_bins_follows_the_lengths(spark, rows):
+    """Intervals of millions of positions touch as few bins as short ones do; a few long ones among short ones stay bounded."""
+    make = lambda data: spark.createDataFrame(data, "start long, end long")
+    long = [(k * 10**6, k * 10**6 + 2 * 10**6) for k in range(50)]
+    for data in (long, [(k, k + 3) for k in range(5000)] + long[:3], [(5, 5), (None, 3), (9, 2)], []):
+        width = iv.bin_width(make(data)).first()[0]
+        bins = sum((e - 1) // width - s // width + 1 for s, e in data if s is not None and s < e)
+        assert bins <= 1.3 * len(data) + 1
+    a = spark.createDataFrame([(f"a{k}", "c", *x) for k, x in enumerate([*long, (3, 9), (10**6 + 5, 10**6 + 9)])], "name string, chrom string, start long, end long")
+    got = iv.overlap_inner(a, a)
+    assert rows(got, "a_name", "b_name", "overlap") == rows(iv.overlap_inner(a, a, width=1000), "a_name", "b_name", "overlap") and got.count() > 100
