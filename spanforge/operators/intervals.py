@@ -9,7 +9,7 @@ from pyspark.sql.window import Window as W
 from spanforge.checkpoints import cut
 
 #: Width of the position bins of the overlap join, in mean lengths of the intervals of its first side.
-BIN_LENGTHS = 4
+BIN_LENGTHS = 1
 
 
 def overlap_length(a_start: Column, a_end: Column, b_start: Column, b_end: Column) -> Column:
@@ -24,11 +24,11 @@ def _sound(start: str, end: str) -> Column:
 
 
 def bin_width(df: DataFrame, start: str = "start", end: str = "end") -> DataFrame:
-    """One row, __width: bins so wide that the intervals of df touch a quarter more bins than there are intervals.
+    """One row, __width: bins so wide that the intervals of df touch two of them on average, or somewhat less.
 
-    The mean decides, so a few intervals of any length add no more than that
-    quarter.  Those of the other side that touch many bins are as long as many
-    intervals of df.
+    The mean decides, so a few intervals of any length are no exception to
+    that.  Those of the other side that touch many bins are as long as many
+    intervals of df.  Wider bins would make more pairs meet that do not overlap.
     """
     mean = F.avg(F.when(_sound(start, end), F.col(end) - F.col(start)))
     return df.agg(F.coalesce(F.ceil(BIN_LENGTHS * mean), F.lit(1)).cast("long").alias("__width"))

@@ -49,35 +49,43 @@ def block_width(df: DataFrame, low: str, high: str) -> DataFrame:
     return sums.select(F.coalesce(F.greatest(*parts, F.lit(1)), F.lit(1)).cast("long").alias("__width"))
 
 
-def _running(df: DataFrame, entity: list[str], position: str, amount: Column, width: DataFrame) -> DataFrame:
-    """entity, position, before, upto, whole: sums of an amount over the rows of an entity before each position, with it, and over all.
+def _running(df: DataFrame, entity: list[str], position: str, amounts: dict[str, Column], width: DataFrame) -> DataFrame:
+    """entity, position and, of each amount, x_before, x_upto, x_whole: its sums over the rows of an entity before each position, with it, and over all.
 
     The sums per block come from the sums per position, not from the rows.
     """
-    counted = df.groupBy(*entity, F.col(position).alias("__at")).agg(F.sum(amount).alias("__n")).crossJoin(F.broadcast(width))
+    counted = df.groupBy(*entity, F.col(position).alias("__at")).agg(*[F.sum(v).alias(f"__n_{x}") for x, v in amounts.items()]).crossJoin(F.broadcast(width))
     counted = counted.withColumn("__block", F.floor(F.col("__at") / F.col("__width")).cast("long")).drop("__width")
-    blocks = counted.groupBy(*entity, "__block").agg(F.sum("__n").alias("__m"))
-    every = W.partitionBy(*entity)
+    blocks = counted.groupBy(*entity, "__block").agg(*[F.sum(f"__n_{x}").alias(f"__m_{x}") for x in amounts])
+    every, inside = W.partitionBy(*entity), W.partitionBy(*entity, "__block").orderBy("__at").rowsBetween(W.unboundedPreceding, 0)
+    earlier = every.orderBy("__block").rowsBetween(W.unboundedPreceding, -1)
     before = blocks.select(
-        *entity, "__block", F.sum("__m").over(every).alias("whole"),
-        F.coalesce(F.sum("__m").over(every.orderBy("__block").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("__before"),
-    )
-    within = F.sum("__n").over(W.partitionBy(*entity, "__block").orderBy("__at").rowsBetween(W.unboundedPreceding, 0))
-    return counted.withColumn("__sum", within).join(before, [*entity, "__block"]).select(
-        *entity, F.col("__at").alias(position), (F.col("__before") + F.col("__sum") - F.col("__n")).alias("before"),
-        (F.col("__before") + F.col("__sum")).alias("upto"), "whole",
+        *entity, "__block", *[F.sum(f"__m_{x}").over(every).alias(f"{x}_whole") for x in amounts],
+        *[F.coalesce(F.sum(f"__m_{x}").over(earlier), F.lit(0)).alias(f"__b_{x}") for x in amounts],
     )
+    summed = counted.select("*", *[F.sum(f"__n_{x}").over(inside).alias(f"__s_{x}") for x in amounts]).join(before, [*entity, "__block"])
+    upto = {x: F.col(f"__b_{x}") + F.col(f"__s_{x}") for x in amounts}
+    sums = [c for x in amounts for c in ((upto[x] - F.col(f"__n_{x}")).alias(f"{x}_before"), upto[x].alias(f"{x}_upto"), F.col(f"{x}_whole"))]
+    return summed.select(*entity, F.col("__at").alias(position), *sums)
+
 
+def _met(df: DataFrame, entity: list[str], start: str, end: str, value: str | None = None) -> DataFrame:
+    """entity, rank, whole, gap_start, gap_end: the end of each rank and the start of the next, where positions change there.
 
-def _met(df: DataFrame, entity: list[str], start: str, end: str) -> DataFrame:
-    """entity, rank, whole, gap_start, gap_end: the end of each rank and the start of the next, where positions change there."""
+    value: also `low`, what the intervals that begin before gap_end add up to,
+    and `all`, what those of the entity do.
+    """
     rows = usable_intervals(df, entity, start, end)
-    kinds = F.array(F.struct(F.lit(0).alias("__kind"), F.col(start).alias("__place")), F.struct(F.lit(1).alias("__kind"), F.col(end).alias("__place")))
-    points = rows.select(*entity, F.explode(kinds).alias("x")).select(*entity, "x.__kind", "x.__place")
-    ranked = _running(points, [*entity, "__kind"], "__place", F.lit(1).cast("long"), block_width(rows, start, end))
+    amount = F.coalesce(F.col(value), F.lit(0)) if value else F.lit(0)
+    begins = F.struct(F.lit(0).alias("__kind"), F.col(start).alias("__place"), amount.alias("__amount"))
+    ends = F.struct(F.lit(1).alias("__kind"), F.col(end).alias("__place"), (amount * 0).alias("__amount"))
+    points = rows.select(*entity, F.explode(F.array(begins, ends)).alias("x")).select(*entity, "x.__kind", "x.__place", "x.__amount")
+    amounts = {"n": F.lit(1).cast("long")} | ({"v": F.col("__amount")} if value else {})
+    ranked = _running(points, [*entity, "__kind"], "__place", amounts, block_width(rows, start, end))
     is_end = F.col("__kind") == 1
-    return ranked.groupBy(*entity, F.when(is_end, F.col("upto")).otherwise(F.col("before")).alias("rank")).agg(
-        F.max("whole").alias("whole"), F.max(F.when(is_end, F.col("__place"))).alias("gap_start"), F.max(F.when(~is_end, F.col("__place"))).alias("gap_end")
+    more = [F.max(F.when(~is_end, F.col("v_before"))).alias("low"), F.max(F.when(~is_end, F.col("v_whole"))).alias("all")] if value else []
+    return ranked.groupBy(*entity, F.when(is_end, F.col("n_upto")).otherwise(F.col("n_before")).alias("rank")).agg(
+        F.max("n_whole").alias("whole"), F.max(F.when(is_end, F.col("__place"))).alias("gap_start"), F.max(F.when(~is_end, F.col("__place"))).alias("gap_end"), *more
     )
 
 
@@ -91,21 +99,29 @@ def gaps(df: DataFrame, entity: list[str], start: str, end: str) -> DataFrame:
     return _met(df, entity, start, end).where("gap_end > gap_start").select(*entity, "gap_start", "gap_end")
 
 
-def _paired_bounds(df: DataFrame, entity: list[str], start: str, end: str) -> DataFrame:
-    """entity, place (from 1), stretch_start, stretch_end.
+def _paired_bounds(df: DataFrame, entity: list[str], start: str, end: str, value: str | None = None) -> DataFrame:
+    """entity, stretch_start, stretch_end and, with a value, low, high, all.
 
     A bound is a gap or lies before the first or behind the last rank; bounds,
-    used twice, are written to the checkpoint folder.
+    used twice, are written to the checkpoint folder.  Each opens the stretch
+    of its place and closes the one before.
     """
-    bounds = cut(_met(df, entity, start, end).where("gap_end > gap_start or rank = 0 or rank = whole").select(*entity, "rank", "gap_start", "gap_end"))
-    placed = _running(bounds, entity, "rank", F.lit(1).cast("long"), block_width(bounds, "rank", "rank")).select(*entity, "rank", F.col("upto").alias("place"))
-    none = F.lit(None).cast(bounds.schema["gap_end"].dataType)
-    sides = F.array(
-        F.struct(F.col("place").alias("place"), F.col("gap_end").alias("opens"), none.alias("closes")),
-        F.struct((F.col("place") - 1).alias("place"), none.alias("opens"), F.col("gap_start").alias("closes")),
-    )
+    sums = ["low", "all"] if value else []
+    bounds = _met(df, entity, start, end, value).where("gap_end > gap_start or rank = 0 or rank = whole")
+    bounds = cut(bounds.select(*entity, "rank", "gap_start", "gap_end", *sums))
+    ranks = block_width(bounds, "rank", "rank")
+    placed = _running(bounds, entity, "rank", {"n": F.lit(1).cast("long")}, ranks).select(*entity, "rank", F.col("n_upto").alias("place"))
+    none = {c: F.lit(None).cast(bounds.schema[c].dataType) for c in ("gap_end", *sums)}
+    opening = [F.col("gap_end").alias("opens"), none["gap_end"].alias("closes")]
+    closing = [none["gap_end"].alias("opens"), F.col("gap_start").alias("closes")]
+    if value:
+        opening += [F.col("low").alias("low"), none["low"].alias("high"), F.col("all").alias("all")]
+        closing += [none["low"].alias("low"), F.col("low").alias("high"), none["all"].alias("all")]
+    sides = F.array(F.struct(F.col("place").alias("place"), *opening), F.struct((F.col("place") - 1).alias("place"), *closing))
     parts = bounds.join(placed, [*entity, "rank"]).select(*entity, F.explode(sides).alias("x")).where("coalesce(x.opens, x.closes) is not null")
-    return parts.groupBy(*entity, F.col("x.place").alias("place")).agg(F.max("x.opens").alias("stretch_start"), F.max("x.closes").alias("stretch_end"))
+    return parts.groupBy(*entity, F.col("x.place").alias("place")).agg(
+        F.max("x.opens").alias("stretch_start"), F.max("x.closes").alias("stretch_end"), *[F.max(f"x.{c}").alias(c) for c in ("low", "high", "all") if value]
+    ).drop("place")
 
 
 def stretches(df: DataFrame, entity: list[str], start: str, end: str) -> DataFrame:
@@ -114,7 +130,7 @@ def stretches(df: DataFrame, entity: list[str], start: str, end: str) -> DataFra
     Boundaries are the gaps' ends and the outermost positions; the i-th opening
     boundary is paired with the i-th closing one, by places built like the ranks.
     """
-    return _paired_bounds(df, entity, start, end).drop("place")
+    return _paired_bounds(df, entity, start, end)
 
 
 def stretch_sums(df: DataFrame, entity: list[str], start: str, end: str, value: str) -> DataFrame:
@@ -122,15 +138,8 @@ def stretch_sums(df: DataFrame, entity: list[str], start: str, end: str, value:
 
     Gives what operators.intervals.merge_sum gives for intervals that are not
     empty, for keys that may hold a large share of all rows.  Running sums of
-    the values are built like the ranks; a stretch holds what was added between
+    the values are built with the ranks; a stretch holds what was added between
     its start and the next one's.  Null values count as none.
     """
-    rows = usable_intervals(df, entity, start, end)
-    bounds = _paired_bounds(df, entity, start, end)
-    amount = F.coalesce(F.col(value), F.lit(0))
-    sums = _running(rows, entity, start, amount, block_width(rows, start, start)).select(*entity, F.col(start).alias("stretch_start"), F.col("before").alias("__low"), "whole")
-    opened = cut(bounds.join(sums, [*entity, "stretch_start"]))
-    following = opened.select(*entity, (F.col("place") - 1).alias("place"), F.col("__low").alias("__high"))
-    return opened.join(following, [*entity, "place"], "left").select(
-        *entity, "stretch_start", "stretch_end", (F.coalesce("__high", "whole") - F.col("__low")).alias(value)
-    )
+    bounds = _paired_bounds(df, entity, start, end, value)
+    return bounds.select(*entity, "stretch_start", "stretch_end", (F.coalesce("high", "all") - F.col("low")).alias(value))
