@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spanforge.checkpoints import cut
 from spanforge.functions import names as nm
 from spanforge.functions.numbers import as_awk
 from spanforge.functions.rounding import round_r
