@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window as W
 
-from spanforge.checkpoints import cut
+from spanforge.checkpoints import cut, small_side
 from spanforge.llm.pretokenize import Slices, long_parts, text_blocks
 from spanforge.llm.vocabulary import DEFAULT_FOLDER, vocabulary
 
@@ -144,9 +144,10 @@ def pack(counts: DataFrame, sizes: DataFrame, item: str = "doc_id") -> DataFrame
     """
     spark = counts.sparkSession
     small = sizes.select("size_id", "tokenizer", F.col("capacity_tokens").cast("int").alias("__cap")).where("__cap > 0").distinct()
+    small = small_side(small)
     rows = cut(counts.select(F.col(f"`{item}`").alias("__item"), "tokenizer", "tokens", F.monotonically_increasing_id().alias("__row")))
     salts = max(8, rows.count() // ROWS_PER_SALT + 1)
-    each = rows.join(F.broadcast(small), "tokenizer")
+    each = rows.join(small, "tokenizer")
 
     whole = (
         each.where(F.col("tokens") >= F.col("__cap"))
@@ -216,6 +217,6 @@ def fill_report(packed: DataFrame, sizes: DataFrame) -> DataFrame:
     capacity = sizes.select("size_id", F.col("capacity_tokens").cast("long").alias("capacity_tokens"))
     return (
         by.groupBy("size_id").agg(F.sum("n").alias("pieces"), F.count("*").alias("containers"), F.sum("t").alias("tokens"))
-        .join(F.broadcast(capacity), "size_id")
+        .join(small_side(capacity), "size_id")
         .select("size_id", "pieces", "containers", "tokens", (F.col("containers") * F.col("capacity_tokens") - F.col("tokens")).alias("unused"))
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spanforge.checkpoints import cut
+from spanforge.checkpoints import cut, small_side
 from spanforge.llm import encode, lookalike, packing, sampling
 from spanforge.tables import table
 
@@ -64,7 +64,7 @@ def p7_check(spark: SparkSession, d: str) -> DataFrame:
     """For each container size: documents packed; containers over capacity, documents divided without need or not whole; and whether
     at most one container is no more than half full, as best fit leaves them."""
     capacity = table(spark, d, "container_size").select("size_id", F.col("capacity_tokens").cast("long").alias("capacity"))
-    packed = cut(p7_packing(spark, d)).join(F.broadcast(capacity), "size_id")  # a parameter table of a few rows
+    packed = cut(p7_packing(spark, d)).join(small_side(capacity), "size_id")
     tokens, end = F.sum("piece_tokens"), F.max(F.col("first_token") + F.col("piece_tokens"))
     docs = packed.groupBy("size_id", "capacity", "doc_id").agg(tokens.alias("t"), end.alias("e"), F.count("*").alias("n"))
     docs = docs.groupBy("size_id").agg(
