@@ -12,6 +12,9 @@ from spanforge.operators import intervals as iv
 from spanforge.operators.gc import corrected_depth
 from spanforge.operators.pairing import mate_pairs, single_intervals
 
+#: Most rows that one task gives, on average, where each of its rows is repeated many times.
+TASK_ROWS = 4_000_000
+
 
 def fragment_intervals(alignments: DataFrame, paired: bool = True, check: bool = False, draw: bool = True, by: list[str] = ()) -> DataFrame:
     """by and BED6 of what each read or pair covers. check: fail at once where no pair is proper.
@@ -50,29 +53,45 @@ def cohort_coverage(covering: DataFrame, domains: DataFrame, sample: str = "samp
     """sample, name, depth of every domain in every sample, for all samples in one job; 0 where a sample does not cover it.
 
     covering: sample, chrom, start, end of fragments.  The sample travels with
-    the fragments, so domains are not repeated for the join.  Zeros of a sample
+    the fragments as a number, so domains are not repeated for the join.  Zeros of a sample
     count in its unit like any other depth.  samples: those that have to come
     out even if they cover nothing anywhere.  Fragments of no sample are left
     out.
     """
     counted = covering.where(F.col(sample).isNotNull()).groupBy(sample, "chrom", "start", "end").agg(F.count("*").alias("__n"))
     counted = cut(counted)
-    samples = counted.select(sample) if samples is None else counted.select(sample).unionByName(samples.select(sample))
-    met = iv.overlap_inner(domains.select("name", "chrom", "start", "end"), counted, width=width)
+    names = counted.select(sample) if samples is None else counted.select(sample).unionByName(samples.select(sample))
+    numbers = _numbered(names, sample)
+    placed = counted.join(numbers, sample).select("__no", "chrom", "start", "end", "__n")
+    met = iv.overlap_inner(domains.select("name", "chrom", "start", "end"), placed, width=width)
     place = ["name", "start", "end"]
-    sums = met.select(F.col(f"b_{sample}").alias(sample), *[F.col(f"a_{c}").alias(c) for c in place], (F.col("overlap") * F.col("b___n")).alias("value"))
-    every = _in_every_sample(domains.select(*place), samples, sample).withColumn("value", F.lit(0).cast("long"))
-    total = sums.unionByName(every).groupBy(sample, *place).agg(F.sum("value").alias("value"))
-    return total.select(sample, "name", iv.depth(F.col("value"), F.col("start"), F.col("end")).alias("depth"))
-
-
-def _in_every_sample(df: DataFrame, samples: DataFrame, sample: str) -> DataFrame:
-    """Each row of df once for each sample. Samples are numbered, a list of names sorted in one task, and joined by number."""
-    names = samples.select(sample).where(F.col(sample).isNotNull()).distinct()
-    numbered = cut(names.withColumn("__no", F.row_number().over(W.orderBy(sample))))
-    count = numbered.agg(F.count("*").cast("int").alias("__count"))
-    repeated = df.crossJoin(F.broadcast(count)).where("__count > 0").withColumn("__no", F.explode(F.expr("sequence(1, __count)")))
-    return repeated.join(small_side(numbered), "__no").drop("__no", "__count")
+    covered = met.groupBy(*[F.col(f"a_{c}").alias(c) for c in place], F.col("b___no").alias("__no")).agg(F.sum(F.col("overlap") * F.col("b___n")).alias("value"))
+    every = _for_every_number(domains.select(*place), covered, place, numbers.count())
+    return every.join(numbers, "__no").select(sample, "name", iv.depth(F.col("value"), F.col("start"), F.col("end")).alias("depth"))
+
+
+def _numbered(names: DataFrame, sample: str) -> DataFrame:
+    """sample, __no: the different samples and their numbers from 1, a list of names sorted in one task; to be joined by number or name."""
+    names = names.where(F.col(sample).isNotNull()).distinct()
+    return small_side(names.withColumn("__no", F.row_number().over(W.orderBy(sample))))
+
+
+def _for_every_number(df: DataFrame, covered: DataFrame, place: list[str], count: int) -> DataFrame:
+    """place, __no, value: each different place of df once for each number from 1 to count, with the value that `covered` has for both, else 0.
+
+    covered: place, __no, value, a row for each pair that has one.  A place
+    holds the list of its own in one row and is repeated only after the last
+    shuffle, so no pair without a value is ever moved.  Tasks are as many as
+    the rows that come out ask for, not as the few that go in.
+    """
+    tasks = max(-(-df.count() * count // TASK_ROWS), df.sparkSession.sparkContext.defaultParallelism)
+    none = [F.lit(None).cast(t).alias(c) for c, t in covered.select("__no", "value").dtypes]
+    both = covered.unionByName(df.select(*place, *none)).repartition(tasks, *place)
+    lists = both.groupBy(*place).agg(F.collect_list(F.when(F.col("__no").isNotNull(), F.struct("__no", "value"))).alias("__own"))
+    own, numbers = F.col("__own.__no"), F.sequence(F.lit(1), F.lit(count)) if count else F.array().cast("array<int>")
+    others = F.when(F.size(own) == 0, numbers).otherwise(F.array_except(numbers, own))
+    repeated = lists.select(*place, F.col("__own.value").alias("__values"), F.posexplode(F.concat(own, others)).alias("__pos", "__no"))
+    return repeated.select(*place, "__no", F.coalesce(F.get("__values", "__pos"), F.lit(0).cast("long")).alias("value"))
 
 
 def cohort_depth(alignments: DataFrame, domains: DataFrame, sample: str = "sample", paired: bool = True, width: int | None = None, draw: bool = True) -> DataFrame:

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from spanforge.operators import intervals as iv
+from spanforge.plans import pipeline
 from spanforge.plans.pipeline import cohort_coverage, domain_depth
 
 BED = "chrom string, start long, end long, name string"
@@ -57,6 +58,40 @@ def test_every_domain_has_a_depth(spark, rows):
     assert rows(three) == sorted([*expected, ("none", "a", 0.0), ("none", "b", 0.0), ("none", "e", 0.0)], key=repr)
 
 
+def rows_moved(df):
+    """Rows that the exchanges of a frame write when it is collected, the most of any of them."""
+    df.collect()
+    found, left = [], [df._jdf.queryExecution().executedPlan()]
+    while left:
+        node = left.pop()
+        kind = node.getClass().getSimpleName()
+        if kind == "AdaptiveSparkPlanExec":
+            left.append(node.executedPlan())
+        elif kind.endswith("QueryStageExec"):
+            left.append(node.plan())
+        elif kind == "ShuffleExchangeExec":
+            found.append(node.metrics().get("shuffleRecordsWritten").get().value())
+        left += [node.children().apply(k) for k in range(node.children().size())]
+    return max(found)
+
+
+def test_cohort_repeats_domains_after_the_last_shuffle(spark, rows, monkeypatch):
+    """Most samples do not cover most domains: such pairs come out with 0, but none is moved, and many tasks share them."""
+    domains = [*[(f"d{k}", "c", 100 * k, 100 * k + 50) for k in range(57)], (None, "c", 20, 70), ("empty", "c", 30, 29), ("back", "c", 60, 20)]
+    reads = [(None if k == 7 else f"s{k % 50:02}", "c", 97 * k, 97 * k + 40) for k in range(60)] * 2
+    depth = {}
+    for d, _, s, e in domains:
+        for of in {r[0] for r in reads if r[0]}:
+            met = sum(max(0, min(e, y) - max(s, x)) for name, _, x, y in reads if name == of) if s < e else 0
+            depth[of, d] = None if e - s + 1 == 0 else met / (e - s + 1)
+    monkeypatch.setattr(pipeline, "TASK_ROWS", 100, raising=False)
+    cohort = spark.createDataFrame(reads, "sample string, chrom string, start long, end long")
+    got = cohort_coverage(cohort, spark.createDataFrame(domains, "name string, chrom string, start long, end long"))
+    assert rows(got) == sorted(((*k, v) for k, v in depth.items()), key=repr) and len(depth) == 3000
+    assert rows_moved(got) < 600
+    assert got.rdd.getNumPartitions() == 30
+
+
 MERGE = "key string, start long, end long, value long"
 
 
